@@ -13,11 +13,10 @@ def row_image(columns: Column) -> Column:
     whatever the session's policy for duplicate map keys is.
     """
     listed = F.coalesce(columns, F.array().cast("array<struct<name:string,value:string>>"))
+
+    def last(name: Column) -> Column:
+        value = F.element_at(F.filter(listed, lambda c: c["name"] == name), -1)["value"]
+        return F.struct(name.alias("name"), F.coalesce(value, F.lit("")).alias("value"))
+
     names = F.array_distinct(F.transform(listed, lambda c: c["name"]))
-    values = F.transform(
-        names,
-        lambda name: F.coalesce(
-            F.element_at(F.filter(listed, lambda c: c["name"] == name), -1)["value"], F.lit("")
-        ),
-    )
-    return F.map_from_arrays(names, values)
+    return F.map_from_entries(F.transform(names, last))

@@ -35,9 +35,18 @@ def parse_records(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...]
 
 
 def parse_objects(lines: DataFrame) -> DataFrame:
-    """Add ``record``: the line's fields with their JSON types, NULL if malformed."""
+    """Add ``record``, the line's fields with their JSON types, NULL if malformed.
+
+    ``tidy`` tells whether every field name occurs once; where not, the last
+    field of a name is the one in ``record``.
+    """
     objects = F.from_json(_bracketed(F.col("value")), _OBJECTS)
-    return lines.select("*", F.explode_outer(objects).alias("record"))
+    parsed = lines.select("*", F.explode_outer(objects).alias("record"))
+    names = F.map_keys("record")
+    tidy = F.size(F.array_distinct(names)) == F.size(names)
+    return parsed.withColumn("tidy", tidy).withColumn(
+        "record", F.when(F.col("tidy"), F.col("record")).otherwise(_last_wins(F.col("record")))
+    )
 
 
 def malformed(lines: DataFrame) -> DataFrame:
@@ -47,46 +56,36 @@ def malformed(lines: DataFrame) -> DataFrame:
     return lines.where(found == 0)
 
 
-def text_field(record: Column, name: str) -> Column:
-    """A top-level field as text; the last one counts if a name is repeated."""
-    same = F.filter(F.map_entries(record), lambda entry: entry["key"] == name)
-    entry = F.try_element_at(same, F.lit(-1))
-    return F.try_variant_get(entry["value"], "$", "string")
-
-
-def _last_wins(entries: Column) -> Column:
-    names = F.array_distinct(F.transform(entries, lambda entry: entry["key"]))
-    return F.transform(
-        names,
+def _last_wins(record: Column) -> Column:
+    entries = F.map_entries(record)
+    last = F.transform(
+        F.array_distinct(F.map_keys(record)),
         lambda name: F.element_at(F.filter(entries, lambda entry: entry["key"] == name), -1),
     )
+    return F.map_from_entries(last)
 
 
-def stamped_json(value: Column, record: Column, clock: Column) -> Column:
+def text_field(record: Column, name: str) -> Column:
+    """A top-level field as text."""
+    return F.try_variant_get(F.try_element_at(record, F.lit(name)), "$", "string")
+
+
+def stamped_json(value: Column, record: Column, tidy: Column, clock: Column) -> Column:
     """The record as JSON with ``ts`` set to ``clock``, replacing any client ``ts``.
 
     Other fields keep their types. A line that is one object without a ``ts`` is
-    extended as text; the map is rebuilt only where a field must go.
+    extended as text; the map is written out only where a field must go.
     """
-    names = F.map_keys(record)
-    body = F.trim(value)
-    plain = (
-        ~F.array_contains(names, "ts")
-        & (F.size(F.array_distinct(names)) == F.size(names))
-        & (F.size(names) > 0)
-        & body.startswith("{")
-        & body.endswith("}")
-        & ~body.rlike(r"\}\s*,\s*\{")
-    )
-    appended = F.concat(
-        F.substring(body, F.lit(1), F.length(body) - 1), F.lit(',"ts":'), clock.cast("string"), F.lit("}")
-    )
-    others = _last_wins(F.filter(F.map_entries(record), lambda entry: entry["key"] != "ts"))
-    stamp = F.array(
-        F.struct(F.lit("ts").alias("key"), F.parse_json(clock.cast("string")).alias("value"))
+    body, stamp = F.trim(value), clock.cast("string")
+    one_object = body.startswith("{") & body.endswith("}") & ~body.rlike(r"\}\s*,\s*\{")
+    extensible = (
+        tidy & (F.size(record) > 0) & ~F.map_contains_key(record, "ts") & one_object
     )
-    rebuilt = F.to_json(F.map_from_entries(F.concat(others, stamp)))
-    return F.when(plain, appended).otherwise(rebuilt)
+    head = F.substring(body, F.lit(1), F.length(body) - 1)
+    extended = F.concat(head, F.lit(',"ts":'), stamp, F.lit("}"))
+    others = F.map_filter(record, lambda name, _: name != "ts")
+    rebuilt = F.to_json(F.map_concat(others, F.create_map(F.lit("ts"), F.parse_json(stamp))))
+    return F.when(extensible, extended).otherwise(rebuilt)
 
 
 def topic_of(kind: Column) -> Column:

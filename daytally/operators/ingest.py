@@ -24,7 +24,9 @@ def route_lines(lines: DataFrame, clock: Column, keep_malformed: bool = True) ->
     topic = F.when(record.isNull(), logs.MALFORMED).otherwise(
         logs.topic_of(logs.text_field(record, "type"))
     )
-    stamped = F.when(record.isNull(), value).otherwise(logs.stamped_json(value, record, clock))
+    stamped = F.when(record.isNull(), value).otherwise(
+        logs.stamped_json(value, record, F.col("tidy"), clock)
+    )
     return parsed.select(*others, topic.alias("topic"), stamped.alias("value"))
 
 

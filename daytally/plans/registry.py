@@ -66,7 +66,14 @@ def _visited_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 
 
 def visited_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visited set is stored first, as it is between two batches.
+
+    Read back, its size is known from its files, which decides about a broadcast.
+    """
     visited, incoming = _visited_and_batch(spark, sf_dir)
+    path = settings.new_run_dir(spark, "visited")
+    tables.append_table(visited, path, "logdate")
+    visited = tables.read_visited(spark, path)
     return devices.unvisited(incoming, visited).select("logdate", "mid", "event_id", "ts")
 
 
@@ -84,7 +91,8 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     visited, incoming = _visited_and_batch(spark, sf_dir)
     rows, counts = batch.counted_step(incoming, visited, ORDERED)
     rows.write.format("noop").mode("overwrite").save()
-    values = tuple(count.get["n"] for count in counts)
+    before, after = (count.get for count in counts)
+    values = (before["received"], after["unvisited"], after["kept"])
     return spark.createDataFrame([values], "received bigint, unvisited bigint, kept bigint")
 
 
@@ -145,8 +153,8 @@ def _replay(session: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def dau_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, home = settings.stream_session(spark), settings.new_run_dir(spark, "devices")
-    log = views.app_log_of(_replay(session, sf_dir, "events"))
-    lines = log.where(F.col("type") == "startup").select(views.startup_line().alias("value"))
+    log = views.startup_log_of(_replay(session, sf_dir, "events"))
+    lines = log.select(views.startup_line().alias("value"))
     device_stream(lines, f"{home}/checkpoint", f"{home}/table", trigger=DRAIN).awaitTermination()
     return tables.read_dau(session, f"{home}/table").select("mid", "logdate")
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.functions.calendar import DAY, HOUR
+from daytally.schemas import DAU_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,12 @@ def app_log_of(events: DataFrame) -> DataFrame:
     )
 
 
+def startup_log_of(events: DataFrame) -> DataFrame:
+    """The startups alone; the raw column is filtered, which Parquet can do."""
+    startups = app_log_of(events.where(F.col("event_type") == "view"))
+    return startups.select(*DAU_COLUMNS, "event_id")
+
+
 def app_log(
     spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None
 ) -> DataFrame:
@@ -69,9 +76,8 @@ def app_log(
 def startup_log(
     spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None
 ) -> DataFrame:
-    columns = ("mid", "uid", "appid", "area", "os", "ch", "type", "vs", "logdate", "loghour", "ts")
-    log = app_log(spark, sf_dir, first, last)
-    return log.where(F.col("type") == "startup").select(*columns, "event_id")
+    events = table(spark, sf_dir, "events").where(in_days(F.col("ts"), first, last))
+    return startup_log_of(events)
 
 
 def startup_line() -> Column:
