@@ -1,9 +1,9 @@
 """JSON log lines: reading, time-stamping and routing.
 
-A line is wrapped in brackets before it is parsed, so that a valid line gives an
-array of objects and everything else (broken text, a bare number, trailing
-garbage) gives no object at all. The array is unpacked by a generator, which
-keeps Spark from evaluating the parse again for each later use or filter.
+A record is a line that holds exactly one JSON object. The line is wrapped in
+brackets before it is parsed, so that anything else (broken text, a bare number,
+trailing garbage, two objects) shows in the array that comes out. The array is
+unpacked by a generator: no later use or filter can make Spark parse again.
 """
 
 from __future__ import annotations
@@ -17,21 +17,26 @@ EVENT = "event"
 ORDER = "order"
 MALFORMED = "malformed"
 
-_OBJECTS = "array<map<string,variant>>"
+# Fixed value: what JSON allows around an object.
+JSON_BLANKS = " \t\r\n"
 
 
-def _bracketed(value: Column) -> Column:
-    return F.concat(F.lit("["), value, F.lit("]"))
+def _one_object(lines: DataFrame, object_type: T.DataType | str) -> DataFrame:
+    """Add ``record``, the line's object, or NULL for a line that is not just one."""
+    if isinstance(object_type, str):
+        array_type = f"array<{object_type}>"
+    else:
+        array_type = T.ArrayType(object_type)
+    text = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    parsed = lines.withColumn("objects", F.from_json(text, array_type))
+    single = F.when(F.size("objects") == 1, F.col("objects"))
+    return parsed.select(*lines.columns, F.explode_outer(single).alias("record"))
 
 
 def parse_records(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``value`` JSON lines to typed columns; lines without an object give no row."""
-    records = F.from_json(_bracketed(F.col("value")), T.ArrayType(schema))
-    return (
-        lines.select(*keep, F.explode_outer(records).alias("record"))
-        .where(F.col("record").isNotNull())
-        .select(*keep, "record.*")
-    )
+    """``value`` JSON lines to typed columns; malformed lines give no row."""
+    found = _one_object(lines.select(*keep, "value"), schema).where(F.col("record").isNotNull())
+    return found.select(*keep, "record.*")
 
 
 def parse_objects(lines: DataFrame) -> DataFrame:
@@ -40,8 +45,7 @@ def parse_objects(lines: DataFrame) -> DataFrame:
     ``tidy`` tells whether every field name occurs once; where not, the last
     field of a name is the one in ``record``.
     """
-    objects = F.from_json(_bracketed(F.col("value")), _OBJECTS)
-    parsed = lines.select("*", F.explode_outer(objects).alias("record"))
+    parsed = _one_object(lines, "map<string,variant>")
     names = F.map_keys("record")
     tidy = F.size(F.array_distinct(names)) == F.size(names)
     return parsed.withColumn("tidy", tidy).withColumn(
@@ -51,9 +55,8 @@ def parse_objects(lines: DataFrame) -> DataFrame:
 
 def malformed(lines: DataFrame) -> DataFrame:
     """The lines that hold no JSON object, unchanged."""
-    objects = F.from_json(_bracketed(F.col("value")), _OBJECTS)
-    found = F.coalesce(F.size(F.array_compact(objects)), F.lit(0))
-    return lines.where(found == 0)
+    bad = _one_object(lines, "map<string,variant>").where(F.col("record").isNull())
+    return bad.select(*lines.columns)
 
 
 def _last_wins(record: Column) -> Column:
@@ -73,14 +76,12 @@ def text_field(record: Column, name: str) -> Column:
 def stamped_json(value: Column, record: Column, tidy: Column, clock: Column) -> Column:
     """The record as JSON with ``ts`` set to ``clock``, replacing any client ``ts``.
 
-    Other fields keep their types. A line that is one object without a ``ts`` is
-    extended as text; the map is written out only where a field must go.
+    Other fields keep their types. A line without a ``ts`` is extended as text; the
+    map is written out only where a field must go.
     """
-    body, stamp = F.trim(value), clock.cast("string")
-    one_object = body.startswith("{") & body.endswith("}") & ~body.rlike(r"\}\s*,\s*\{")
-    extensible = (
-        tidy & (F.size(record) > 0) & ~F.map_contains_key(record, "ts") & one_object
-    )
+    stamp = clock.cast("string")
+    extensible = tidy & (F.size(record) > 0) & ~F.map_contains_key(record, "ts")
+    body = F.btrim(value, F.lit(JSON_BLANKS))
     head = F.substring(body, F.lit(1), F.length(body) - 1)
     extended = F.concat(head, F.lit(',"ts":'), stamp, F.lit("}"))
     others = F.map_filter(record, lambda name, _: name != "ts")
