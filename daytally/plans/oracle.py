@@ -93,12 +93,12 @@ def _money(amount: str) -> str:
 
 def _gender_option(gender: str, label: str) -> str:
     share = _percent(f"select count(*) from hits where user_gender = '{gender}'")
-    return f"""'{{"name":"{label}","value":' || cast({share} as double) || '}}'"""
+    return f"""'{{"name":"{label}","value":' || cast(coalesce({share}, 0) as double) || '}}'"""
 
 
 def _age_option(band: str, label: str) -> str:
     share = _percent(f"select count(*) from bands where age_band = '{band}'")
-    return f"""'{{"name":"{label}","value":' || cast({share} as double) || '}}'"""
+    return f"""'{{"name":"{label}","value":' || cast(coalesce({share}, 0) as double) || '}}'"""
 
 
 _CLIENT_LINE = """'{"type":"' || type || '","mid":"' || mid || '","uid":"' || uid || '","os":"' || os

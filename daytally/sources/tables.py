@@ -58,16 +58,17 @@ def stream_table(
     path: str,
     day_column: str,
     trigger: dict | None = None,
-    files_per_batch: int | None = None,
+    files_per_day: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Append a stream to a day-partitioned table, each batch committed once.
 
-    ``files_per_batch`` bounds the number of writing tasks when the surviving rows
-    are few compared with the state partitions.
+    Every task writes one file per day it holds. ``files_per_day`` gathers the rows
+    of a batch into at most that many files per day, for one more shuffle.
     """
-    if files_per_batch:
-        rows = rows.repartition(files_per_batch)
+    if files_per_day:
+        spread = F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_day))
+        rows = rows.repartition(F.col(day_column), spread)
     writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")

@@ -58,7 +58,7 @@ def device_stream(
     delay: str | None = None,
     trigger: dict | None = None,
     spread: int = SPREAD,
-    files_per_batch: int | None = None,
+    files_per_day: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Startup lines to the device table, with the row counts before and after.
@@ -74,7 +74,7 @@ def device_stream(
         path,
         "logdate",
         trigger,
-        files_per_batch,
+        files_per_day,
         name,
     )
 

@@ -1,0 +1,104 @@
+"""Reading, stamping and routing of single lines."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from daytally.operators.ingest import malformed_lines, route_lines, startup_records
+
+MALFORMED = [
+    "not json",
+    "",
+    "null",
+    "123",
+    '"text"',
+    "[1,2]",
+    '[{"type":"startup"}]',
+    '{"a":',
+    '{"type":"startup"} trailing',
+    '{"type":"startup"},{"type":"startup"}',
+    '{"type":"startup"},null',
+]
+
+
+def route(frame):
+    return {row["value"]: row["topic"] for row in route_lines(frame, F.lit(77)).collect()}
+
+
+def test_routing_by_type(lines):
+    routed = route_lines(
+        lines(
+            '{"type":"startup","mid":"m1"}',
+            '{"type":"event","mid":"m2"}',
+            '{"mid":"m3"}',
+            '{"type":null,"mid":"m4"}',
+            '{"type":5,"mid":"m5"}',
+        ),
+        F.lit(77),
+    ).collect()
+    topics = {json.loads(row["value"])["mid"]: row["topic"] for row in routed}
+    assert topics == {"m1": "startup", "m2": "event", "m3": "event", "m4": "event", "m5": "event"}
+    assert all(json.loads(row["value"])["ts"] == 77 for row in routed)
+
+
+@pytest.mark.parametrize("line", MALFORMED)
+def test_malformed_lines_are_set_apart_unchanged(lines, line):
+    frame = lines(line, '{"type":"startup"}')
+    assert route(frame) == {line: "malformed", '{"type":"startup","ts":77}': "startup"}
+    assert [row["value"] for row in malformed_lines(frame).collect()] == [line]
+    assert route_lines(frame, F.lit(77), keep_malformed=False).count() == 1
+    assert startup_records(frame).count() == 1
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        '{"type":"startup","ts":1}',
+        '{"ts":1,"type":"startup","n":1.5,"o":{"a":[1,{"b":null}]},"t":"x}, {y"}',
+        '{"ts":"soon","unknown":true}',
+        ' \t{"a":1} \r\n',
+        '{}',
+        '{ }',
+        '{"a":[{"x":1}, {"y":2}]}',
+        '{"text":"日活 \\" quoted"}',
+    ],
+)
+def test_stamp_replaces_ts_and_keeps_everything_else(lines, line):
+    (row,) = route_lines(lines(line), F.lit(77)).collect()
+    assert json.loads(row["value"]) == {**json.loads(line), "ts": 77}
+
+
+def test_last_of_repeated_fields_wins(lines):
+    (row,) = route_lines(lines('{"type":"event","type":"startup","a":1,"a":2}'), F.lit(77)).collect()
+    assert row["topic"] == "startup"
+    assert row["value"].count('"a"') == 1
+    assert json.loads(row["value"]) == {"type": "startup", "a": 2, "ts": 77}
+
+
+def test_other_columns_stay(spark):
+    frame = spark.createDataFrame([(9, '{"type":"startup"}')], "clock bigint, value string")
+    (row,) = route_lines(frame, F.col("clock")).collect()
+    assert json.loads(row["value"])["ts"] == 9 and row["clock"] == 9
+
+
+def test_startup_columns(lines):
+    text = (
+        '{"type":"startup","mid":"m1","uid":"u1","os":"ios","appid":"a","area":"x","ch":"c",'
+        '"vs":"1.2.0","ts":1705363199999,"extra":1}'
+    )
+    (row,) = startup_records(lines(text)).collect()
+    assert tuple(row) == (
+        "m1", "u1", "a", "x", "ios", "c", "startup", "1.2.0", "2024-01-15", "23", 1705363199999,
+    )
+
+
+def test_startup_without_ts_is_kept_as_epoch(lines):
+    (row,) = startup_records(lines('{"type":"startup","mid":"m1"}')).collect()
+    assert (row["ts"], row["logdate"], row["loghour"], row["uid"]) == (0, "1970-01-01", "00", None)
+
+
+def test_parse_happens_once(lines):
+    frame = route_lines(lines('{"type":"startup"}'), F.lit(1)).where("topic = 'startup'")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
