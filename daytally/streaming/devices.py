@@ -7,57 +7,62 @@ device.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from daytally import schemas
-from daytally.functions.calendar import instant
 from daytally.operators.devices import KEY, new_on_day
 from daytally.operators.ingest import startup_records
 from daytally.sources.tables import stream_table
 
-# Into how many parts a single device's rows are spread before the final step.
-SPREAD = 16
+
+def _one_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each device and day in every Arrow batch."""
+    for batch in batches:
+        columns = {name: batch.column(name) for name in KEY}
+        table = pa.table({**columns, "row": np.arange(batch.num_rows)})
+        first = table.group_by(list(KEY), use_threads=False).aggregate([("row", "min")])
+        yield batch.take(first["row_min"].combine_chunks())
+
+
+def _midnight(logdate: Column) -> Column:
+    """A moment per day, always 24 hours apart whatever the session's time zone."""
+    return F.timestamp_seconds(F.unix_date(logdate.cast("date")).cast("bigint") * 86_400)
 
 
-def dedupe_devices(startups: DataFrame, delay: str | None = None, spread: int = SPREAD) -> DataFrame:
+def dedupe_devices(startups: DataFrame, keep_days: int | None = None) -> DataFrame:
     """One record per device and day out of a stream of startups.
 
-    Repeats are removed in two steps. The first spreads the rows of a device over
-    ``spread`` state partitions by the input task they come from, which is the
-    same when a task is run again; the second sees at most ``spread`` rows of a
-    device and day. A device that sends a third of all records thus loads no
-    single task.
+    Streaming deduplication has no step before its shuffle, so all records of a
+    device would meet in one state partition. Each input task therefore drops the
+    repeats within every Arrow batch first: a device that sends a third of all
+    records is shuffled as one row per batch of some ten thousand.
 
-    Without ``delay`` every day stays in the state and no record is ever dropped:
-    right for replaying a stored table, whose files are in no time order. With
-    ``delay`` a day leaves the state once the newest record is that much past its
-    end; records that come later still are dropped here and merged by
+    Without ``keep_days`` every day stays in the state and no record is ever
+    dropped: right for replaying a stored table, whose files are in no time order.
+    With it, a day leaves the state once a record that many days younger has been
+    seen; records that come later still are dropped here and merged by
     :func:`late_devices`.
     """
-    spread_rows = startups.withColumn("part", F.spark_partition_id() % F.lit(spread))
-    if delay is None:
-        day_key = "logdate"
-    else:
-        day_key = "day"
-        spread_rows = (
-            spread_rows.withColumn("moment", instant(F.col("ts")))
-            .withWatermark("moment", delay)
-            .withColumn(day_key, F.window("moment", "1 day"))
-            .drop("moment")
-        )
-    once_per_part = spread_rows.dropDuplicates([day_key, "mid", "part"])
-    return once_per_part.dropDuplicates([day_key, "mid"]).select(startups.columns)
+    fewer = startups.mapInArrow(_one_per_key, startups.schema)
+    if keep_days is None:
+        return fewer.dropDuplicates(list(KEY))
+    dated = fewer.withColumn("midnight", _midnight(F.col("logdate")))
+    dated = dated.withWatermark("midnight", f"{keep_days} days")
+    return dated.dropDuplicates(["midnight", "mid"]).drop("midnight")
 
 
 def device_stream(
     lines: DataFrame,
     checkpoint: str,
     path: str,
-    delay: str | None = None,
+    keep_days: int | None = None,
     trigger: dict | None = None,
-    spread: int = SPREAD,
     files_per_day: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -66,7 +71,7 @@ def device_stream(
     The counts ride on the query's progress events, so they cost no extra pass.
     """
     startups = startup_records(lines).observe("startups", F.count(F.lit(1)).alias("received"))
-    devices = dedupe_devices(startups, delay, spread)
+    devices = dedupe_devices(startups, keep_days)
     counted = devices.observe("devices", F.count(F.lit(1)).alias("kept"))
     return stream_table(
         counted.select(schemas.DAU_COLUMNS),

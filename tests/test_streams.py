@@ -68,13 +68,13 @@ def keys(frame):
     return rows(frame.select("mid", "logdate"))
 
 
-@pytest.mark.parametrize("delay", [None, "2 days"])
-def test_repeats_within_and_across_batches(session, topic, tmp_path, delay):
+@pytest.mark.parametrize("keep_days", [None, 3])
+def test_repeats_within_and_across_batches(session, topic, tmp_path, keep_days):
     topic.drop(startup("m1", START + 1), startup("m1", START + 2), startup("m2", START + 3))
     topic.drop(startup("m1", START + 4), "not json", "", startup("m3", START + 5))
     topic.drop(startup("m1", START + 2 * DAY))
     topic.drop(startup("m4", START - 60_000), startup("m4", START + 60_000))
-    run_devices(session, topic, tmp_path, delay=delay)
+    run_devices(session, topic, tmp_path, keep_days=keep_days)
     assert keys(tables.read_dau(session, f"{tmp_path}/table")) == [
         ("m1", "2024-01-15"),
         ("m1", "2024-01-17"),
@@ -97,10 +97,11 @@ def random_drops(topic, count=4, size=400, seed=11):
         )
 
 
-@pytest.mark.parametrize("spread", [1, 16])
-def test_unordered_replay_equals_batch(session, topic, tmp_path, spread):
+@pytest.mark.parametrize("rows_per_arrow_batch", ["10000", "7"])
+def test_unordered_replay_equals_batch(session, topic, tmp_path, rows_per_arrow_batch):
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_arrow_batch)
     random_drops(topic)
-    query = run_devices(session, topic, tmp_path, spread=spread, files_per_day=2)
+    query = run_devices(session, topic, tmp_path, files_per_day=2)
     batch = startup_records(topics.read_topic(session, STARTUP, topic.root))
     table = tables.read_dau(session, f"{tmp_path}/table")
     assert keys(table) == keys(devices.first_per_device(batch))
@@ -120,25 +121,45 @@ def test_restart_goes_on_where_it_stopped(session, topic, tmp_path):
     assert [key[0] for key in keys(tables.read_dau(session, f"{tmp_path}/table"))] == ["m1", "m2", "m3"]
 
 
+def test_heavy_device_is_thinned_out_before_the_shuffle(session, topic, tmp_path):
+    """The state operator sees one row per Arrow batch of the device, not all."""
+    topic.drop(*[startup("hot", START + i) for i in range(5000)], startup("m1", START))
+    query = run_devices(session, topic, tmp_path)
+    (batch,) = [p for p in query.recentProgress if p.numInputRows]
+    dropped = sum(op.customMetrics["numDroppedDuplicateRows"] for op in batch.stateOperators)
+    assert dropped < 10
+    assert tables.read_dau(session, f"{tmp_path}/table").count() == 2
+
+
 def test_old_days_leave_the_state(session, topic, tmp_path):
-    for day in range(0, 12, 2):
+    for day in range(8):
         topic.drop(*[startup(f"m{i}", START + day * DAY + i) for i in range(50)])
-    query = run_devices(session, topic, tmp_path, delay="1 hour")
-    assert tables.read_dau(session, f"{tmp_path}/table").count() == 300
+    query = run_devices(session, topic, tmp_path, keep_days=2)
+    assert tables.read_dau(session, f"{tmp_path}/table").count() == 400
     held = [sum(op.numRowsTotal for op in p.stateOperators) for p in query.recentProgress]
-    assert max(held) <= 300 and held[-1] < 300
+    assert max(held) <= 200
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "America/New_York"])
+def test_days_are_those_of_the_session_time_zone(session, topic, tmp_path, zone):
+    session.conf.set("spark.sql.session.timeZone", zone)
+    for day in range(3):
+        topic.drop(*[startup("m1", START + day * DAY + hour * HOUR) for hour in range(24)])
+    run_devices(session, topic, tmp_path, keep_days=2)
+    batch = startup_records(topics.read_topic(session, STARTUP, topic.root))
+    assert keys(tables.read_dau(session, f"{tmp_path}/table")) == keys(devices.first_per_device(batch))
 
 
 def test_late_devices_are_counted_and_merged(session, topic, tmp_path):
     topic.drop(startup("m1", START), startup("m2", START))
     topic.drop(startup("m1", START + 10 * DAY))
-    topic.drop(startup("m1", START + 10 * DAY + 1))
+    topic.drop(startup("m1", START + 10 * DAY + 1))  # the bound takes effect one batch later
     topic.drop(startup("late", START + 5), startup("m2", START + 6), startup("m5", START + 10 * DAY))
-    query = run_devices(session, topic, tmp_path, delay="1 hour")
+    query = run_devices(session, topic, tmp_path, keep_days=2)
     table = tables.read_dau(session, f"{tmp_path}/table")
     assert ("late", "2024-01-15") not in keys(table)
     dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
-    assert dropped >= 1
+    assert dropped == 2
     raw = startup_records(topics.read_topic(session, STARTUP, topic.root))
     for _ in range(2):  # merging again adds nothing
         known = tables.read_dau(session, f"{tmp_path}/table")
