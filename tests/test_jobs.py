@@ -1,0 +1,80 @@
+"""The command line, from client lines and changes to the printed answers."""
+
+import json
+
+import pytest
+
+from daytally.jobs import main
+from tests.test_changes import envelope
+from tests.test_streams import Topic
+
+
+@pytest.fixture
+def run(spark, capsys):
+    def job(*argv):
+        main([str(word) for word in argv], spark)
+        return capsys.readouterr().out.strip()
+
+    return job
+
+
+def test_from_client_lines_to_answers(spark, run, tmp_path):
+    source = Topic(tmp_path / "in", "client")
+    source.drop('{"type":"startup","mid":"m1"}', '{"type":"startup","mid":"m2"}', '{"type":"event"}')
+    source.drop('{"type":"startup","mid":"m1"}', "broken")
+    files = ["--format", "text", "--drain"]
+    topics = tmp_path / "topics"
+    run(
+        "collect", *files, "--path", source.root, "--topic", "client", "--checkpoint", tmp_path / "c1",
+        "--sink-format", "text", "--sink-path", topics,
+    )
+    run("raw-log", *files, "--path", topics, "--checkpoint", tmp_path / "c2", "--table", tmp_path / "raw")
+    run("devices", *files, "--path", topics, "--checkpoint", tmp_path / "c3", "--table", tmp_path / "dau")
+    (date,) = {row[0] for row in spark.read.parquet(str(tmp_path / "dau")).selectExpr("cast(logdate as string)").collect()}
+
+    total = json.loads(run("realtime-total", "--table", tmp_path / "dau", "--date", date))
+    assert [figure["value"] for figure in total] == [2, 33333]
+    hours = json.loads(run("realtime-hour", "--id", "dau", "--table", tmp_path / "dau", "--date", date))
+    assert sum(hours["today"].values()) == 2 and hours["yesterday"] == {}
+    assert run("realtime-hour", "--id", "other", "--table", tmp_path / "dau", "--date", date) == "null"
+
+    run(
+        "late", "--raw", tmp_path / "raw", "--date", date, "--table", tmp_path / "dau",
+        "--late-table", tmp_path / "late",
+    )
+    again = json.loads(
+        run("realtime-total", "--table", tmp_path / "dau", "--table", tmp_path / "late", "--date", date)
+    )
+    assert again == total
+
+
+def test_from_changes_to_order_amounts(run, tmp_path):
+    source = Topic(tmp_path / "in", "changes")
+    image = [("id", "1"), ("total_amount", "12.50"), ("create_time", "2024-01-15 09:00:01")]
+    source.drop(envelope(image), envelope(image, event="DELETE"))
+    files = ["--format", "text", "--drain"]
+    run(
+        "publish", *files, "--path", source.root, "--topic", "changes", "--checkpoint", tmp_path / "c1",
+        "--sink-format", "text", "--sink-path", tmp_path / "topics", "--subscription", "shop.*",
+    )
+    run(
+        "orders", *files, "--path", tmp_path / "topics", "--checkpoint", tmp_path / "c2",
+        "--table", tmp_path / "orders",
+    )
+    answer = run("realtime-hour", "--id", "order_amount", "--table", tmp_path / "orders", "--date", "2024-01-16")
+    assert json.loads(answer) == {"today": {}, "yesterday": {"09": 12.5}}
+
+
+def test_sale_detail(spark, run, tmp_path):
+    rows = [(1, "2024-01-15", "red ring", "F", 19), (2, "2024-01-15", "red ring", "M", 40), (3, "2024-01-15", "box", "M", 40)]
+    frame = spark.createDataFrame(rows, "id int, dt string, sku_name string, user_gender string, user_age int")
+    frame.write.partitionBy("dt").parquet(str(tmp_path / "sales"))
+    answer = json.loads(
+        run(
+            "sale-detail", "--table", tmp_path / "sales", "--date", "2024-01-15", "--keyword", "ring red",
+            "--order", "id", "--size", 1,
+        )
+    )
+    assert answer["total"] == 2
+    assert [line["id"] for line in answer["detail"]] == [1]
+    assert [option["value"] for option in answer["stat"][0]["options"]] == [50.0, 50.0]
