@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: the four streams, the late merge, and the reports.
+"""Jobs for spark-submit: the streams, the late merge, and the reports.
 
     spark-submit --py-files daytally.zip run_job.py devices --format kafka --option kafka.bootstrap.servers=... \\
         --checkpoint /shared/cp/devices --table /shared/dau --keep-days 2

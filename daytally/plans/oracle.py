@@ -167,6 +167,7 @@ def oracle_sql() -> dict[str, str]:
         "log_route_stream": (
             f"with {_APP_LOG} select type as topic, type, count(*) as n from app_log group by type"
         ),
+        "raw_log_stream": f"with {_APP_LOG} select {_CLIENT_LINE} as value, logdate from app_log",
         "cdc_order_rows": messages,
         "cdc_order_stream": messages,
         "order_ingest": (
@@ -236,6 +237,11 @@ def oracle_sql() -> dict[str, str]:
         "hour_map": f"with {_DAU}, compared as ({_DAU_COMPARE}) {_map_json('loghour')}",
         "order_hour_map": f"with {_ORDERS}, compared as ({_ORDER_COMPARE}) {_map_json('create_hour')}",
         "metric_dispatch": (
+            f"with {_DAU} select 'dau' as metric, logdate as date, loghour as hour, "
+            "cast(count(*) as double) as value from dau "
+            f"where logdate in ('{DAY}', '{EVE}') group by logdate, loghour"
+        ),
+        "metric_dispatch_orders": (
             f"with {_ORDERS} select 'order_amount' as metric, create_date as date, create_hour as hour, "
             f"{_money('total_amount')} as value from order_info "
             f"where create_date in ('{DAY}', '{EVE}') group by create_date, create_hour"

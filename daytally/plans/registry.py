@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally import schemas, settings
-from daytally.functions.logs import ORDER
+from daytally.functions.logs import EVENT, ORDER, STARTUP
 from daytally.operators import changes, devices, ingest, measures, sales
 from daytally.plans import batch, dashboard
 from daytally.plans.sale_report import sale_report as report
 from daytally.sources import tables, topics, views
-from daytally.streaming.collect import collect_logs
+from daytally.streaming.collect import collect_logs, keep_raw_log
 from daytally.streaming.devices import device_stream
 from daytally.streaming.orders import publish_orders
 
@@ -171,6 +171,21 @@ def log_route_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("topic", kind).agg(measures.rows().alias("n"))
 
 
+def raw_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collected lines, stamped with the table's own time, in the raw log per day."""
+    session, home = settings.stream_session(spark), settings.new_run_dir(spark, "raw")
+    log = views.app_log_of(_replay(session, sf_dir, "events"))
+    lines = log.select("ts", views.client_line().alias("value"))
+    collect_logs(
+        lines, f"{home}/c1", F.col("ts"), fmt="text", path=f"{home}/topics", trigger=DRAIN
+    ).awaitTermination()
+    sent = [
+        topics.stream_topic(session, name, "text", f"{home}/topics") for name in (STARTUP, EVENT)
+    ]
+    keep_raw_log(sent[0].union(sent[1]), f"{home}/c2", f"{home}/log", DRAIN).awaitTermination()
+    return session.read.schema("value string, logdate string").text(f"{home}/log")
+
+
 def cdc_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, home = settings.stream_session(spark), settings.new_run_dir(spark, "changes")
     lines = views.change_lines_of(_replay(session, sf_dir, "events"))
@@ -279,12 +294,19 @@ def order_hour_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.hour_map(order_hour_compare(spark, sf_dir), "create_hour")
 
 
-def metric_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = dashboard.metric_hours(
+def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.metric_hours(
         devices.first_seen(views.startup_log(spark, sf_dir, EVE, DAY)),
         views.order_info(spark, sf_dir, EVE, DAY),
     )
-    return dashboard.dispatch(metrics, dashboard.ORDER_AMOUNT_ID, DAY)
+
+
+def metric_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.dispatch(_metrics(spark, sf_dir), dashboard.DAU_ID, DAY)
+
+
+def metric_dispatch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.dispatch(_metrics(spark, sf_dir), dashboard.ORDER_AMOUNT_ID, DAY)
 
 
 _QUERIES: tuple[Query, ...] = (
@@ -302,6 +324,7 @@ _QUERIES: tuple[Query, ...] = (
     dau_table_hours,
     dau_stream,
     log_route_stream,
+    raw_log_stream,
     cdc_order_rows,
     cdc_order_stream,
     order_ingest,
@@ -323,6 +346,7 @@ _QUERIES: tuple[Query, ...] = (
     hour_map,
     order_hour_map,
     metric_dispatch,
+    metric_dispatch_orders,
     new_devices,
     bad_records,
     batch_metrics,
