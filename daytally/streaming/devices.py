@@ -21,13 +21,19 @@ from daytally.operators.ingest import startup_records
 from daytally.sources.tables import stream_table
 
 
-def _one_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of each device and day in every Arrow batch."""
-    for batch in batches:
-        columns = {name: batch.column(name) for name in KEY}
-        table = pa.table({**columns, "row": np.arange(batch.num_rows)})
-        first = table.group_by(list(KEY), use_threads=False).aggregate([("row", "min")])
-        yield batch.take(first["row_min"].combine_chunks())
+def _thin_out(startups: DataFrame) -> DataFrame:
+    """Keep the first row of each device and day in every Arrow batch."""
+    key = list(KEY)
+
+    # Defined here so that it travels to the workers by value.
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch.column(name) for name in key}
+            table = pa.table({**columns, "row": np.arange(batch.num_rows)})
+            first = table.group_by(key, use_threads=False).aggregate([("row", "min")])
+            yield batch.take(first["row_min"].combine_chunks())
+
+    return startups.mapInArrow(first_rows, startups.schema)
 
 
 def _midnight(logdate: Column) -> Column:
@@ -49,7 +55,7 @@ def dedupe_devices(startups: DataFrame, keep_days: int | None = None) -> DataFra
     seen; records that come later still are dropped here and merged by
     :func:`late_devices`.
     """
-    fewer = startups.mapInArrow(_one_per_key, startups.schema)
+    fewer = _thin_out(startups)
     if keep_days is None:
         return fewer.dropDuplicates(list(KEY))
     dated = fewer.withColumn("midnight", _midnight(F.col("logdate")))
