@@ -17,8 +17,9 @@ EVENT = "event"
 ORDER = "order"
 MALFORMED = "malformed"
 
-# Fixed value: what JSON allows around an object.
-JSON_BLANKS = " \t\r\n"
+# The fields of a line as text, and with their JSON types.
+TEXT_FIELDS = "map<string,string>"
+TYPED_FIELDS = "map<string,variant>"
 
 
 def _one_object(lines: DataFrame, object_type: T.DataType | str) -> DataFrame:
@@ -40,25 +41,29 @@ def parse_records(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...]
 
 
 def parse_objects(lines: DataFrame) -> DataFrame:
-    """Add ``record``, the line's fields with their JSON types, NULL if malformed.
-
-    ``tidy`` tells whether every field name occurs once; where not, the last
-    field of a name is the one in ``record``.
-    """
-    parsed = _one_object(lines, "map<string,variant>")
-    names = F.map_keys("record")
-    tidy = F.size(F.array_distinct(names)) == F.size(names)
-    return parsed.withColumn("tidy", tidy).withColumn(
-        "record", F.when(F.col("tidy"), F.col("record")).otherwise(_last_wins(F.col("record")))
-    )
+    """Add ``record``, the line's fields as text, NULL if malformed."""
+    return _one_object(lines, TEXT_FIELDS)
 
 
 def malformed(lines: DataFrame) -> DataFrame:
     """The lines that hold no JSON object, unchanged."""
-    bad = _one_object(lines, "map<string,variant>").where(F.col("record").isNull())
+    bad = parse_objects(lines).where(F.col("record").isNull())
     return bad.select(*lines.columns)
 
 
+def _tidy(record: Column) -> Column:
+    """True when every field name occurs once."""
+    names = F.map_keys(record)
+    return F.size(F.array_distinct(names)) == F.size(names)
+
+
+def text_field(record: Column, name: str) -> Column:
+    """A top-level field as text; the last one counts if the name is repeated."""
+    same = F.filter(F.map_entries(record), lambda entry: entry["key"] == name)
+    last = F.try_element_at(same, F.lit(-1))["value"]
+    return F.when(_tidy(record), F.try_element_at(record, F.lit(name))).otherwise(last)
+
+
 def _last_wins(record: Column) -> Column:
     entries = F.map_entries(record)
     last = F.transform(
@@ -68,25 +73,35 @@ def _last_wins(record: Column) -> Column:
     return F.map_from_entries(last)
 
 
-def text_field(record: Column, name: str) -> Column:
-    """A top-level field as text."""
-    return F.try_variant_get(F.try_element_at(record, F.lit(name)), "$", "string")
-
-
-def stamped_json(value: Column, record: Column, tidy: Column, clock: Column) -> Column:
-    """The record as JSON with ``ts`` set to ``clock``, replacing any client ``ts``.
+def stamp(parsed: DataFrame, clock: Column) -> DataFrame:
+    """Set ``ts`` to ``clock`` in the ``value`` of parsed lines, replacing any client ``ts``.
 
-    Other fields keep their types. A line without a ``ts`` is extended as text; the
-    map is written out only where a field must go.
+    Other fields keep their types and a malformed line stays as it is. A line
+    without a ``ts`` is extended as text. Only where a field must go is the line
+    read with its types and written anew.
     """
-    stamp = clock.cast("string")
-    extensible = tidy & (F.size(record) > 0) & ~F.map_contains_key(record, "ts")
-    body = F.btrim(value, F.lit(JSON_BLANKS))
-    head = F.substring(body, F.lit(1), F.length(body) - 1)
-    extended = F.concat(head, F.lit(',"ts":'), stamp, F.lit("}"))
-    others = F.map_filter(record, lambda name, _: name != "ts")
-    rebuilt = F.to_json(F.map_concat(others, F.create_map(F.lit("ts"), F.parse_json(stamp))))
-    return F.when(extensible, extended).otherwise(rebuilt)
+    record, value, typed = F.col("record"), F.col("value"), F.col("typed")
+    extensible = (
+        _tidy(record)
+        & (F.size(record) > 0)
+        & ~F.map_contains_key(record, "ts")
+        & value.endswith("}")
+    )
+    marked = parsed.withColumn("extensible", F.coalesce(extensible, F.lit(False)))
+    read = marked.withColumn(
+        "typed",
+        F.when(record.isNotNull() & ~F.col("extensible"), F.from_json(value, TYPED_FIELDS)),
+    )
+    moment = clock.cast("string")
+    head = F.left(value, F.length(value) - 1)
+    extended = F.concat(head, F.lit(',"ts":'), moment, F.lit("}"))
+    fields = F.when(_tidy(record), typed).otherwise(_last_wins(typed))
+    others = F.map_filter(fields, lambda name, _: name != "ts")
+    rebuilt = F.to_json(F.map_concat(others, F.create_map(F.lit("ts"), F.parse_json(moment))))
+    stamped = (
+        F.when(F.col("extensible"), extended).when(typed.isNotNull(), rebuilt).otherwise(value)
+    )
+    return read.withColumn("value", stamped).drop("extensible", "typed")
 
 
 def topic_of(kind: Column) -> Column:

@@ -17,17 +17,13 @@ def route_lines(lines: DataFrame, clock: Column, keep_malformed: bool = True) ->
     topic, or nowhere when ``keep_malformed`` is false.
     """
     parsed = logs.parse_objects(lines)
-    record, value = F.col("record"), F.col("value")
+    record = F.col("record")
     if not keep_malformed:
         parsed = parsed.where(record.isNotNull())
+    kind = logs.text_field(record, "type")
+    topic = F.when(record.isNull(), logs.MALFORMED).otherwise(logs.topic_of(kind))
     others = [name for name in lines.columns if name != "value"]
-    topic = F.when(record.isNull(), logs.MALFORMED).otherwise(
-        logs.topic_of(logs.text_field(record, "type"))
-    )
-    stamped = F.when(record.isNull(), value).otherwise(
-        logs.stamped_json(value, record, F.col("tidy"), clock)
-    )
-    return parsed.select(*others, topic.alias("topic"), stamped.alias("value"))
+    return logs.stamp(parsed, clock).select(*others, topic.alias("topic"), "value")
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
