@@ -199,13 +199,13 @@ def cdc_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = changes.envelopes(views.change_lines(spark, sf_dir))
-    return changes.order_messages(found, SUBSCRIPTION).select("value")
+    lines = views.change_lines(spark, sf_dir)
+    return changes.order_messages_of_lines(lines, SUBSCRIPTION).select("value")
 
 
 def order_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = changes.envelopes(views.change_lines(spark, sf_dir))
-    return changes.order_rows(changes.order_messages(found, SUBSCRIPTION))
+    lines = views.change_lines(spark, sf_dir)
+    return changes.order_rows(changes.order_messages_of_lines(lines, SUBSCRIPTION))
 
 
 def order_amount(spark: SparkSession, sf_dir: str) -> DataFrame:

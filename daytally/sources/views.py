@@ -131,7 +131,8 @@ def change_lines_of(events: DataFrame) -> DataFrame:
     )
     rows = F.array(F.struct(image.alias("afterColumns"))).alias("rowDatas")
     envelope = F.struct("entryType", "schemaName", "tableName", "eventType", rows)
-    return flat.select(F.to_json(envelope).alias("value"))
+    # Unpacked from an array, so that a filter on the text does not build it again.
+    return flat.select(F.explode(F.array(F.to_json(envelope))).alias("value"))
 
 
 def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from daytally import schemas
-from daytally.operators.changes import envelopes, order_messages, order_rows
+from daytally.operators.changes import order_messages_of_lines, order_rows
 from daytally.sources.tables import stream_table
 from daytally.sources.topics import write_topics
 
@@ -15,7 +15,7 @@ def publish_orders(
     lines: DataFrame, checkpoint: str, subscription: str = ".*", **sink
 ) -> StreamingQuery:
     """Change lines to messages on the order topic, one per inserted order."""
-    return write_topics(order_messages(envelopes(lines), subscription), checkpoint, **sink)
+    return write_topics(order_messages_of_lines(lines, subscription), checkpoint, **sink)
 
 
 def order_stream(

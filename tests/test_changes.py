@@ -26,7 +26,10 @@ def envelope(*images, entry="ROWDATA", schema="shop", table="order_info", event=
 
 def messages(frame, subscription="shop.*"):
     found = changes.order_messages(changes.envelopes(frame), subscription)
-    return sorted(row["value"] for row in found.collect())
+    direct = changes.order_messages_of_lines(frame, subscription)
+    values = sorted(row["value"] for row in found.collect())
+    assert values == sorted(row["value"] for row in direct.collect())
+    return values
 
 
 def test_repeated_column_keeps_last_value(lines):
@@ -59,6 +62,12 @@ def test_everything_else_is_dropped(lines, other):
     assert messages(lines(envelope([("id", "1")], **other), "broken", "")) == []
 
 
+def test_escaped_names_are_found(lines):
+    text = envelope([("id", "1")]).replace("order_info", "\\u006frder_info")
+    assert "order_info" not in text
+    assert messages(lines(text)) == ['{"id":"1"}']
+
+
 def test_subscription_matches_the_whole_name(lines):
     frame = lines(envelope([("id", "1")], schema="myshop"))
     assert messages(frame, "shop.*") == []
