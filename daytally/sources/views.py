@@ -142,14 +142,13 @@ def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 SALE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 
 
-def sale_detail(
-    spark: SparkSession, sf_dir: str, month: str | None = None
-) -> DataFrame:
+def sale_detail(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
     """Order lines with product name, buyer's gender and age; ``dt`` is the order month.
 
-    Orders are narrowed to the wanted month and given their buyers before they
-    meet the order lines. No join is hinted: sizes decide between broadcast and
-    shuffle, and adaptive execution splits keys that hold too many rows.
+    The order lines meet the parts and the orders of the month first, which leave
+    few of them for the join with the buyers. No join is hinted: sizes decide
+    between broadcast and shuffle, and adaptive execution splits keys that hold too
+    many rows.
     """
     orders = table(spark, sf_dir, "orders")
     if month:
@@ -157,19 +156,17 @@ def sale_detail(
         following = (first.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
         last = (following - dt.timedelta(days=1)).isoformat()
         orders = orders.where(in_days(F.col("o_orderdate"), month, last))
-    buyer = F.col("c_custkey")
-    bought = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == buyer).select(
-        "o_orderkey",
-        F.date_format("o_orderdate", "yyyy-MM-01").alias("dt"),
-        F.when(buyer % 2 == 0, "F").otherwise("M").alias("user_gender"),
-        (12 + buyer % 45).cast("int").alias("user_age"),
+    bought = orders.select(
+        "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("dt")
     )
     lines = table(spark, sf_dir, "lineitem")
     named = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return named.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    ordered = named.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
+    buyer = F.col("c_custkey")
+    return ordered.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == buyer).select(
         *SALE_KEY,
         "dt",
         F.col("p_name").alias("sku_name"),
-        "user_gender",
-        "user_age",
+        F.when(buyer % 2 == 0, "F").otherwise("M").alias("user_gender"),
+        (12 + buyer % 45).cast("int").alias("user_age"),
     )
