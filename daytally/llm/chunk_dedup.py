@@ -37,13 +37,13 @@ def chunks_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
 
 
-def clashing_chunks(docs: DataFrame, fingerprint: Fingerprint) -> DataFrame:
-    """(fp, chunk, ordinal) of all chunks whose fingerprint another chunk has too; nearly always empty."""
+def clashing_chunks(docs: DataFrame, fingerprint: Fingerprint) -> DataFrame | None:
+    """(fp, chunk, ordinal) of all chunks whose fingerprint another chunk has too; nearly always there are none."""
     distinct = docs.select(F.explode(chunks_of(F.col("text"))).alias("chunk")).groupBy("chunk").agg(F.lit(1).alias("one"))
     distinct = distinct.select("chunk", fingerprint(F.col("chunk")).alias("fp"))
     shared = stored(distinct.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"))
     if not shared.count():
-        return docs.sparkSession.createDataFrame([], "fp long, chunk string, ordinal int")
+        return None
     order = Window.partitionBy("fp").orderBy("chunk")
     return stored(distinct.join(shared, "fp").select("fp", "chunk", F.row_number().over(order).alias("ordinal")))
 
@@ -55,13 +55,13 @@ def recipes(docs: DataFrame, fingerprint: Fingerprint = F.xxhash64) -> DataFrame
     named = docs.select(
         "doc_id",
         F.sha2("text", 256).alias("text_sha256"),
-        F.transform(chunks_of(F.col("text")), fingerprint).alias("recipe"),
+        F.transform(chunks_of(F.col("text")), lambda chunk: fingerprint(chunk)).alias("recipe"),
     ).withColumn("ordinals", F.array().cast("array<int>"))
-    if not clashes.count():
+    if clashes is None:
         return stored(named)
-    # Documents are told apart by (doc_id, text_sha256) here; equal ones have equal ordinals anyhow.
-    key = ["doc_id", "text_sha256"]
-    places = docs.select("doc_id", F.sha2("text", 256).alias("text_sha256"), F.posexplode(chunks_of(F.col("text"))).alias("at", "chunk"))
+    # Equal texts have equal ordinals, so the text's digest is key enough here; only copies share it.
+    key = ["text_sha256"]
+    places = docs.select(F.sha2("text", 256).alias("text_sha256"), F.posexplode(chunks_of(F.col("text"))).alias("at", "chunk"))
     found = places.withColumn("fp", fingerprint(F.col("chunk"))).join(clashes, ["fp", "chunk"])
     told = found.groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("at", "ordinal"))).alias("told"))
     whole = named.drop("ordinals").join(told, key, "left")
@@ -85,8 +85,9 @@ def exact_groups(docs: DataFrame, fingerprint: Fingerprint = F.xxhash64) -> Data
 def drop_copies(docs: DataFrame) -> DataFrame:
     """docs without the rows whose text a larger doc_id has too; all columns stay as they are.
 
-    Repeated rows of the document that stays become one.
+    Repeated rows of a document that stays are that document, and stay.
     """
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    joined = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return joined
+    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id"))
+    same = same & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("_kept_text"))
+    return docs.join(kept, same, "left_semi")
