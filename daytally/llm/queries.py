@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import chunk_dedup
+from daytally.llm import chunk_dedup, speculative_bpe
+from daytally.llm.common import plain_docs
 from daytally.sources.views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,5 +20,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded and decoded in one pass of the workers; only the digests leave them."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, decode = speculative_bpe.encode_batches(path), speculative_bpe.decode_batches(path)
+
+    def digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in decode(encode(frames)):
+            yield pd.DataFrame(
+                {
+                    "doc_id": frame["doc_id"],
+                    "n_tokens": frame["ids"].map(len),
+                    "ids_sha256": [hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest() for ids in frame["ids"]],
+                    "decoded_sha256": [hashlib.sha256(text.encode()).hexdigest() for text in frame["decoded"]],
+                }
+            )
+
+    kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return plain_docs(table(spark, sf_dir, "documents")).mapInPandas(digests, kinds)
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}

@@ -48,7 +48,7 @@ def test_empty_table_and_clashing_columns(spark):
 
 
 def test_chunks_join_to_the_text_and_survive_an_insertion(spark):
-    text = " ".join(f"word{i * 7919 % 1000} big" for i in range(4000))
+    text = " ".join(f"{'bcdfgh'[i * 7919 % 997 % 6]}ord{'nrstaeiou'[i * 31 % 89 % 9]}" for i in range(8000))
     docs = spark.createDataFrame([(text,), ("intro " + text,)], "text string")
     (first,), (second,) = docs.select(chunk_dedup.chunks_of(F.col("text"))).collect()
     assert "".join(first) == text and len(first) > 20
