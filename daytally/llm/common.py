@@ -22,6 +22,19 @@ def plain_docs(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+#: Stands for a missing doc_id inside Python steps, where a null would turn its column into floats.
+NO_ID = -(1 << 63)
+
+
+def python_docs(docs: DataFrame) -> DataFrame:
+    """plain_docs with NO_ID for a missing doc_id; ids_back undoes that."""
+    return plain_docs(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+
+
+def ids_back(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("doc_id", F.expr(f"nullif(doc_id, {NO_ID + 1} - 1)"))
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """The rows kept in the shared checkpoint folder, so that they are computed once and lineage ends."""
     settings.ensure_checkpoint_dir(frame.sparkSession)

@@ -8,14 +8,22 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, speculative_bpe
-from daytally.llm.common import plain_docs
+from daytally.llm import chunk_dedup, packing, speculative_bpe
+from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.packed(table(spark, sf_dir, "documents"), path, end_id=2)
+    columns = ["doc_id", "start", "length", F.crc32("ids").alias("ids_crc32")]
+    return pieces.select(*columns, "doc_tokens", "sequence_id", "offset", "sequence_cost")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -37,7 +45,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
 
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return plain_docs(table(spark, sf_dir, "documents")).mapInPandas(digests, kinds)
+    return ids_back(python_docs(table(spark, sf_dir, "documents")).mapInPandas(digests, kinds))
 
 
 def queries() -> dict[str, Query]:

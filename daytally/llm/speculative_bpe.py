@@ -29,8 +29,9 @@ import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from daytally.llm.common import blocks, gather, plain_docs
+from daytally.llm.common import NO_ID, blocks, gather, ids_back, python_docs
 
 # The pre-token pattern of this tokenizer family, and the characters that stand for bytes.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -292,9 +293,10 @@ def cut(flat: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids array<int> of every whole text."""
-    return plain_docs(docs).mapInPandas(encode_batches(path), "doc_id long, ids array<int>")
+    return ids_back(python_docs(docs).mapInPandas(encode_batches(path), "doc_id long, ids array<int>"))
 
 
 def decoded(ids: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, decoded text."""
-    return ids.select("doc_id", "ids").mapInPandas(decode_batches(path), "doc_id long, ids array<int>, decoded string")
+    ids = ids.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "ids")
+    return ids_back(ids.mapInPandas(decode_batches(path), "doc_id long, ids array<int>, decoded string"))
