@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, packing, speculative_bpe
+from daytally.llm import chunk_dedup, packing, secrets, speculative_bpe
 from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
@@ -28,6 +28,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scanned(table(spark, sf_dir, "documents"))
+    counts = [secrets.counted(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    digest = F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secrets.shown(F.col("spans")).alias("spans"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded and decoded in one pass of the workers; only the digests leave them."""
     path = public_tokenizers.path("byte_bpe_50k.json")
