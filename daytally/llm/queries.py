@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, packing, secrets, speculative_bpe
+from daytally.llm import chunk_dedup, packing, quality_trees, secrets, speculative_bpe, toxicity_chain
 from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
@@ -35,6 +35,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, secrets.shown(F.col("spans")).alias("spans"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_trees.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_chain.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded and decoded in one pass of the workers; only the digests leave them."""
     path = public_tokenizers.path("byte_bpe_50k.json")
