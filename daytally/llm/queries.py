@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, packing, quality_trees, secrets, speculative_bpe, toxicity_chain
+from daytally.llm import chunk_dedup, packing, permutation_index, quality_trees, secrets, speculative_bpe, toxicity_chain
 from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
@@ -28,6 +28,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scanned(table(spark, sf_dir, "documents"))
     counts = [secrets.counted(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
