@@ -63,9 +63,9 @@ def lifted(rows: np.ndarray, most: float) -> np.ndarray:
     return np.hstack([rows, gap[:, None]])
 
 
-def pivots_of(vectors: DataFrame, most: float) -> np.ndarray:
+def pivots_of(vectors: DataFrame, dimension: int, most: float) -> np.ndarray:
     chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(PIVOTS).select("vector").collect()
-    return lifted(np.array([row.vector for row in chosen], np.float64), most)
+    return lifted(np.array([row.vector for row in chosen], np.float64).reshape(len(chosen), dimension), most)
 
 
 def orders(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -132,7 +132,7 @@ def search(vectors: DataFrame, is_query: Column, wanted: int = 20) -> DataFrame:
     kept = usable(vectors)
     dimension, most = space(kept)
     kept = kept.where(F.size("vector") == dimension)
-    pivots = pivots_of(kept, most)
+    pivots = pivots_of(kept, dimension, most)
     coded = stored(represented(kept, pivots, most))
     queries = coded.where(is_query).dropDuplicates(["vec_id"])
     shards = coded.count() // SHARD_ROWS + 1
