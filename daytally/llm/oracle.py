@@ -2,6 +2,36 @@
 
 from __future__ import annotations
 
+OP1_NEAR_DEDUP = r"""
+with recursive worded as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+  from documents
+), sets as (
+  select doc_id, case when len(words) >= 4
+    then list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')))
+    when len(words) > 0 then [array_to_string(words, ' ')] else [] end as shingles
+  from worded
+), spread as (
+  select doc_id, unnest(shingles) as shingle from sets
+), shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as same
+  from spread a join spread b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2
+), links as (
+  select a, b from shared join sets x on x.doc_id = a join sets y on y.doc_id = b
+  where 100 * same >= 80 * (len(x.shingles) + len(y.shingles) - same)
+), both_ways as (
+  select a, b from links union all select b, a from links
+), reached as (
+  select a, b from both_ways union select r.a, l.b from reached r join both_ways l on r.b = l.a
+), least as (
+  select a as doc_id, min(b) as root from reached group by 1
+)
+select s.doc_id, cast(len(shingles) as bigint) as n_shingles, least(s.doc_id, coalesce(root, s.doc_id)) as component_id,
+       s.doc_id <= coalesce(root, s.doc_id) as kept
+from sets s left join least l on l.doc_id = s.doc_id
+"""
+
 OP4_EXACT_DEDUP = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id = max(doc_id) over same as kept, sha256(body) as text_sha256
@@ -11,4 +41,4 @@ window same as (partition by body)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_EXACT_DEDUP}
+    return {"op1_near_dedup": OP1_NEAR_DEDUP, "op4_exact_dedup": OP4_EXACT_DEDUP}

@@ -10,13 +10,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, packing, permutation_index, quality_trees, secrets, speculative_bpe, toxicity_chain
+from daytally.llm import chunk_dedup, packing, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, toxicity_chain
 from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_dedup.near_groups(table(spark, sf_dir, "documents"), width=4, threshold=0.8)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.packed(table(spark, sf_dir, "documents"), path, end_id=2)
