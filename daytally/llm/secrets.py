@@ -113,19 +113,33 @@ def is_secret(run: Column) -> Column:
     return F.when(needed.isNull(), False).otherwise(window_bits(run) > needed)
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, text, base (spans of the fixed patterns), spans (base and entropy), each in order."""
-    docs = plain_docs(docs)
-    text = F.col("text")
+def _with_spans(frame: DataFrame) -> DataFrame:
+    """Adds _base and _spans for the column _text."""
+    text = F.col("_text")
     values = F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), lambda value: F.length(value) >= ASSIGN_VALUE)
-    base = docs.withColumn(
-        "base",
-        F.sort_array(F.concat(_places(text, ASSIGN, 0, values), _places(text, ACCESS, 1), _places(text, HEX, 2))),
-    )
+    known = F.concat(_places(text, ASSIGN, 0, values), _places(text, ACCESS, 1), _places(text, HEX, 2))
     secret = F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), is_secret)
-    more = base.withColumn("more", _places(text, CANDIDATE, 3, secret))
-    touched = lambda span: F.exists("base", lambda other: (other["start"] < span["stop"]) & (span["start"] < other["stop"]))
-    return more.select("doc_id", "text", "base", F.sort_array(F.concat("base", F.filter("more", lambda span: ~touched(span)))).alias("spans"))
+    both = frame.withColumn("_base", F.sort_array(known)).withColumn("_more", _places(text, CANDIDATE, 3, secret))
+    touched = lambda span: F.exists("_base", lambda other: (other["start"] < span["stop"]) & (span["start"] < other["stop"]))
+    return both.withColumn("_spans", F.sort_array(F.concat("_base", F.filter("_more", lambda span: ~touched(span))))).drop("_more")
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """doc_id, text, base (spans of the fixed patterns), spans (base and entropy), each in order."""
+    found = _with_spans(plain_docs(docs).withColumnRenamed("text", "_text"))
+    return found.select("doc_id", F.col("_text").alias("text"), F.col("_base").alias("base"), F.col("_spans").alias("spans"))
+
+
+def without_secrets(docs: DataFrame) -> DataFrame:
+    """docs with every secret replaced by SHOWN; a column n_chars follows the text, others stay as they are."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"))
+    found = _with_spans(rows).withColumn("_clean", redacted(F.col("_text"), F.col("_spans")))
+    changed = F.size("_spans") > 0
+    new = {"text": F.col("_clean"), "n_chars": F.length("_clean")}
+    own = lambda c: F.col("_row")[c]
+    kinds = dict(docs.dtypes)
+    columns = [F.when(changed, new[c].cast(kinds[c])).otherwise(own(c)).alias(c) if c in new else own(c).alias(c) for c in docs.columns]
+    return found.select(*columns)
 
 
 def shown(spans: Column) -> Column:

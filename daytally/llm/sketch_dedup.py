@@ -281,3 +281,9 @@ def near_groups(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> Data
     named = named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     kept = (F.col("doc_id") == F.col("component_id")) & F.col("component_id").isNotNull()
     return ids_back(named.withColumn("kept", F.coalesce(kept, F.lit(False))))
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """docs with only the smallest doc_id of each group of near copies; all columns stay as they are."""
+    dropped = near_groups(docs, width, threshold).where("doc_id is not null and not kept").select(F.col("doc_id").alias("_dropped_id"))
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped_id"), "left_anti")
