@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,11 @@ PACK_BYTES = 6_000_000
 #: Relative cost of a token itself and of a pair of tokens; attention weighs as much as the rest at 1/QUADRATIC tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / 8192
 #: Units that a worker remembers before it starts anew, and the longest one worth remembering.
-CACHE_UNITS, LONGEST_KEPT = 400_000, 256
+CACHE_UNITS, LONGEST_KEPT = 500_000, 256
+#: Marks that some lower-case but no upper-case ASCII letter composes with, and the start of a special token.
+UPPER_MATTERS = re.compile("[\u0300-\u036f]|<\\|")
+#: Punctuation that may be told from the word before it.
+TRAILING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Sequence numbers of a pack start at the pack's number times this.
 PACK_STRIDE = 1 << 32
 
@@ -43,10 +48,11 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 
 class UnitTokenizer:
-    """A library tokenizer that drops white space, applied once to each distinct piece between spaces.
+    """A library tokenizer that drops white space and case, applied once to each distinct piece.
 
-    Its splits never reach over a space and its normaliser composes nothing with one, so the ids of
-    a text are those of its pieces.
+    Its splits never reach over white space and its normaliser composes nothing with it, so the ids
+    of a text are those of the pieces between spaces and line ends. Nor do they reach from ASCII
+    letters into punctuation, so a word with punctuation after it is two pieces.
     """
 
     def __init__(self, path: str):
@@ -60,12 +66,27 @@ class UnitTokenizer:
 
     def forget(self) -> None:
         self.codes: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {}
         self.flat = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.counts = np.empty(0, np.int64)
 
+    def plain(self, text: str) -> str:
+        """The text with spaces for line ends, and A-Z lowered unless that could change more than case."""
+        if not (UPPER_MATTERS.search(text) if not text.isascii() else "<|" in text):
+            text = text.encode().lower().decode()
+        return text.replace("\n", " ")
+
     def remember(self, units: list[str]) -> None:
-        found = [x.ids for x in self.library.encode_batch(units, add_special_tokens=False)]
+        parts = []
+        for unit in units:
+            stem = unit.rstrip(TRAILING)
+            whole = len(stem) == len(unit) or not (stem.isascii() and stem.isalpha())
+            parts.append((unit,) if whole else (stem, unit[len(stem) :]))
+        known = self.parts
+        new = list({part for own in parts for part in own if part not in known})
+        known.update(zip(new, [x.ids for x in self.library.encode_batch_fast(new, add_special_tokens=False)], strict=True))
+        found = [known[own[0]] if len(own) == 1 else known[own[0]] + known[own[1]] for own in parts]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         first = len(self.flat)
         self.flat = np.concatenate([self.flat, np.fromiter((t for x in found for t in x), np.uint32, counts.sum())])
@@ -77,7 +98,7 @@ class UnitTokenizer:
             self.forget()
         codes, new, rows = self.codes, [], []
         for text in texts:
-            units = text.split(" ")
+            units = self.plain(text).split(" ")
             try:
                 row = np.fromiter(map(codes.__getitem__, units), np.int64, len(units))
             except KeyError:
@@ -89,7 +110,11 @@ class UnitTokenizer:
             rows.append(row)
         if new:
             self.remember(new)
-        found = [gather(self.flat, self.starts[row], self.counts[row]) for row in rows]
+        every = np.concatenate(rows) if rows else np.empty(0, np.int64)
+        counts = self.counts[every]
+        ids = gather(self.flat, self.starts[every], counts)
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([len(row) for row in rows])]
+        found = np.split(ids, ends[:-1]) if rows else []
         if any(len(unit) > LONGEST_KEPT for unit in new):
             self.forget()
         return found
@@ -109,9 +134,9 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = unit_tokenizer(path)
-        end = np.array([end_id], np.uint32)
+        end = np.array([end_id], "<u4").tobytes()
         for frame in blocks(frames):
-            ids = [np.concatenate([x, end]).astype("<u4").tobytes() for x in tokenizer.encode(frame["text"].tolist())]
+            ids = [x.astype("<u4", copy=False).tobytes() + end for x in tokenizer.encode(frame["text"].tolist())]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "pack": frame["pack"], "ids": ids})
 
     spread = partitions_for(docs.sparkSession, min(packs, 100_000))

@@ -12,7 +12,7 @@ from daytally.llm import packing, queries
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PIECES = [
     "a", "Words", "The", " ", "  ", "\n", "\t", "'s", "'", "<|endoftext|>", "0", "é", "é", "̈", "汉", "😀", "\x1c",
-    "\x85", "\x00", "!!", "...", "İ", "Σ", "ΑΣ", "\r\n", " ", "�",
+    "\x85", "\x00", "!!", "...", "İ", "Σ", "T\u0308", "W\u030a", "<|STARTOFTEXT|>", "Word,", "word***", "don't.", "x<|", "A.B", "ΑΣ", "\r\n", " ", "�",
 ]
 
 
