@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, packing, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, toxicity_chain
+from daytally.llm import chunk_dedup, context_tree, packing, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, toxicity_chain
 from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
@@ -32,6 +32,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scored(table(spark, sf_dir, "documents"), held_out=1)
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
