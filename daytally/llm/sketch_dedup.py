@@ -3,7 +3,8 @@
 A document's set is its distinct shingles of some words, lower-cased in A-Z. Its sketch has
 REGISTERS registers: the exponent, to base BASE, of the smallest of exponentially spaced values of
 the set's elements under one hash each, so registers of a union are the larger of the two. Equal
-sets are one class. ROWS registers make a band; classes that agree in a band share a bucket.
+sets are one class. The first BANDS * ROWS registers make bands; classes that agree in a band share
+a bucket.
 
 1. In each bucket every class is paired with the bucket's smallest class (its centre): as many pairs
    as members. Pairs whose jointly estimated similarity could reach the threshold are compared on
@@ -38,11 +39,11 @@ from pyspark.sql import functions as F
 from daytally.llm.common import NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, stored
 from daytally.llm.components import components
 
-REGISTERS, ROWS, BASE, RATE = 128, 4, 1.001, 20.0
-BANDS = REGISTERS // ROWS
-TOP = (1 << 16) - 1
+REGISTERS, BASE, RATE, TOP = 512, 1.06, 20.0, 255
+#: Bands and registers of a band; together the first registers.
+BANDS, ROWS = 32, 4
 #: A pair is verified when its estimated similarity is at most this much below the threshold.
-MARGIN = 0.17
+MARGIN = 0.1
 BLOCK = 1024
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -50,8 +51,8 @@ _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_ADD = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) << np.uint64(20))
-_TIMES = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) << np.uint64(40)) | np.uint64(1)
+_ADD = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) << np.uint64(20)).astype(np.uint32)
+_TIMES = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64) << np.uint64(40)).astype(np.uint32) | np.uint32(1)
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,13 +95,13 @@ def shingle_hashes(texts: list[str], width: int) -> list[np.ndarray]:
 def registers(sets: list[np.ndarray]) -> np.ndarray:
     """One row of REGISTERS for each set that is not empty."""
     sizes = np.array([len(x) for x in sets], np.int64)
-    flat = np.concatenate(sets)
+    flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum(sizes) - sizes
-    least = np.empty((REGISTERS, len(sets)), np.uint64)
+    least = np.empty((REGISTERS, len(sets)), np.uint32)
     for i in range(REGISTERS):
         least[i] = np.minimum.reduceat((flat ^ _ADD[i]) * _TIMES[i], starts)
-    spaced = -np.log1p(-(least.T.astype(np.float64) + 0.5) / 2.0**64 * (1 - 1e-16)) / RATE
-    return np.clip(np.floor(1 - np.log(spaced) / np.log(BASE)), 0, TOP).astype(np.uint16)
+    spaced = -np.log1p(-(least.T.astype(np.float64) + 0.5) / 2.0**32) / RATE
+    return np.clip(np.floor(1 - np.log(spaced) / np.log(BASE)), 0, TOP).astype(np.uint8)
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -148,7 +149,7 @@ def similarity_estimate(first: np.ndarray, second: np.ndarray, n: np.ndarray, m:
 
 
 def unpacked(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint16).reshape(len(column), REGISTERS)
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), REGISTERS)
 
 
 def likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -187,8 +188,7 @@ def shingle_sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
 
 
 def band_keys(registers: Column) -> list[Column]:
-    width = 2 * ROWS
-    return [F.xxhash64(F.lit(band), F.substring(registers, band * width + 1, width)) for band in range(BANDS)]
+    return [F.xxhash64(F.lit(band), F.substring(registers, band * ROWS + 1, ROWS)) for band in range(BANDS)]
 
 
 def block_pairs(threshold: float):
@@ -211,7 +211,8 @@ def block_pairs(threshold: float):
             if not len(other):
                 continue
             equal = rows[other] == rows[i]
-            other, equal = other[equal.sum(axis=1) >= (least - 0.05) * REGISTERS], equal[equal.sum(axis=1) >= (least - 0.05) * REGISTERS]
+            near = equal.sum(axis=1) >= (least - 0.05) * REGISTERS
+            other, equal = other[near], equal[near, : BANDS * ROWS]
             first = equal.reshape(len(other), BANDS, ROWS).all(axis=2).argmax(axis=1) if len(other) else other
             other = other[first == band]
             if len(other):
@@ -269,7 +270,7 @@ def near_groups(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> Data
     members = stored(bands.join(buckets, "key"))
     sets = stored(shingle_sets(docs, members.select("rep").distinct(), width))
     pairs = members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-    star = stored(compared(likely(pairs, classes, threshold - 2 * MARGIN), sets))
+    star = stored(compared(likely(pairs, classes, threshold / 2), sets))
     linked = lambda frame: frame.where(100 * F.col("same") >= percent * F.col("either")).select("a", "b")
     roots = stored(components(linked(star)))
     more = stored(linked(compared(residual_pairs(members, roots, classes, star, threshold), sets)))
