@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, context_tree, packing, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, toxicity_chain
+from daytally.llm import chunk_dedup, context_tree, packing, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, suffix_runs, toxicity_chain
 from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
@@ -28,6 +28,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(*columns, "doc_tokens", "sequence_id", "offset", "sequence_cost")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_runs.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), digest)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
