@@ -1,9 +1,11 @@
 """JSON log lines: reading, time-stamping and routing.
 
 A record is a line that holds exactly one JSON object. The line is wrapped in
-brackets before it is parsed, so that anything else (broken text, a bare number,
-trailing garbage, two objects) shows in the array that comes out. The array is
-unpacked by a generator: no later use or filter can make Spark parse again.
+brackets together with a closing mark before it is parsed, so that anything else
+(broken text, a bare number, trailing garbage, two objects, a bracket that ends the
+array early) shows in the array that comes out: the object first, the mark with the
+line's checksum second, and nothing else. The array is unpacked by a generator: no
+later use or filter can make Spark parse again.
 """
 
 from __future__ import annotations
@@ -17,27 +19,45 @@ EVENT = "event"
 ORDER = "order"
 MALFORMED = "malformed"
 
+# The name of the closing mark's only field.
+MARK = "line checksum"
+
 # The fields of a line as text, and with their JSON types.
 TEXT_FIELDS = "map<string,string>"
 TYPED_FIELDS = "map<string,variant>"
 
 
-def _one_object(lines: DataFrame, object_type: T.DataType | str) -> DataFrame:
-    """Add ``record``, the line's object, or NULL for a line that is not just one."""
+def _one_object(lines: DataFrame, object_type: T.StructType | str) -> DataFrame:
+    """Add ``record``, the line's object, or NULL for a line that is not just one.
+
+    A struct type gets the mark's field too, which callers leave out.
+    """
+    checksum = F.crc32(F.col("value").cast("binary")).cast("string")
     if isinstance(object_type, str):
         array_type = f"array<{object_type}>"
+        mark = F.try_element_at(F.get("objects", F.lit(1)), F.lit(MARK))
     else:
-        array_type = T.ArrayType(object_type)
-    text = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+        array_type = T.ArrayType(T.StructType([*object_type.fields, T.StructField(MARK, T.StringType())]))
+        mark = F.get("objects", F.lit(1))[MARK]
+    closing = F.concat(F.lit(f',{{"{MARK}":"'), checksum, F.lit('"}]'))
+    text = F.concat(F.lit("["), F.col("value"), closing)
     parsed = lines.withColumn("objects", F.from_json(text, array_type))
-    single = F.when(F.size("objects") == 1, F.col("objects"))
+    whole = (F.size("objects") == 2) & (mark == checksum)
+    single = F.when(whole, F.slice("objects", 1, 1))
     return parsed.select(*lines.columns, F.explode_outer(single).alias("record"))
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """All lines with the columns of ``schema`` and ``readable``, whether they hold one object."""
+    found = _one_object(lines, schema)
+    fields = [F.col("record")[name].alias(name) for name in schema.fieldNames()]
+    return found.select(*lines.columns, *fields, F.col("record").isNotNull().alias("readable"))
+
+
 def parse_records(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """``value`` JSON lines to typed columns; malformed lines give no row."""
-    found = _one_object(lines.select(*keep, "value"), schema).where(F.col("record").isNotNull())
-    return found.select(*keep, "record.*")
+    found = parse_lines(lines.select(*keep, "value"), schema).where("readable")
+    return found.select(*keep, *schema.fieldNames())
 
 
 def parse_objects(lines: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from daytally.operators import measures
 from daytally.operators.ingest import startup_records
 from daytally.plans import dashboard
 from daytally.plans.sale_report import sale_report
+from daytally.schemas import DAU_COLUMNS
 from daytally.sources import tables, topics
 from daytally.streaming.collect import collect_logs, keep_raw_log
 from daytally.streaming.devices import device_stream, late_devices
@@ -71,16 +72,30 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
 
 
 def orders(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-    return order_stream(_topic(spark, args, ORDER), args.checkpoint, args.table, _trigger(args))
+    return order_stream(
+        _topic(spark, args, ORDER),
+        args.checkpoint,
+        args.table,
+        _trigger(args),
+        args.keep_days,
+        args.files_per_day,
+    )
 
 
 def late(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Merge what the device stream dropped on a day, from the raw log of that day."""
+    """Merge what the device stream dropped on a day, from the raw log of that day.
+
+    ``--table`` names the stream's tables alone; the day is replaced in the late table,
+    so running the job again changes nothing.
+    """
+    if args.late_table in args.table:
+        raise SystemExit("--table must not name the late table")
     raw = spark.read.schema("value string, logdate string").text(args.raw)
     is_startup = F.get_json_object("value", "$.type") == STARTUP
     lines = raw.where((F.col("logdate") == args.date) & is_startup).select("value")
     known = tables.read_dau(spark, *args.table).where(F.col("logdate") == args.date)
-    tables.append_dau(late_devices(startup_records(lines), known), args.late_table)
+    found = late_devices(startup_records(lines), known).select(*DAU_COLUMNS)
+    tables.replace_days(found.where(F.col("logdate") == args.date), args.late_table, "logdate")
 
 
 def _print_json(answer: DataFrame) -> None:
@@ -141,8 +156,9 @@ def _parser() -> argparse.ArgumentParser:
             add("--sink-option", action="append", default=[])
         else:
             add("--table", required=True)
-    commands[devices].add_argument("--keep-days", type=int)
-    commands[devices].add_argument("--files-per-day", type=int)
+    for job in (devices, orders):
+        commands[job].add_argument("--keep-days", type=int)
+        commands[job].add_argument("--files-per-day", type=int)
     commands[devices].add_argument("--state-partitions", type=int)
     commands[publish].add_argument("--subscription", default=".*")
     for job in (late, *REPORTS):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally import schemas
 from daytally.functions import logs
+from daytally.functions.calendar import DAY
 from daytally.functions.changes import row_image
 
 # The entry type, table and operation whose rows become messages.
@@ -14,12 +15,21 @@ ROW_ENTRY = "ROWDATA"
 ORDER_TABLE = "order_info"
 INSERT = "INSERT"
 
+# Why a line is no change record, or a message no order row.
+MALFORMED, NO_ID, BAD_TIME, BAD_AMOUNT = "malformed", "no id", "bad time", "bad amount"
+
 
 def envelopes(lines: DataFrame) -> DataFrame:
     """JSON change records to their columns; malformed lines give no row."""
     return logs.parse_records(lines, schemas.CHANGE_ENVELOPE)
 
 
+def change_rejects(lines: DataFrame) -> DataFrame:
+    """Change lines that are not one JSON object each, with the reason."""
+    bad = logs.parse_lines(lines.select("value"), schemas.CHANGE_ENVELOPE).where("not readable")
+    return bad.select("value", F.lit(MALFORMED).alias("reason"))
+
+
 def possible_inserts(lines: DataFrame) -> DataFrame:
     """Leave out lines that cannot be an order insert, without parsing them.
 
@@ -59,15 +69,45 @@ def order_messages_of_lines(lines: DataFrame, subscription: str = ".*") -> DataF
     return order_messages(envelopes(possible_inserts(lines)), subscription)
 
 
+def checked_orders(messages: DataFrame) -> DataFrame:
+    """Order messages to ``value``, the columns of the order table, and ``reason``.
+
+    ``reason`` is NULL for a row and otherwise says why there is none: the message is
+    not one JSON object, has no id, no readable day and hour, or no readable amount.
+    """
+    parsed = logs.parse_lines(messages.select("value"), schemas.ORDER_MESSAGE)
+    day, hour = F.substring("create_time", 1, 10), F.substring("create_time", 12, 2)
+    amount = F.col("total_amount").try_cast("double")
+    timed = F.try_to_date(day, DAY).isNotNull() & hour.rlike("^([01][0-9]|2[0-3])$")
+    finite = amount.isNotNull() & ~F.isnan(amount) & (F.abs(amount) < float("inf"))
+    reason = (
+        F.when(~F.col("readable"), MALFORMED)
+        .when(F.coalesce(F.length("id"), F.lit(0)) == 0, NO_ID)
+        .when(~F.coalesce(timed, F.lit(False)), BAD_TIME)
+        .when(~F.coalesce(finite, F.lit(False)), BAD_AMOUNT)
+    )
+    columns = ["id", day.alias("create_date"), hour.alias("create_hour"), amount.alias("total_amount")]
+    return parsed.select("value", *columns, reason.alias("reason"))
+
+
 def order_rows(messages: DataFrame) -> DataFrame:
     """Order messages to rows of the order table.
 
     Only inserts become messages, so a later change of an order is not seen here.
     """
-    parsed = logs.parse_records(messages, schemas.ORDER_MESSAGE)
-    return parsed.select(
-        "id",
-        F.substring("create_time", 1, 10).alias("create_date"),
-        F.substring("create_time", 12, 2).alias("create_hour"),
-        F.col("total_amount").try_cast("double").alias("total_amount"),
-    )
+    return checked_orders(messages).where("reason is null").drop("value", "reason")
+
+
+def order_rejects(messages: DataFrame) -> DataFrame:
+    """The messages that give no order row, with the reason."""
+    return checked_orders(messages).where("reason is not null").select("value", "reason")
+
+
+def single_orders(orders: DataFrame) -> DataFrame:
+    """One row per order id, since change logs and topics deliver at least once.
+
+    Copies of a message are equal; of different rows with one id the least stays,
+    whole. Spark keeps one candidate per id in every input task before it shuffles.
+    """
+    order = Window.partitionBy("id").orderBy("create_date", "create_hour", "total_amount")
+    return orders.withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank")

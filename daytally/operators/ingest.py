@@ -30,14 +30,48 @@ def malformed_lines(lines: DataFrame) -> DataFrame:
     return logs.malformed(lines)
 
 
-def startup_records(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Startup lines to the columns of the device table, ``keep`` columns first.
+# Why a startup line is no startup record.
+MALFORMED, NO_DEVICE, BAD_TIME = "malformed", "no device", "bad time"
+# How far ahead of the clock a record's time may be, in milliseconds.
+AHEAD = 86_400_000
 
-    A record without ``ts`` counts as epoch 0, so that it is not lost on the way.
+
+def checked_startups(
+    lines: DataFrame, keep: tuple[str, ...] = (), clock: Column | None = None
+) -> DataFrame:
+    """Startup lines to ``keep``, ``value``, the columns of the device table, and ``reason``.
+
+    ``reason`` is NULL for a record and otherwise says why there is none: the line is
+    not one JSON object, its device is missing or empty, or its ``ts`` is missing, no
+    whole number (quoted or not), before 1970 or more than AHEAD after ``clock`` (epoch
+    ms, the time of the batch by default). So nothing is lost silently, and one absurd
+    time can't move a watermark.
     """
-    parsed = logs.parse_records(lines, schemas.STARTUP_WIRE, keep)
-    ts = F.coalesce(F.col("ts"), F.lit(0).cast("bigint"))
-    dated = parsed.withColumn("ts", ts).withColumns(
-        {"logdate": day_of(F.col("ts")), "loghour": hour_of(F.col("ts"))}
+    parsed = logs.parse_lines(lines.select(*keep, "value"), schemas.STARTUP_WIRE)
+    now = F.unix_millis(F.current_timestamp()) if clock is None else clock
+    ts = F.when(F.col("ts").rlike("^[0-9]{1,18}$"), F.col("ts").try_cast("bigint"))
+    timely = F.coalesce(ts <= now + AHEAD, F.lit(False))
+    reason = (
+        F.when(~F.col("readable"), MALFORMED)
+        .when(F.coalesce(F.length("mid"), F.lit(0)) == 0, NO_DEVICE)
+        .when(~timely, BAD_TIME)
     )
-    return dated.select(*keep, *schemas.DAU_COLUMNS)
+    dated = parsed.withColumn("reason", reason).withColumn("ts", F.when(F.col("reason").isNull(), ts))
+    dated = dated.withColumns({"logdate": day_of(F.col("ts")), "loghour": hour_of(F.col("ts"))})
+    return dated.select(*keep, "value", *schemas.DAU_COLUMNS, "reason")
+
+
+def startup_records(
+    lines: DataFrame, keep: tuple[str, ...] = (), clock: Column | None = None
+) -> DataFrame:
+    """Startup lines to the columns of the device table, ``keep`` columns first."""
+    good = checked_startups(lines, keep, clock).where("reason is null")
+    return good.select(*keep, *schemas.DAU_COLUMNS)
+
+
+def startup_rejects(
+    lines: DataFrame, keep: tuple[str, ...] = (), clock: Column | None = None
+) -> DataFrame:
+    """The lines that give no startup record, with the reason."""
+    bad = checked_startups(lines, keep, clock).where("reason is not null")
+    return bad.select(*keep, "value", "reason")

@@ -145,6 +145,10 @@ def oracle_sql() -> dict[str, str]:
         f"from order_info where create_date = '{DAY}' group by create_hour"
     )
     messages = f"with {_CHANGES} select {_ORDER_MESSAGE} as value from inserted"
+    order_table = (
+        f"with {_CHANGES} select cast(id as varchar) as id, create_time[1:10] as create_date, "
+        "create_time[12:13] as create_hour, cast(total_amount as double) as total_amount from inserted"
+    )
     return {
         "dau_hour_count": dau_hours,
         "dau_total": f"with {_DAU} select count(*) as ct from dau where logdate = '{DAY}'",
@@ -170,10 +174,19 @@ def oracle_sql() -> dict[str, str]:
         "raw_log_stream": f"with {_APP_LOG} select {_CLIENT_LINE} as value, logdate from app_log",
         "cdc_order_rows": messages,
         "cdc_order_stream": messages,
-        "order_ingest": (
-            f"with {_CHANGES} select cast(id as varchar) as id, create_time[1:10] as create_date, "
-            "create_time[12:13] as create_hour, cast(total_amount as double) as total_amount from inserted"
+        "order_ingest": order_table,
+        "order_single": order_table,
+        "order_stream_table": order_table,
+        "startup_rejects": (
+            f"with {_STARTUP} select reason, count(*) as n from (select case when event_id % 11 in (0, 1) "
+            "then 'malformed' when event_id % 11 = 5 then 'no device' when event_id % 11 in (3, 4, 6) "
+            "then 'bad time' end as reason from startup_log) where reason is not null group by reason"
+        ),
+        "change_rejects": (
+            f"with {_CHANGES} select 'malformed' as reason, "
+            "(select count(*) from change_flat) + (select count(*) from documents) as n"
         ),
+        "order_rejects": f"with {_CHANGES} select 'bad amount' as reason, count(*) as n from inserted",
         "order_amount": (
             f"with {_ORDERS} select {_money('total_amount')} as total_amount "
             f"from order_info where create_date = '{DAY}'"

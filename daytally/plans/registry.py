@@ -15,7 +15,7 @@ from daytally.plans.sale_report import sale_report as report
 from daytally.sources import tables, topics, views
 from daytally.streaming.collect import collect_logs, keep_raw_log
 from daytally.streaming.devices import device_stream
-from daytally.streaming.orders import publish_orders
+from daytally.streaming.orders import order_stream, publish_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,6 +140,24 @@ def bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.malformed_lines(mixed)
 
 
+def startup_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Startup lines of which some are broken: text behind, odd times, no device."""
+    kind, line = F.col("event_id") % 11, F.col("value")
+    timed = lambda ts: F.regexp_replace(line, '"ts":([0-9]+)', f'"ts":{ts}')
+    broken = (
+        F.when(kind == 0, F.concat(line, F.lit("] lost")))
+        .when(kind == 1, F.concat(line, F.lit('],[{"b":2}')))
+        .when(kind == 2, timed('"$1"'))
+        .when(kind == 3, timed("9223372036854775807"))
+        .when(kind == 4, timed("$1000"))
+        .when(kind == 5, F.regexp_replace(line, '"mid":"[^"]*"', '"mid":""'))
+        .when(kind == 6, timed('"soon"'))
+        .otherwise(line)
+    )
+    lines = _startup_lines(spark, sf_dir).select(broken.alias("value"))
+    return ingest.startup_rejects(lines).groupBy("reason").agg(measures.rows().alias("n"))
+
+
 # Streams. Each reads a supplied table as its source, runs until the input is
 # used up, and gives back what its sink holds.
 
@@ -208,6 +226,43 @@ def order_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.order_rows(changes.order_messages_of_lines(lines, SUBSCRIPTION))
 
 
+def change_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change lines, the same lines with text behind them, and prose."""
+    lines = views.change_lines(spark, sf_dir).select("value")
+    spoiled = lines.select(F.concat("value", F.lit("] lost")).alias("value"))
+    prose = views.table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    found = changes.change_rejects(lines.union(spoiled).union(prose))
+    return found.groupBy("reason").agg(measures.rows().alias("n"))
+
+
+def order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages, and the same ones with an amount that is no number."""
+    lines = views.change_lines(spark, sf_dir)
+    sent = changes.order_messages_of_lines(lines, SUBSCRIPTION).select("value")
+    spoiled = sent.select(F.replace("value", F.lit('"total_amount":"'), F.lit('"total_amount":"x')).alias("value"))
+    return changes.order_rejects(sent.union(spoiled)).groupBy("reason").agg(measures.rows().alias("n"))
+
+
+def order_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change delivered twice, every order stored once."""
+    lines = views.change_lines(spark, sf_dir)
+    twice = changes.order_messages_of_lines(lines.union(lines), SUBSCRIPTION)
+    return changes.single_orders(changes.order_rows(twice))
+
+
+def order_stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change delivered twice through both streams."""
+    session, home = settings.stream_session(spark), settings.new_run_dir(spark, "order-table")
+    lines = views.change_lines_of(_replay(session, sf_dir, "events"))
+    again = views.change_lines_of(_replay(session, sf_dir, "events"))
+    publish_orders(
+        lines.union(again), f"{home}/c1", SUBSCRIPTION, fmt="text", path=f"{home}/topics", trigger=DRAIN
+    ).awaitTermination()
+    messages = topics.stream_topic(session, ORDER, "text", f"{home}/topics")
+    order_stream(messages, f"{home}/c2", f"{home}/table", DRAIN).awaitTermination()
+    return tables.read_orders(session, f"{home}/table")
+
+
 def order_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures.order_total(views.order_info(spark, sf_dir, DAY, DAY), DAY)
 
@@ -328,6 +383,11 @@ _QUERIES: tuple[Query, ...] = (
     cdc_order_rows,
     cdc_order_stream,
     order_ingest,
+    startup_rejects,
+    change_rejects,
+    order_rejects,
+    order_single,
+    order_stream_table,
     order_amount,
     order_hour_amount,
     order_hour_compare,

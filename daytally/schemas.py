@@ -9,11 +9,9 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.StringType()) for name in names]
 
 
-# A startup record as it arrives: JSON text with the collector's ts.
-STARTUP_WIRE = T.StructType(
-    _strings("type", "mid", "uid", "os", "appid", "area", "ch", "vs")
-    + [T.StructField("ts", T.LongType())]
-)
+# A startup record as it arrives. The collector's ts is read as text, so that a
+# value of the wrong kind can be told from a missing one.
+STARTUP_WIRE = T.StructType(_strings("type", "mid", "uid", "os", "appid", "area", "ch", "vs", "ts"))
 
 # The daily-active-device table, in its column order.
 DAU = T.StructType(

@@ -44,6 +44,12 @@ def append_table(rows: DataFrame, path: str, day_column: str) -> None:
     rows.hint("rebalance", F.col(day_column)).write.mode("append").partitionBy(day_column).parquet(path)
 
 
+def replace_days(rows: DataFrame, path: str, day_column: str) -> None:
+    """Write the days that ``rows`` holds, in place of what a day-partitioned table had of them."""
+    writer = rows.hint("rebalance", F.col(day_column)).write.mode("overwrite").partitionBy(day_column)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def append_dau(devices: DataFrame, path: str) -> None:
     append_table(devices.select(schemas.DAU_COLUMNS), path, "logdate")
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from daytally import schemas
 from daytally.operators.devices import KEY, new_on_day
-from daytally.operators.ingest import startup_records
+from daytally.operators.ingest import checked_startups
 from daytally.sources.tables import stream_table
 
 
@@ -74,9 +74,13 @@ def device_stream(
 ) -> StreamingQuery:
     """Startup lines to the device table, with the row counts before and after.
 
-    The counts ride on the query's progress events, so they cost no extra pass.
+    The counts ride on the query's progress events, so they cost no extra pass. Lines
+    that give no record are counted as rejected; ``ingest.startup_rejects`` shows them.
     """
-    startups = startup_records(lines).observe("startups", F.count(F.lit(1)).alias("received"))
+    checked = checked_startups(lines).observe(
+        "startups", F.count(F.lit(1)).alias("received"), F.count("reason").alias("rejected")
+    )
+    startups = checked.where("reason is null").select(schemas.DAU_COLUMNS)
     devices = dedupe_devices(startups, keep_days)
     counted = devices.observe("devices", F.count(F.lit(1)).alias("kept"))
     return stream_table(
@@ -93,7 +97,9 @@ def device_stream(
 def late_devices(raw_startups: DataFrame, devices: DataFrame) -> DataFrame:
     """Devices of the raw log that the stream dropped as too late.
 
-    Run in batch on the days in question; append the rows to a table of their own,
-    which is read together with the stream's.
+    Run in batch on days that have left the stream's state; the rows replace those days
+    in a table of their own (``tables.replace_days``), which is read together with the
+    stream's. ``devices`` is the stream's table alone, so that running it again changes
+    nothing.
     """
     return new_on_day(raw_startups, devices.select(*KEY))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from daytally import schemas
-from daytally.operators.changes import order_messages_of_lines, order_rows
+from daytally.operators.changes import checked_orders, order_messages_of_lines
 from daytally.sources.tables import stream_table
 from daytally.sources.topics import write_topics
 
@@ -19,8 +20,28 @@ def publish_orders(
 
 
 def order_stream(
-    messages: DataFrame, checkpoint: str, path: str, trigger: dict | None = None
+    messages: DataFrame,
+    checkpoint: str,
+    path: str,
+    trigger: dict | None = None,
+    keep_days: int | None = None,
+    files_per_day: int | None = None,
 ) -> StreamingQuery:
-    """Order messages to the order table."""
-    rows = order_rows(messages).select(schemas.ORDER_INFO.fieldNames())
-    return stream_table(rows, checkpoint, path, "create_date", trigger)
+    """Order messages to the order table, each id of a day once.
+
+    Messages that give no row are counted as rejected; ``changes.order_rejects`` shows
+    them. With ``keep_days`` a day leaves the state once an order that many days younger
+    has come.
+    """
+    checked = checked_orders(messages).observe(
+        "orders", F.count(F.lit(1)).alias("received"), F.count("reason").alias("rejected")
+    )
+    rows = checked.where("reason is null").select(schemas.ORDER_INFO.fieldNames())
+    key = ["create_date", "id"]
+    if keep_days is None:
+        rows = rows.dropDuplicates(key)
+    else:
+        midnight = F.timestamp_seconds(F.unix_date(F.col("create_date").cast("date")).cast("bigint") * 86_400)
+        dated = rows.withColumn("midnight", midnight).withWatermark("midnight", f"{keep_days} days")
+        rows = dated.dropDuplicates(["midnight", "id"]).drop("midnight")
+    return stream_table(rows, checkpoint, path, "create_date", trigger, files_per_day)

@@ -80,10 +80,43 @@ def test_order_rows(lines):
         '{"id":"8","total_amount":"","create_time":""}',
         "broken",
     )
-    assert {tuple(row) for row in changes.order_rows(frame).collect()} == {
-        ("7", "2024-01-15", "09", 12.5),
-        ("8", "", "", None),
-    }
+    assert rows(changes.order_rows(frame)) == [("7", "2024-01-15", "09", 12.5)]
+    assert rows(changes.order_rejects(frame)) == [
+        ("broken", "malformed"),
+        ('{"id":"8","total_amount":"","create_time":""}', "bad time"),
+    ]
+
+
+@pytest.mark.parametrize(
+    ("message", "reason"),
+    [
+        ('{"id":"1","total_amount":"x","create_time":"2024-01-15 09"}', "bad amount"),
+        ('{"id":"1","total_amount":"NaN","create_time":"2024-01-15 09"}', "bad amount"),
+        ('{"id":"1","create_time":"2024-01-15 09"}', "bad amount"),
+        ('{"id":"1","total_amount":"1","create_time":"2024-13-15 09"}', "bad time"),
+        ('{"id":"1","total_amount":"1","create_time":"2024-01-15 24"}', "bad time"),
+        ('{"id":"","total_amount":"1","create_time":"2024-01-15 09"}', "no id"),
+        ('{"total_amount":"1","create_time":"2024-01-15 09"}', "no id"),
+        ('{"id":"1"}] lost', "malformed"),
+    ],
+)
+def test_order_rejects(lines, message, reason):
+    frame = lines(message)
+    assert changes.order_rows(frame).count() == 0
+    assert rows(changes.order_rejects(frame)) == [(message, reason)]
+
+
+def test_change_rejects(lines):
+    good = envelope([("id", "1")])
+    bad = ["broken", "", good + "] lost", good + "],[" + good]
+    assert rows(changes.change_rejects(lines(good, *bad))) == sorted((line, "malformed") for line in bad)
+
+
+def test_one_row_per_order(spark):
+    frame = spark.createDataFrame(
+        [("1", "2024-01-15", "09", 5.0), ("1", "2024-01-15", "09", 5.0), ("2", "2024-01-15", "09", 1.0)], ORDERS
+    )
+    assert rows(changes.single_orders(frame)) == [("1", "2024-01-15", "09", 5.0), ("2", "2024-01-15", "09", 1.0)]
 
 
 ORDERS = "id string, create_date string, create_hour string, total_amount double"

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from daytally.operators.ingest import malformed_lines, route_lines, startup_records
+from daytally.operators.ingest import malformed_lines, route_lines, startup_records, startup_rejects
 
 MALFORMED = [
     "not json",
@@ -19,6 +19,10 @@ MALFORMED = [
     '{"type":"startup"} trailing',
     '{"type":"startup"},{"type":"startup"}',
     '{"type":"startup"},null',
+    '{"type":"startup","mid":"q"}] lost',
+    '{"type":"startup","mid":"a"}],[{"b":2}',
+    '{"type":"startup","mid":"a"},{"line checksum":"1"}]',
+    '{"type":"startup"}]',
 ]
 
 
@@ -48,7 +52,7 @@ def test_malformed_lines_are_set_apart_unchanged(lines, line):
     assert route(frame) == {line: "malformed", '{"type":"startup","ts":77}': "startup"}
     assert [row["value"] for row in malformed_lines(frame).collect()] == [line]
     assert route_lines(frame, F.lit(77), keep_malformed=False).count() == 1
-    assert startup_records(frame).count() == 1
+    assert {row["reason"] for row in startup_rejects(frame).where(F.col("value") == line).collect()} == {"malformed"}
 
 
 @pytest.mark.parametrize(
@@ -93,9 +97,31 @@ def test_startup_columns(lines):
     )
 
 
-def test_startup_without_ts_is_kept_as_epoch(lines):
-    (row,) = startup_records(lines('{"type":"startup","mid":"m1"}')).collect()
-    assert (row["ts"], row["logdate"], row["loghour"], row["uid"]) == (0, "1970-01-01", "00", None)
+@pytest.mark.parametrize(
+    ("line", "reason"),
+    [
+        ('{"type":"startup","mid":"m1"}', "bad time"),
+        ('{"mid":"m1","ts":"abc"}', "bad time"),
+        ('{"mid":"m1","ts":1.5}', "bad time"),
+        ('{"mid":"m1","ts":-1}', "bad time"),
+        ('{"mid":"m1","ts":9223372036854775807}', "bad time"),
+        ('{"mid":"m1","ts":1705363199999000}', "bad time"),
+        ('{"mid":"m1","ts":null}', "bad time"),
+        ('{"ts":1}', "no device"),
+        ('{"mid":"","ts":1}', "no device"),
+        ('{"mid":null,"ts":1}', "no device"),
+    ],
+)
+def test_lines_that_are_no_startup(lines, line, reason):
+    good = '{"mid":"m2","ts":"1705363199999"}'
+    frame = lines(line, good)
+    assert [(r["value"], r["reason"]) for r in startup_rejects(frame).collect()] == [(line, reason)]
+    assert [(r["mid"], r["logdate"]) for r in startup_records(frame).collect()] == [("m2", "2024-01-15")]
+
+
+def test_time_limit_follows_the_clock(lines):
+    frame = lines('{"mid":"m1","ts":1000}', '{"mid":"m2","ts":86401001}')
+    assert [r["mid"] for r in startup_records(frame, clock=F.lit(1000)).collect()] == ["m1"]
 
 
 def test_parse_happens_once(lines):
