@@ -26,11 +26,14 @@ def stream_topic(
     path: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """A streaming frame with one ``value`` text column, starting at the newest records."""
+    """A streaming frame with a ``value`` text column, starting at the newest records.
+
+    From a broker it also has each record's own ``timestamp``; files have none.
+    """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         settings = {"subscribe": topic, "startingOffsets": "latest", **options}
-        return reader.options(**settings).load().select(F.col("value").cast("string").alias("value"))
+        return reader.options(**settings).load().select(F.col("value").cast("string").alias("value"), "timestamp")
     # Read from the root: a sink's commit log there lists whole batches only.
     lines = reader.schema(FILE_TOPIC).options(**options).load(path)
     return lines.where(F.col("topic") == topic).select("value")

@@ -12,8 +12,14 @@ from daytally.operators.ingest import route_lines
 from daytally.sources.topics import append_log, write_topics
 
 
-def arrival_clock() -> Column:
-    """Time of the micro-batch in epoch milliseconds."""
+def arrival_clock(lines: DataFrame) -> Column:
+    """When a line was received, in epoch milliseconds.
+
+    That is the broker record's time where there is one, so that a backlog keeps its
+    own days, and otherwise the time of the micro-batch.
+    """
+    if "timestamp" in lines.columns:
+        return F.unix_millis("timestamp")
     return F.unix_millis(F.current_timestamp())
 
 
@@ -21,7 +27,7 @@ def collect_logs(
     lines: DataFrame, checkpoint: str, clock: Column | None = None, **sink
 ) -> StreamingQuery:
     """Stamp and route a stream of client lines into topics, malformed ones apart."""
-    routed = route_lines(lines, arrival_clock() if clock is None else clock)
+    routed = route_lines(lines, arrival_clock(lines) if clock is None else clock)
     counted = routed.observe(
         "collected",
         F.count(F.lit(1)).alias("received"),

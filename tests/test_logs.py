@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daytally.operators.ingest import malformed_lines, route_lines, startup_records, startup_rejects
+from daytally.streaming.collect import arrival_clock
 
 MALFORMED = [
     "not json",
@@ -130,3 +131,11 @@ def test_parse_happens_once(lines):
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(ArrayType") == 1
     assert plan.count("from_json(MapType") == 1 and plan.count("from_json") == 2
+
+
+def test_received_time_is_the_broker_records_own(spark, lines):
+    sent = lines('{"type":"startup"}').withColumn("timestamp", F.expr("timestamp_millis(123456)"))
+    (row,) = route_lines(sent, arrival_clock(sent)).collect()
+    assert json.loads(row["value"])["ts"] == 123456
+    (row,) = route_lines(lines("{}"), arrival_clock(lines("{}"))).collect()
+    assert json.loads(row["value"])["ts"] > 1_700_000_000_000
