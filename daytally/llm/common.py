@@ -81,13 +81,12 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
 
 
-def in_bundles(docs: DataFrame, total_bytes: int | None = None) -> tuple[DataFrame, int]:
-    """docs with a column ``bundle``: documents dealt by a hash of doc_id into bundles of about BUNDLE_BYTES.
+def in_bundles(docs: DataFrame, size: int = BUNDLE_BYTES) -> tuple[DataFrame, int]:
+    """docs with a column ``bundle``: documents dealt by a hash of doc_id into bundles of about so many bytes.
 
     A source with a third of all rows is spread like any other; one document is never cut.
     """
-    total = text_bytes(docs) if total_bytes is None else total_bytes
-    count = total // BUNDLE_BYTES + 1
+    count = text_bytes(docs) // size + 1
     return docs.withColumn("bundle", F.pmod(F.xxhash64("doc_id"), F.lit(count)).cast("int")), count
 
 

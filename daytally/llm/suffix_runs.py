@@ -37,9 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daytally import settings
-from daytally.llm.common import BLOCK_BYTES, ids_back, in_bundles, mix, partitions_for, python_docs, spans_of
+from daytally.llm.common import ids_back, in_bundles, mix, partitions_for, python_docs, spans_of
 
 LENGTH, GRAM = 100, 32
+#: Text bytes of a bundle, and of one numpy step inside it; a step holds some twelve 8-byte values for each.
+BUNDLE, STEP = 8_000_000, 500_000
 #: Different suffixes of one anchor hash that a part compares itself.
 HOT = 2000
 HEADER = 9  # bytes of anchor hash and offset before a suffix
@@ -60,7 +62,7 @@ def suffixes_of(texts: list[bytes]) -> np.ndarray:
     parts, first = [], 0
     while first < len(texts):
         last, size = first, 0
-        while last < len(texts) and (last == first or size + len(texts[last]) <= BLOCK_BYTES):
+        while last < len(texts) and (last == first or size + len(texts[last]) <= STEP):
             size += len(texts[last])
             last += 1
         found = _block_suffixes(texts[first:last])
@@ -391,7 +393,7 @@ CUT = "doc_id long, n_bytes long, starts array<long>, stops array<long>, kept bi
 
 def packed_texts(docs: DataFrame) -> tuple[DataFrame, int]:
     """bundle, doc_id, text (compressed UTF-8), dealt by bundle; and the number of bundles."""
-    dealt, count = in_bundles(python_docs(docs))
+    dealt, count = in_bundles(python_docs(docs), BUNDLE)
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

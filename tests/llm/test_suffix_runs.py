@@ -52,7 +52,7 @@ def fixture():
 
 @pytest.mark.parametrize(("bundle", "hot"), [(16_000_000, 2000), (4000, 2000), (4000, 3), (20_000, 0)])
 def test_matches_brute_force(spark, monkeypatch, bundle, hot):
-    monkeypatch.setattr("daytally.llm.common.BUNDLE_BYTES", bundle)
+    monkeypatch.setattr(sr, "BUNDLE", bundle)
     monkeypatch.setattr(sr, "HOT", hot)
     rows = fixture()
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, bundle int").repartition(3)
