@@ -10,15 +10,17 @@ a bucket.
    as members. Pairs whose jointly estimated similarity could reach the threshold are compared on
    their full sets, which also gives their distance to the centre.
 2. Links give components. A bucket whose members are all in one component is done.
-3. In the other buckets, members of different components are compared in blocks of BLOCK members:
-   by the triangle inequality on exact distances to the centre, then by the likelihood estimate from
+3. In the other buckets, each member is compared with its nearest partners of other components, which
+   joins most of what is left of a group.
+4. Where several components remain, all members of different ones are compared in blocks of BLOCK: by
+   the triangle inequality on exact distances to the centre, then by the likelihood estimate from
    the registers, in the first band that they share. What is left is compared on full sets.
 
-A pair linked at similarity 0.8 is missed with probability (1 - 0.8^ROWS)^BANDS < 1e-7 by the bands
-and about 1e-6 by the estimate (MARGIN is about five standard errors); other links are closer.
+A pair linked at similarity 0.8 is missed with probability (1 - 0.8^ROWS)^BANDS, about 3e-6, by the
+bands and as much by the estimate (MARGIN is 4.5 standard errors); other links are closer.
 Shingles are told apart by 64-bit hashes, classes by 128 bits and their size.
 
-No step lists the pairs of a group: pairs of step 1 are linear, blocks of step 3 are compared inside
+No step lists the pairs of a group: pairs of step 1 are linear, blocks of step 4 are compared inside
 a task and only pairs that may link leave it. Buckets of any size are whole.
 
 Defined cases: null, empty and blank texts have the empty set and are linked with nothing; rows that
@@ -41,10 +43,12 @@ from daytally.llm.components import components
 
 REGISTERS, BASE, RATE, TOP = 512, 1.06, 20.0, 255
 #: Bands and registers of a band; together the first registers.
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 24, 4
 #: A pair is verified when its estimated similarity is at most this much below the threshold.
-MARGIN = 0.1
+MARGIN = 0.08
 BLOCK = 1024
+#: Before all such pairs, those of each member's nearest partners in these bands; most components meet there.
+FIRST_BANDS, NEAREST = 4, 2
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
@@ -191,8 +195,11 @@ def band_keys(registers: Column) -> list[Column]:
     return [F.xxhash64(F.lit(band), F.substring(registers, band * ROWS + 1, ROWS)) for band in range(BANDS)]
 
 
-def block_pairs(threshold: float):
-    """Runs of (bucket, block pair) -> pairs of members of different components that may link."""
+def block_pairs(threshold: float, few: int | None):
+    """Runs of (bucket, block pair) -> pairs of members of different components that may link.
+
+    With ``few``, each member's nearest partners only, as many as that.
+    """
     room, least = 1 - threshold, threshold - MARGIN
 
     def pairs_of(frame: pd.DataFrame) -> pd.DataFrame | None:
@@ -212,6 +219,11 @@ def block_pairs(threshold: float):
                 continue
             equal = rows[other] == rows[i]
             near = equal.sum(axis=1) >= (least - 0.05) * REGISTERS
+            if few:
+                best = np.argsort(-equal[near].sum(axis=1), kind="stable")[:few]
+                if near.any():
+                    chunks.append((np.full(len(best), i), other[near][best]))
+                continue
             other, equal = other[near], equal[near, : BANDS * ROWS]
             first = equal.reshape(len(other), BANDS, ROWS).all(axis=2).argmax(axis=1) if len(other) else other
             other = other[first == band]
@@ -242,7 +254,7 @@ def block_pairs(threshold: float):
     return find
 
 
-def residual_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, star: DataFrame, threshold: float) -> DataFrame:
+def residual_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, star: DataFrame, threshold: float, few: int | None = None) -> DataFrame:
     """Pairs (a, b) in buckets that hold several components, members of different ones that may link."""
     placed = members.join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rep")).drop("node")
     mixed = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size")).where("least < most")
@@ -255,7 +267,7 @@ def residual_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, sta
     inside = inside.withColumns({"low": F.least("own", "with"), "mate": F.greatest("own", "with")}).drop("with", "last")
     key = ["key", "low", "mate"]
     dealt = inside.repartition(partitions_for(members.sparkSession, 1), *key).sortWithinPartitions(*key)
-    return dealt.mapInPandas(block_pairs(threshold), "a long, b long").distinct()
+    return dealt.mapInPandas(block_pairs(threshold, few), "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -273,9 +285,14 @@ def near_groups(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> Data
     star = stored(compared(likely(pairs, classes, threshold / 2), sets))
     linked = lambda frame: frame.where(100 * F.col("same") >= percent * F.col("either")).select("a", "b")
     roots = stored(components(linked(star)))
+    tied = lambda found: components(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    nearest = residual_pairs(members.where(F.col("band") < FIRST_BANDS), roots, classes, star, threshold, NEAREST)
+    more = stored(linked(compared(nearest, sets)))
+    if more.count():
+        roots = stored(tied(more))
     more = stored(linked(compared(residual_pairs(members, roots, classes, star, threshold), sets)))
     if more.count():
-        roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        roots = tied(more)
     named = sketched.join(classes.drop("registers"), key, "left").join(roots, F.col("rep") == F.col("node"), "left")
     missing = F.col("doc_id") == NO_ID
     component = F.when(~missing, F.coalesce("root", F.when(F.col("n") > 0, F.col("rep")), "doc_id"))
