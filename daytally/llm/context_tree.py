@@ -4,18 +4,19 @@ Symbols are the bytes of a document's tokens: words lower-cased in A-Z, a space
 end. A state is a context of up to DEPTH bytes. A context is retained when its next symbols diverge
 from those of its suffix (one byte shorter): the log-likelihood ratio of its counts must exceed
 DIVERGENCE for each kind of next symbol and once more. Suffixes of a retained context are retained.
-The tree grows with the corpus up to ENTRIES entries, then the least frequent contexts go. A symbol is
+The tree grows with the corpus; no context is left out for its size. A symbol is
 predicted in the longest retained suffix of what precedes it; distributions are smoothed by
 absolute discounting, the discounted mass going to the suffix state and at the root to all bytes
 alike. They sum to one, so the score is the log10 probability of the whole token sequence.
 
-Counts come from every training document: each task counts its (DEPTH + 1)-grams, and Spark sums
-them, derives the shorter ones and tests all contexts. Only the tree is collected and broadcast.
+Tree and counts are tables without bound; nothing of them is collected. Tasks write, for each bundle
+of documents, its distinct (DEPTH + 1)-grams and word hashes with their training counts, and each
+document's places in the hashes. Both are summed by parts of a hash range. From the grams Spark
+derives the shorter ones, tests all contexts, and joins depth by depth until every gram has its
+probability. Probabilities and word totals return to their bundle, whose documents are scored
+there. Words are told apart by 64-bit hashes.
 
-The base score needs the training count of every token, a table without bound. Tasks write, for
-each bundle of documents, its distinct word hashes and each document's places in them; hashes are
-summed by parts of the hash range, and totals return to their bundle. Words are told apart by
-64-bit hashes.
+``trained`` is an excerpt of the tree for a look at it in one process; scoring doesn't use it.
 
 Defined cases: a null text counts as empty and is its end alone; repeated rows train and are scored
 each; rows without doc_id train and are not held out; without training documents every byte has
@@ -37,12 +38,14 @@ from pyspark.sql import functions as F
 
 from daytally import settings
 from daytally.llm import labelled
-from daytally.llm.common import BUNDLE_BYTES, NO_ID, blocks, ids_back, partitions_for, python_docs, spans_of, stored, text_bytes
+from daytally.llm.common import BLOCK_BYTES, BUNDLE_BYTES, NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, stored, text_bytes
 from daytally.llm.sketch_dedup import word_hashes
 
 DEPTH, DISCOUNT, DIVERGENCE = 6, 0.75, 2.0
-#: Entries of the tree at most, 24 bytes each; and how often a context must occur.
+#: Entries of an excerpt of the tree at most, 24 bytes each; and how often a context must occur.
 ENTRIES, LEAST = 1 << 22, 2
+#: Distinct grams that are held at a time before they are added up or sent on.
+FLUSH = 4_000_000
 END = 0x0A
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -87,8 +90,6 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
 
 def gram_counts(docs: DataFrame) -> DataFrame:
     """key, n of all (DEPTH + 1)-grams; each task adds up its own before the shuffle."""
-    flush = 4_000_000
-
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -97,9 +98,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
         for frame in blocks(frames):
             held.append(counted(grams(*symbols(frame["text"].tolist()))))
-            if sum(len(k) for k, _ in held) > flush:
+            if sum(len(k) for k, _ in held) > FLUSH:
                 held = [summed()]
-                if len(held[0][0]) > flush / 2:
+                if len(held[0][0]) > FLUSH / 2:
                     yield pd.DataFrame({"key": held[0][0].view(np.int64), "n": held[0][1]})
                     held = []
         if held:
@@ -162,13 +163,13 @@ class Quick:
 
 
 def leveled(grams_table: DataFrame) -> list[DataFrame]:
-    """For each depth from 0 the stored table key, n, c: a gram, its count, and that of its context."""
+    """For each depth from 0 the stored table key, n, c, kinds: a gram, its count, that of its context, and how many symbols follow it."""
     levels, level = [], grams_table
     for depth in range(DEPTH, -1, -1):
         if depth < DEPTH:
             level = level.groupBy(F.col("key").bitwiseAND(F.lit(mask(depth))).alias("key")).agg(F.sum("n").alias("n"))
         same = Window.partitionBy(context())  # at most 256 rows
-        level = stored(level.select("key", "n", F.sum("n").over(same).alias("c")))
+        level = stored(level.select("key", "n", F.sum("n").over(same).alias("c"), F.count_if(F.col("n") > 0).over(same).alias("kinds")))
         levels.append(level)
     return levels[::-1]
 
@@ -177,26 +178,43 @@ def context() -> Column:
     return F.shiftrightunsigned("key", 8)
 
 
-def retained(levels: list[DataFrame]) -> DataFrame:
-    """depth, key, n, c of the entries of all retained contexts."""
+def retained_contexts(levels: list[DataFrame]) -> list[DataFrame]:
+    """For each depth from 1 the stored table context; a gram that no training document has teaches nothing."""
     kept: list[DataFrame] = []
     for depth in range(DEPTH, 0, -1):
-        above = levels[depth - 1].select(F.col("key").alias("shorter"), (F.col("n") / F.col("c")).alias("expected"))
-        here = levels[depth].where(F.col("c") >= LEAST).withColumn("shorter", F.col("key").bitwiseAND(F.lit(mask(depth - 1))))
+        above = levels[depth - 1].where("n > 0").select(F.col("key").alias("shorter"), (F.col("n") / F.col("c")).alias("expected"))
+        here = levels[depth].where((F.col("n") > 0) & (F.col("c") >= LEAST)).withColumn("shorter", F.col("key").bitwiseAND(F.lit(mask(depth - 1))))
         gain = F.sum(F.col("n") * F.ln(F.col("n") / F.col("c") / F.col("expected")))
         tested = here.join(above, "shorter").groupBy(context().alias("context")).agg(gain.alias("gain"), F.count("*").alias("kinds"))
         own = tested.where(F.col("gain") > DIVERGENCE * (F.col("kinds") + 1)).select("context")
         if kept:  # suffixes of deeper ones
             own = own.union(kept[-1].select(F.col("context").bitwiseAND(F.lit(mask(depth - 1))).alias("context"))).distinct()
         kept.append(stored(own))
+    return kept[::-1]
+
+
+def finished(levels: list[DataFrame]) -> DataFrame:
+    """key, log: every gram of the deepest level with the log10 probability of its symbol in the longest retained suffix."""
+    seen, left = (F.try_divide(x, F.col("c")) for x in (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)), DISCOUNT * F.col("kinds")))
+    found = levels[0].select("key", F.when(F.col("c") > 0, seen + left / 256).otherwise(1 / 256).alias("p"))
+    for depth, own in enumerate(retained_contexts(levels), 1):
+        here = levels[depth].join(own.withColumn("known", F.lit(True)), context() == F.col("context"), "left")
+        here = here.select("key", F.col("key").bitwiseAND(F.lit(mask(depth - 1))).alias("shorter"), F.when(F.col("known"), seen).alias("seen"), left.alias("left"))
+        p = F.coalesce(F.col("seen") + F.col("left") * F.col("p"), F.col("p"))
+        found = here.join(found.withColumnRenamed("key", "shorter"), "shorter").select("key", p.alias("p"))
+    return found.select("key", F.log10("p").alias("log"))
+
+
+def retained(levels: list[DataFrame]) -> DataFrame:
+    """depth, key, n, c of the entries of all retained contexts."""
     parts = [levels[0].withColumn("depth", F.lit(0))]
-    for depth, own in enumerate(kept[::-1], 1):
+    for depth, own in enumerate(retained_contexts(levels), 1):
         parts.append(levels[depth].join(own, context() == F.col("context"), "left_semi").withColumn("depth", F.lit(depth)))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
 def trained(docs: DataFrame) -> Tree:
-    """The tree of these documents; of more than ENTRIES entries, those of the most frequent contexts.
+    """The tree of these documents, for a look at it; of more than ENTRIES entries, those of the most frequent contexts.
 
     A suffix is at least as frequent as what it ends, so the tree stays whole.
     """
@@ -234,55 +252,141 @@ def add_level(tree: Tree, keys: np.ndarray, n: np.ndarray, c: np.ndarray) -> Non
     tree.lefts.append(np.clip(1 - np.bincount(where, share, len(contexts)), 1e-12, 1.0))
 
 
-WORD_ROWS = "doc_id long, bundle long, part int, words long, score double, codes binary, times binary, trains boolean"
+class Answers:
+    """Values of distinct keys (in order), found through a hash table."""
 
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.bits = np.uint64(64 - max(int(len(keys) * 2).bit_length(), 4))
+        self.slots = np.zeros(1 << int(64 - int(self.bits)), np.int64)
+        # Of keys in one slot the last stays; the others are searched for.
+        self.slots[(keys * _SPREAD) >> self.bits] = np.arange(len(keys))
 
-def in_tasks(docs: DataFrame, tree: Tree, parts: int, folder: str) -> DataFrame:
-    """Writes, for each bundle, a row per part of its word hashes and a row per document.
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = self.slots[(keys * _SPREAD) >> self.bits]
+        rest = np.flatnonzero(self.keys[at] != keys)
+        at[rest] = np.searchsorted(self.keys, keys[rest])
+        return self.values[at]
 
-    codes and times are numpy arrays: word hashes and their training counts in the first kind of
-    rows (doc_id null), places in the bundle's hashes and how often they occur in the second.
+
+ROWS = "doc_id long, bundle long, part int, grams boolean, words long, bytes binary, codes binary, times binary, trains boolean"
+
+
+def in_tasks(docs: DataFrame, parts: int, folder: str) -> DataFrame:
+    """Writes, for each bundle, a row per part of its grams, one per part of its word hashes, and one per document.
+
+    codes and times are numpy arrays: grams or word hashes and their training counts in the first
+    kinds of rows (doc_id null), places in the bundle's hashes and how often they occur in the last,
+    which has the document's symbols as bytes.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        quick = Quick(shared.value)
-        bundle, held, size = TaskContext.get().partitionId() << 24, [], 0
+        bundle, held, seen, size = TaskContext.get().partitionId() << 24, [], [], 0
         for frame in blocks(frames):
-            texts = frame["text"].tolist()
+            texts, trains = frame["text"].tolist(), frame["trains"].to_numpy(bool)
             flat, counts = symbols(texts)
-            log = quick.log10(grams(flat, counts))
-            score = np.add.reduceat(log, np.cumsum(counts) - counts)
+            ends = np.cumsum(counts)
+            keys, taught = grams(flat, counts), np.repeat(trains, counts)
+            rest = counted(keys[~taught])[0]
+            seen += [counted(keys[taught]), (rest, np.zeros(len(rest), np.int64))]
+            if sum(len(k) for k, _ in seen) > FLUSH:
+                seen = [summed(seen)]
             words, sizes = word_hashes(texts)
-            held.append((frame["doc_id"].to_numpy(), frame["trains"].to_numpy(bool), score, words, sizes))
+            data = [zlib.compress(flat[end - count : end], 1) for end, count in zip(ends.tolist(), counts.tolist(), strict=True)]
+            held.append((frame["doc_id"].to_numpy(), trains, np.array(data, object), words, sizes))
             size += len(flat)
             if size >= BUNDLE_BYTES:
-                yield bundle_rows(bundle, held, parts)
-                bundle, held, size = bundle + 1, [], 0
+                yield bundle_rows(bundle, held, summed(seen), parts)
+                bundle, held, seen, size = bundle + 1, [], [], 0
         if held:
-            yield bundle_rows(bundle, held, parts)
+            yield bundle_rows(bundle, held, summed(seen), parts)
 
-    docs.mapInPandas(read, WORD_ROWS).write.parquet(folder)
+    docs.mapInPandas(read, ROWS).write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
 
 
-def bundle_rows(bundle: int, held: list[tuple], parts: int) -> pd.DataFrame:
-    ids, trains, score, words, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return counted(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
+
+
+def bundle_rows(bundle: int, held: list[tuple], seen: tuple[np.ndarray, np.ndarray], parts: int) -> pd.DataFrame:
+    ids, trains, data, words, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
     hashes, codes = np.unique(words, return_inverse=True)
     owner = np.repeat(np.arange(len(ids)), sizes)
     taught = np.bincount(codes, trains[owner], len(hashes)).astype("<u4") if len(codes) else np.empty(0, "<u4")
     rows = [
-        (None, bundle, int(part), end - start, None, hashes[start:end].tobytes(), zlib.compress(taught[start:end].tobytes(), 1), None)
+        (None, bundle, int(part), False, end - start, None, hashes[start:end].tobytes(), zlib.compress(taught[start:end].tobytes(), 1), None)
         for part, (start, end) in parts_of(hashes, parts)
     ]
+    for part, own in gram_parts(seen[0], parts):
+        rows.append((None, bundle, part, True, len(own), None, squeezed(seen[0][own]), zlib.compress(seen[1][own].astype("<i8").tobytes(), 1), None))
     place = owner * max(len(hashes), 1) + codes
     place, times = np.unique(place, return_counts=True)
     bounds = np.searchsorted(place, np.arange(len(ids) + 1) * max(len(hashes), 1))
     for i, (start, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
         own = np.diff(place[start:end] - i * max(len(hashes), 1), prepend=0).astype("<u4")
         packed = zlib.compress(own.tobytes(), 1), zlib.compress(times[start:end].astype("<u4").tobytes(), 1)
-        rows.append((int(ids[i]), bundle, None, int(sizes[i]), float(score[i]), *packed, bool(trains[i])))
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in WORD_ROWS.split(", ")]).astype({"part": "Int32", "doc_id": "Int64"})
+        rows.append((int(ids[i]), bundle, None, None, int(sizes[i]), data[i], *packed, bool(trains[i])))
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in ROWS.split(", ")]).astype({"part": "Int32", "doc_id": "Int64", "grams": "boolean"})
+
+
+def gram_parts(keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """Each part of the hash range with the places of its keys, in their order."""
+    part = ((mix(keys) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    return [(int(part[order[start]]), order[start:end]) for start, end in spans_of(part[order])]
+
+
+def squeezed(keys: np.ndarray) -> bytes:
+    """Keys in order as compressed differences."""
+    return zlib.compress(np.diff(keys, prepend=np.uint64(0)).astype("<u8").tobytes(), 1)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), "<u8"), dtype=np.uint64)
+
+
+def grams_of(frame: pd.DataFrame) -> pd.DataFrame:
+    """key, n of one part of the hash range, over all bundles."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for codes, times in zip(frame["codes"], frame["times"], strict=True):
+        held.append((unsqueezed(codes), np.frombuffer(zlib.decompress(times), "<i8")))
+        if sum(len(k) for k, _ in held[1:]) > FLUSH:
+            held = [summed(held)]
+    keys, n = summed(held)
+    return pd.DataFrame({"key": keys.view(np.int64), "n": n})
+
+
+def in_parts(logs: DataFrame, parts: int) -> DataFrame:
+    """part, codes, values: the rows key, log as arrays for each part, some at a time."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def rows() -> pd.DataFrame:
+            keys, values = (np.concatenate(x) for x in zip(*held, strict=True))
+            own = [(part, keys[at].tobytes(), values[at].tobytes()) for part, at in gram_parts(keys, parts)]
+            return pd.DataFrame(own, columns=["part", "codes", "values"])
+
+        for frame in frames:
+            held.append((frame["key"].to_numpy(np.int64).view(np.uint64), frame["log"].to_numpy(np.float64)))
+            if sum(len(k) for k, _ in held) > FLUSH:
+                yield rows()
+                held = []
+        if held:
+            yield rows()
+
+    return logs.mapInPandas(pack, "part int, codes binary, values binary")
+
+
+def answers_of(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """For each bundle of a part, the log-probabilities of its grams."""
+    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in known["codes"]])
+    values = np.concatenate([np.frombuffer(x, np.float64) for x in known["values"]])
+    order = np.argsort(keys)
+    keys, values = keys[order], values[order]
+    logs = [zlib.compress(values[np.searchsorted(keys, unsqueezed(x))].tobytes(), 1) for x in asked["codes"]]
+    return pd.DataFrame({"bundle": asked["bundle"], "part": asked["part"], "codes": asked["codes"], "logs": logs})
 
 
 def parts_of(hashes: np.ndarray, parts: int) -> list[tuple[int, tuple[int, int]]]:
@@ -306,27 +410,51 @@ def totals_of(frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def scores_of(data: pd.Series, logs: Answers) -> np.ndarray:
+    """For each document's compressed symbols the sum of their log-probabilities, about BLOCK_BYTES at a time."""
+    found, held, size = [], [], 0
+    for i, packed in enumerate(data, 1):
+        held.append(zlib.decompress(packed))
+        size += len(held[-1])
+        if size >= BLOCK_BYTES or i == len(data):
+            counts = np.array([len(x) for x in held], np.int64)
+            log = logs.of(grams(np.frombuffer(b"".join(held), np.uint8), counts))
+            found.append(np.add.reduceat(log, np.cumsum(counts) - counts))
+            held, size = [], 0
+    return np.concatenate(found)
+
+
 def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     held = F.coalesce(labelled.remainder() == held_out, F.lit(False))
     docs = python_docs(docs)
     docs = docs.withColumn("trains", ~F.when(F.col("doc_id") == F.lit(NO_ID), F.lit(False)).otherwise(held))
     spark = docs.sparkSession
-    tree = trained(docs.where("trains"))
     parts = text_bytes(docs) // (4 * BUNDLE_BYTES) + 1
     folder = settings.new_run_dir(spark, "words")
-    rows = in_tasks(docs, tree, parts, f"{folder}/rows")
-    asked = rows.where("doc_id is null").select("bundle", "part", "codes", "times")
-    asked = asked.repartition(partitions_for(spark, parts), "part")
+    rows = in_tasks(docs, parts, f"{folder}/rows")
+    dealt = lambda frame: frame.repartition(partitions_for(spark, parts), "part")
+    asked = rows.where("doc_id is null").select("grams", "bundle", "part", "codes", "times")
+    kinds_of = "bundle long, part int, codes binary, logs binary"
+    whole_grams = dealt(asked.where("grams")).groupBy("part").applyInPandas(grams_of, "key long, n long")
+    logs = dealt(in_parts(finished(leveled(whole_grams)), parts)).groupBy("part")
+    dealt(asked.where("grams")).groupBy("part").cogroup(logs).applyInPandas(answers_of, kinds_of).write.parquet(f"{folder}/logs")
+    asked = dealt(asked.where("not grams").drop("grams"))
     asked.groupBy("part").applyInPandas(totals_of, TOTALS).write.parquet(f"{folder}/totals")
     totals = spark.read.parquet(f"{folder}/totals")
+    answers = totals.select("bundle", "part", "totals").unionByName(spark.read.parquet(f"{folder}/logs"), allowMissingColumns=True)
     whole = totals.agg(F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     ends = rows.where("trains").count()
     n, kinds = whole.tokens + ends, whole.kinds + (ends > 0)
     log = lambda c: np.log10((c + 0.5) / (n + 0.5 * (kinds + 1)))
 
     def combine(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        blobs = known.sort_values("part")["totals"]
+        known = known.sort_values("part")
+        grammar, blobs = known[known["logs"].notna()], known["totals"].dropna()
+        keys = np.concatenate([unsqueezed(x) for x in grammar["codes"]])
+        values = np.concatenate([np.frombuffer(zlib.decompress(x), np.float64) for x in grammar["logs"]])
+        order = np.argsort(keys)
+        logs = Answers(keys[order], values[order])
         counts = np.frombuffer(b"".join(zlib.decompress(x) for x in blobs), "<i8")
         base, found = [], []
         for codes, times in zip(own["codes"], own["times"], strict=True):
@@ -343,10 +471,10 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
                 "n_known": found,
                 "train_tokens": n,
                 "base_score": base,
-                "score": own["score"],
+                "score": scores_of(own["bytes"], logs),
             }
         )
 
     kinds_of = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     left = rows.where("doc_id is not null").groupBy("bundle")
-    return ids_back(left.cogroup(totals.groupBy("bundle")).applyInPandas(combine, kinds_of))
+    return ids_back(left.cogroup(answers.groupBy("bundle")).applyInPandas(combine, kinds_of))

@@ -109,3 +109,13 @@ def test_distributions_sum_to_one_and_budget_keeps_suffixes(spark, monkeypatch):
 def test_better_than_the_base_on_held_out_documents(spark):
     got = queries.op5_lm_score(spark, "/root/testdata/sf0.1").where("held_out").select("score", "base_score").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got) * 0.97
+
+
+def test_scores_use_the_whole_tree_whatever_its_size(spark, monkeypatch):
+    rows = [(i, f"a b a c {i % 7} word" * (i + 1)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(ct, "ENTRIES", 16)
+    compare(ct.scored(docs).collect(), expected(rows, {i for i, _ in rows}))
+    monkeypatch.setattr(ct, "FLUSH", 20)
+    monkeypatch.setattr(ct, "BUNDLE_BYTES", 200)
+    compare(ct.scored(docs).collect(), expected(rows, {i for i, _ in rows}))
