@@ -34,8 +34,8 @@ from daytally.llm.common import partitions_for, stored
 
 PIVOTS, PREFIX, POSTED, PROBED = 128, 32, 8, 16
 SHARD_ROWS, BLOCK_ROWS = 8192, 4096
-#: Share of a shard's vectors that a query reranks, and how many at least.
-RERANKED, LEAST_RERANKED = 0.25, 1000
+#: Share of a shard's vectors that a query reranks, whatever its size.
+RERANKED = 0.5
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -103,7 +103,7 @@ class Shard:
         for place in range(near.shape[1]):
             self.places[near[:, place], every] = place
         self.files = [np.flatnonzero(row < POSTED) for row in self.places]
-        self.rerank = max(LEAST_RERANKED, int(RERANKED * len(frame)))
+        self.rerank = int(np.ceil(RERANKED * len(frame)))
 
     def nearest(self, query_id: int, row: np.ndarray, near: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         """Up to ``wanted`` vec_ids and scores, best first."""

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +83,34 @@ def test_odd_rows(spark):
     assert got == [(0, 1, 8, 2.0), (0, 2, 9, 2.0), (0, 3, 20, 0.0), (20, 1, 0, 0.0), (20, 2, 0, 0.0), (20, 3, 8, 0.0), (20, 4, 9, 0.0)]
     assert index.search(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert index.search(vectors.where("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def recall_of(rows, pivots, queries, wanted=20):
+    """Over shards of SHARD_ROWS, without Spark."""
+    ids, most = np.arange(len(rows)), float((rows**2).sum(axis=1).max())
+    pivots = index.lifted(pivots, most)
+    near, asks = index.orders(index.lifted(rows, most), pivots), index.orders(rows, pivots[:, :-1])
+    shards, hits = len(rows) // index.SHARD_ROWS + 1, 0
+    made = []
+    for k in range(shards):
+        own = ids[k::shards]
+        frame = pd.DataFrame({"vec_id": own, "packed": [rows[i].tobytes() for i in own], "near": [near[i].tobytes() for i in own]})
+        made.append(index.Shard(frame, len(pivots), min(index.PREFIX, len(pivots))))
+    for query in queries:
+        score = np.sort(np.concatenate([shard.nearest(query, rows[query], asks[query], wanted)[1] for shard in made]))[-wanted:]
+        exact = np.sort(np.delete(rows @ rows[query], query))[-wanted]
+        hits += (score >= exact - 1e-9).sum()
+    return hits / (wanted * len(queries))
+
+
+def clustered(rng, count, dimension=64):
+    rows = rng.normal(size=(200, dimension))[rng.integers(0, 200, count)] + rng.normal(size=(count, dimension))
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def test_recall_over_full_shards_at_the_stated_share():
+    rng = np.random.default_rng(6)
+    for rows in (clustered(rng, 20_000), rng.normal(size=(20_000, 64))):
+        assert recall_of(rows, rows[rng.permutation(len(rows))[: index.PIVOTS]], range(0, 20_000, 500)) > 0.93
+    frame = pd.DataFrame({"vec_id": range(600), "packed": [row.tobytes() for row in rows[:600]], "near": [b"\x00\x01"] * 600})
+    assert index.Shard(frame, 2, 2).rerank <= 600 * index.RERANKED
