@@ -2,7 +2,8 @@
 
 A vector is represented by its PREFIX nearest pivots in order. Vectors are dealt into shards of
 about SHARD_ROWS; a shard posts each vector in the inverted files of its POSTED nearest pivots. A
-query reads the files of its PROBED nearest pivots in every shard, ranks what it finds there by the
+query reads the files of its PROBED nearest pivots in every shard, and of further ones until it has
+the share REACHED of the shard's distinct vectors, ranks what it finds there by the
 footrule distance between the two pivot orders (a pivot outside a prefix counts as place PREFIX),
 and takes exact inner products of the nearest RERANKED share. Queries come in blocks of about
 BLOCK_ROWS, so a task holds one shard and one block, whatever the number of either; a vector or a
@@ -10,7 +11,8 @@ pivot that a third of all rows share is spread over all shards.
 
 Largest inner product is nearest distance once every vector gets one more component that brings it
 to the largest norm (queries get 0); pivots are chosen and ordered in that space. Pivots are the
-PIVOTS vectors of smallest hash of vec_id: a bounded sample. Every vector is indexed.
+PIVOTS of the SAMPLE distinct vectors of smallest hash that lie farthest apart: a bounded sample.
+Every vector is indexed; in a shard, equal ones are one entry with all the vec_ids a query may need.
 
 Measured recall of the 20 nearest is in the README.
 
@@ -34,7 +36,9 @@ from daytally.llm.common import partitions_for, stored
 
 PIVOTS, PREFIX, POSTED, PROBED = 128, 32, 8, 16
 SHARD_ROWS, BLOCK_ROWS = 8192, 4096
-#: Share of a shard's vectors that a query reranks, whatever its size.
+#: Distinct vectors that pivots are chosen from, and the share of a shard's distinct vectors that a query finds at least.
+SAMPLE, REACHED = 1024, 0.75
+#: Share of a shard's distinct vectors that a query reranks, whatever its size.
 RERANKED = 0.5
 
 FOUND = "query_id long, vec_id long, score double"
@@ -64,14 +68,27 @@ def lifted(rows: np.ndarray, most: float) -> np.ndarray:
 
 
 def pivots_of(vectors: DataFrame, dimension: int, most: float) -> np.ndarray:
-    chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(PIVOTS).select("vector").collect()
-    return lifted(np.array([row.vector for row in chosen], np.float64).reshape(len(chosen), dimension), most)
+    """Lifted pivots; copies of a vector, however many, count as one."""
+    own = vectors.select(F.xxhash64("vector").alias("hash"), "vector")
+    hashes = [row.hash for row in own.select("hash").distinct().orderBy("hash").limit(SAMPLE).collect()]
+    chosen = own.where(F.col("hash") <= max(hashes, default=0)).groupBy("hash").agg(F.min("vector").alias("vector")).orderBy("hash").limit(SAMPLE).collect()
+    return spread_out(lifted(np.array([row.vector for row in chosen], np.float64).reshape(len(chosen), dimension), most))
 
 
-def orders(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """For each row its nearest pivots, nearest first, as bytes; all rows of one space have equal norms."""
+def spread_out(rows: np.ndarray) -> np.ndarray:
+    """PIVOTS of the rows at most, each the farthest from those before it."""
+    taken, gap = [0][: len(rows)], np.full(len(rows), np.inf)
+    while taken and len(taken) < min(PIVOTS, len(rows)):
+        gap = np.minimum(gap, ((rows - rows[taken[-1]]) ** 2).sum(axis=1))
+        gap[taken] = -1.0
+        taken.append(int(np.argmax(gap)))
+    return rows[taken]
+
+
+def orders(rows: np.ndarray, pivots: np.ndarray, most: int = PREFIX) -> np.ndarray:
+    """For each row its ``most`` nearest pivots, nearest first, as bytes; all rows of one space have equal norms."""
     near = rows @ pivots.T
-    return np.argsort(-near, axis=1, kind="stable")[:, : min(PREFIX, len(pivots))].astype(np.uint8)
+    return np.argsort(-near, axis=1, kind="stable")[:, :most].astype(np.uint8)
 
 
 def represented(vectors: DataFrame, pivots: np.ndarray, most: float) -> DataFrame:
@@ -83,18 +100,21 @@ def represented(vectors: DataFrame, pivots: np.ndarray, most: float) -> DataFram
             if not len(frame):
                 continue
             rows = np.array(frame["vector"].tolist(), np.float64)
-            packed = {"packed": rows, "near": orders(lifted(rows, most), shared.value), "asks": orders(rows, shared.value[:, :-1])}
+            packed = {"packed": rows, "near": orders(lifted(rows, most), shared.value), "asks": orders(rows, shared.value[:, :-1], PIVOTS)}
             yield pd.DataFrame({"vec_id": frame["vec_id"]} | {name: [x.tobytes() for x in part] for name, part in packed.items()})
 
     return vectors.select("vec_id", "vector").mapInPandas(represent, "vec_id long, packed binary, near binary, asks binary")
 
 
 class Shard:
-    """Vectors in order of vec_id, their pivot places, and one inverted file for each pivot."""
+    """Distinct vectors, their pivot places, one inverted file for each pivot, and their vec_ids in order."""
 
     def __init__(self, frame: pd.DataFrame, pivots: int, prefix: int):
         frame = frame.sort_values("vec_id", kind="stable")
-        self.ids = frame["vec_id"].to_numpy(np.int64)
+        entry, first = pd.factorize(frame["packed"])[0], ~frame["packed"].duplicated().to_numpy()
+        order = np.argsort(entry, kind="stable")
+        self.ids, self.starts = frame["vec_id"].to_numpy(np.int64)[order], np.searchsorted(entry[order], np.arange(first.sum() + 1))
+        frame = frame[first]
         self.rows = np.frombuffer(b"".join(frame["packed"]), np.float64).reshape(len(frame), -1)
         near = np.frombuffer(b"".join(frame["near"]), np.uint8).reshape(len(frame), -1)
         self.prefix = prefix
@@ -104,14 +124,16 @@ class Shard:
             self.places[near[:, place], every] = place
         self.files = [np.flatnonzero(row < POSTED) for row in self.places]
         self.rerank = int(np.ceil(RERANKED * len(frame)))
+        self.reached = int(np.ceil(REACHED * len(frame)))
 
     def nearest(self, query_id: int, row: np.ndarray, near: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         """Up to ``wanted`` vec_ids and scores, best first."""
-        hit = np.zeros(len(self.ids), bool)
-        for pivot in near[:PROBED]:
+        hit = np.zeros(len(self.rows), bool)
+        for probed, pivot in enumerate(near):
+            if probed >= PROBED and np.count_nonzero(hit) >= self.reached:
+                break
             hit[self.files[pivot]] = True
-        hit &= self.ids != query_id
-        found = np.flatnonzero(hit)
+        found, near = np.flatnonzero(hit), near[: self.prefix]
         if len(found) > self.rerank:
             # Footrule over the query's pivots; those of the vector alone add what its other places leave.
             places = self.places[near][:, found]
@@ -120,11 +142,14 @@ class Shard:
             inside, edge = found[distance < cut], found[distance == cut]
             found = np.concatenate([inside, edge[: self.rerank - len(inside)]])
         score = self.rows[found] @ row
-        if len(score) > wanted:
-            cut = np.partition(score, len(score) - wanted)[len(score) - wanted]
+        if len(score) > wanted + 1:  # one may be the query's own
+            cut = np.partition(score, len(score) - wanted - 1)[len(score) - wanted - 1]
             found, score = found[score >= cut], score[score >= cut]
-        best = np.lexsort((self.ids[found], -score))[:wanted]
-        return self.ids[found][best], score[best]
+        # Of an entry's vec_ids the smallest suffice, its own and repeated rows aside.
+        own = [(ids := self.ids[self.starts[i] : self.starts[i + 1]])[ids != query_id][:wanted] for i in found]
+        ids, score = np.concatenate([self.ids[:0], *own]), np.repeat(score, [len(x) for x in own])
+        best = np.lexsort((ids, -score))[:wanted]
+        return ids[best], score[best]
 
 
 def search(vectors: DataFrame, is_query: Column, wanted: int = 20) -> DataFrame:

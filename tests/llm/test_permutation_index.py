@@ -114,3 +114,13 @@ def test_recall_over_full_shards_at_the_stated_share():
         assert recall_of(rows, rows[rng.permutation(len(rows))[: index.PIVOTS]], range(0, 20_000, 500)) > 0.93
     frame = pd.DataFrame({"vec_id": range(600), "packed": [row.tobytes() for row in rows[:600]], "near": [b"\x00\x01"] * 600})
     assert index.Shard(frame, 2, 2).rerank <= 600 * index.RERANKED
+
+
+def test_pivots_and_recall_with_a_third_of_copies(spark):
+    rng = np.random.default_rng(7)
+    rows = clustered(rng, 6000)
+    rows[1::3] = rows[0]
+    vectors = table_of(spark, np.arange(6000), rows).select("vec_id", F.col("embedding").alias("vector"))
+    pivots = index.pivots_of(vectors, 64, float((rows**2).sum(axis=1).max()))[:, :-1]
+    assert len(pivots) == len(np.unique(pivots, axis=0)) == index.PIVOTS
+    assert recall_of(rows, pivots, range(0, 6000, 150)) > 0.93
