@@ -16,8 +16,8 @@ Every vector is indexed; in a shard, equal ones are one entry with all the vec_i
 
 Measured recall of the 20 nearest is in the README.
 
-Defined cases: vectors that are null, zero, of another dimension than the most common one, or that
-hold null or non-finite components take no part; a vector is no candidate of a query with its own
+Defined cases: vectors that are null, zero, or that hold null or non-finite components take no part;
+each dimension is searched as a table of its own, with its own pivots; a vector is no candidate of a query with its own
 vec_id, repeated rows included; repeated query rows are one query; ties go to the smaller vec_id;
 fewer candidates than asked for are all returned; an empty table gives no rows; other columns are
 ignored.
@@ -54,11 +54,10 @@ def usable(vectors: DataFrame) -> DataFrame:
     return cast.withColumn("norm2", norm2).where("norm2 > 0")
 
 
-def space(vectors: DataFrame) -> tuple[int, float]:
-    """The most common dimension and its largest squared norm."""
-    sizes = vectors.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"), F.max("norm2").alias("most"))
-    best = sizes.orderBy(F.desc("n"), "size").first()
-    return (best.size, best.most) if best else (0, 0.0)
+def spaces(vectors: DataFrame) -> dict[int, tuple[np.ndarray, float]]:
+    """For each dimension its pivots and its largest squared norm."""
+    sizes = vectors.groupBy("size").agg(F.max("norm2").alias("most")).orderBy("size").collect()
+    return {row.size: (pivots_of(vectors.where(F.col("size") == row.size), row.size, row.most), row.most) for row in sizes}
 
 
 def lifted(rows: np.ndarray, most: float) -> np.ndarray:
@@ -91,19 +90,28 @@ def orders(rows: np.ndarray, pivots: np.ndarray, most: int = PREFIX) -> np.ndarr
     return np.argsort(-near, axis=1, kind="stable")[:, :most].astype(np.uint8)
 
 
-def represented(vectors: DataFrame, pivots: np.ndarray, most: float) -> DataFrame:
-    """vec_id, packed (the vector as bytes), near and asks (its pivot order as a candidate and as a query)."""
-    shared = vectors.sparkSession.sparkContext.broadcast(pivots)
+def represented(vectors: DataFrame, found: dict[int, tuple[np.ndarray, float]]) -> DataFrame:
+    """vec_id, size, packed (the vector as bytes), near and asks (its pivot order as a candidate and as a query)."""
+    shared = vectors.sparkSession.sparkContext.broadcast(found)
 
     def represent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if not len(frame):
-                continue
-            rows = np.array(frame["vector"].tolist(), np.float64)
-            packed = {"packed": rows, "near": orders(lifted(rows, most), shared.value), "asks": orders(rows, shared.value[:, :-1], PIVOTS)}
-            yield pd.DataFrame({"vec_id": frame["vec_id"]} | {name: [x.tobytes() for x in part] for name, part in packed.items()})
+            for size, own in frame.groupby("size"):
+                rows, (pivots, most) = np.array(own["vector"].tolist(), np.float64), shared.value[size]
+                packed = {"packed": rows, "near": orders(lifted(rows, most), pivots), "asks": orders(rows, pivots[:, :-1], PIVOTS)}
+                yield pd.DataFrame({"vec_id": own["vec_id"].to_numpy(), "size": size} | {name: [x.tobytes() for x in part] for name, part in packed.items()})
 
-    return vectors.select("vec_id", "vector").mapInPandas(represent, "vec_id long, packed binary, near binary, asks binary")
+    return vectors.select("vec_id", "size", "vector").mapInPandas(represent, "vec_id long, size int, packed binary, near binary, asks binary")
+
+
+def portions(rows: DataFrame, most: int) -> dict[int, int]:
+    """For each dimension the number of portions of about ``most`` rows."""
+    return {row.size: row["count"] // most + 1 for row in rows.groupBy("size").count().collect()}
+
+
+def of_size(values: dict[int, int]) -> Column:
+    """The value of a row's dimension; null where there is none."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("size")) if values else F.lit(None).cast("int")
 
 
 class Shard:
@@ -123,24 +131,25 @@ class Shard:
         for place in range(near.shape[1]):
             self.places[near[:, place], every] = place
         self.files = [np.flatnonzero(row < POSTED) for row in self.places]
-        self.rerank = int(np.ceil(RERANKED * len(frame)))
-        self.reached = int(np.ceil(REACHED * len(frame)))
+        self.rerank, self.reached = (int(np.ceil(share * len(frame))) for share in (RERANKED, REACHED))
 
     def nearest(self, query_id: int, row: np.ndarray, near: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         """Up to ``wanted`` vec_ids and scores, best first."""
+        # An answer needs so many entries, its own aside; beyond that the shares hold at any size.
+        rerank, reached = (max(share, wanted + 1) for share in (self.rerank, self.reached))
         hit = np.zeros(len(self.rows), bool)
         for probed, pivot in enumerate(near):
-            if probed >= PROBED and np.count_nonzero(hit) >= self.reached:
+            if probed >= PROBED and np.count_nonzero(hit) >= reached:
                 break
             hit[self.files[pivot]] = True
         found, near = np.flatnonzero(hit), near[: self.prefix]
-        if len(found) > self.rerank:
+        if len(found) > rerank:
             # Footrule over the query's pivots; those of the vector alone add what its other places leave.
             places = self.places[near][:, found]
             distance = (np.abs(places - np.arange(len(near), dtype=np.int16)[:, None]) + places).sum(axis=0, dtype=np.int32)
-            cut = np.partition(distance, self.rerank - 1)[self.rerank - 1]
+            cut = np.partition(distance, rerank - 1)[rerank - 1]
             inside, edge = found[distance < cut], found[distance == cut]
-            found = np.concatenate([inside, edge[: self.rerank - len(inside)]])
+            found = np.concatenate([inside, edge[: rerank - len(inside)]])
         score = self.rows[found] @ row
         if len(score) > wanted + 1:  # one may be the query's own
             cut = np.partition(score, len(score) - wanted - 1)[len(score) - wanted - 1]
@@ -154,24 +163,22 @@ class Shard:
 
 def search(vectors: DataFrame, is_query: Column, wanted: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest found for every row that ``is_query`` picks, among all rows."""
-    kept = usable(vectors)
-    dimension, most = space(kept)
-    kept = kept.where(F.size("vector") == dimension)
-    pivots = pivots_of(kept, dimension, most)
-    coded = stored(represented(kept, pivots, most))
+    kept = usable(vectors).withColumn("size", F.size("vector"))
+    found = spaces(kept)
+    pivots = {size: len(own) for size, (own, _) in found.items()}
+    coded = stored(represented(kept, found))
     queries = coded.where(is_query).dropDuplicates(["vec_id"])
-    shards = coded.count() // SHARD_ROWS + 1
-    blocks = queries.count() // BLOCK_ROWS + 1
-    place = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    shards, blocks = portions(coded, SHARD_ROWS), portions(queries, BLOCK_ROWS)
+    place = lambda counts: F.pmod(F.xxhash64("vec_id"), of_size(counts)).cast("int")
+    every = lambda counts: F.explode(F.sequence(F.lit(0), of_size(counts) - 1))
     left = coded.drop("asks").withColumn("shard", place(shards)).withColumn("block", every(blocks))
     right = queries.drop("near").withColumn("block", place(blocks)).withColumn("shard", every(shards))
-    count, prefix = len(pivots), min(PREFIX, len(pivots))
 
     def find(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(shard) or not len(block):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        index = Shard(shard, count, prefix)
+        count = pivots[int(shard["size"].iloc[0])]
+        index = Shard(shard, count, min(PREFIX, count))
         parts = []
         for query_id, packed, near in zip(block["vec_id"], block["packed"], block["asks"], strict=True):
             ids, score = index.nearest(query_id, np.frombuffer(packed, np.float64), np.frombuffer(near, np.uint8), wanted)
@@ -179,8 +186,8 @@ def search(vectors: DataFrame, is_query: Column, wanted: int = 20) -> DataFrame:
         query, ids, score = (np.concatenate(x) for x in zip(*parts, strict=True))
         return pd.DataFrame({"query_id": query, "vec_id": ids, "score": score})
 
-    spread = partitions_for(vectors.sparkSession, min(shards * blocks, 100_000))
-    key = ["shard", "block"]
+    spread = partitions_for(vectors.sparkSession, min(sum(shards[size] * n for size, n in blocks.items()), 100_000))
+    key = ["size", "shard", "block"]
     both = left.repartition(spread, *key).groupBy(*key).cogroup(right.repartition(spread, *key).groupBy(*key))
     found = both.applyInPandas(find, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

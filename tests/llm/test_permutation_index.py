@@ -124,3 +124,12 @@ def test_pivots_and_recall_with_a_third_of_copies(spark):
     pivots = index.pivots_of(vectors, 64, float((rows**2).sum(axis=1).max()))[:, :-1]
     assert len(pivots) == len(np.unique(pivots, axis=0)) == index.PIVOTS
     assert recall_of(rows, pivots, range(0, 6000, 150)) > 0.93
+
+
+def test_each_dimension_is_searched(spark):
+    rows = [(i, [float(i), 1.0] if i % 3 else [1.0, float(i), 2.0]) for i in range(24)]
+    got = index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    for query in (0, 20):
+        alike = [i for i, row in rows if i != query and len(row) == len(rows[query][1])]
+        best = sorted((-float(np.dot(rows[i][1], rows[query][1])), i) for i in alike)[:20]
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == query] == [(i, -s) for s, i in best]
