@@ -40,12 +40,13 @@ CLASSES = (
     ("letters", r"^[A-Za-z_=/+-]+$", 4.05),
     ("mixed", r"", 3.6),
 )
-#: Runs that look random but are not secret: UUIDs, dates and times, words joined by separators.
+#: Runs that look random but are not secret: UUIDs, whole dates and times (with fraction and zone), and
+#: words of one case joined by separators. Letters without a break for a window or more are tested like any other run.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T_-]",
-    r"^[A-Z]?[a-z]+([_/=+-]+[A-Za-z]?[a-z]*)*$",
-    r"^[A-Z]+([_/=+-]+[A-Z]*)*$",
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T_-]+[0-9]{2}([-_]?[0-9]{2}){0,2}([-_]?[0-9]{3,9})?(Z|[+_-][0-9]{2}[-_]?[0-9]{2})?)?[_=/+-]*$",
+    r"^[A-Z]?[a-z]{1,18}([_/=+-]+[A-Za-z]?[a-z]{0,18})*$",
+    r"^[A-Z]{1,19}([_/=+-]+[A-Z]{0,19})*$",
 )
 
 SPAN = "array<struct<start:int,rank:int,stop:int>>"

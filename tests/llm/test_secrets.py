@@ -88,3 +88,12 @@ def test_query_against_brute_force_and_plan(spark):
         mine = got[row.doc_id]
         assert (mine.n_assign, mine.n_access, mine.n_hex) == tuple(sum(k == i for _, k, _ in base) for i in range(3))
         assert mine.base_sha256 == hashlib.sha256(joined(base).encode()).hexdigest() and mine.spans == joined(spans)
+
+
+def test_allow_list_takes_whole_runs_only(spark):
+    secret = ["2024-05-01_9fKq2LzX7vB4tY8mWc3PnR6dHs1JgUeA5oTbQx0i", "qzjxkvbwpyfmgcdhtrlnsoaeiuqkzjxv", "QZJXKVBWPYFMGCDHTRLNSOAEIUQKZJXV"]
+    spared = ["2024-05-01T10-20-30-123456Z", "2024-05-01_10-20-30-02-00", "words_joined_by-separators", "Donaudampfschifffahrtsgesellschaft", "ALL_CAPS_NAME_OF_A_SETTING"]
+    docs = spark.createDataFrame([(i, text) for i, text in enumerate(secret + spared)], "doc_id long, text string")
+    got = secrets.scanned(docs).orderBy("doc_id").select(secrets.shown(F.col("spans")).alias("s"), secrets.redacted(F.col("text"), F.col("spans")).alias("t")).collect()
+    assert [r.s for r in got] == [f"entropy:0:{len(text)}" for text in secret] + [""] * len(spared)
+    assert [r.t for r in got] == [secrets.SHOWN] * len(secret) + spared
