@@ -164,12 +164,15 @@ class Quick:
 
 def leveled(grams_table: DataFrame) -> list[DataFrame]:
     """For each depth from 0 the stored table key, n, c, kinds: a gram, its count, that of its context, and how many symbols follow it."""
-    levels, level = [], grams_table
+    spark, levels, level = grams_table.sparkSession, [], grams_table
+    folder = settings.new_run_dir(spark, "levels")
     for depth in range(DEPTH, -1, -1):
         if depth < DEPTH:
             level = level.groupBy(F.col("key").bitwiseAND(F.lit(mask(depth))).alias("key")).agg(F.sum("n").alias("n"))
         same = Window.partitionBy(context())  # at most 256 rows
-        level = stored(level.select("key", "n", F.sum("n").over(same).alias("c"), F.count_if(F.col("n") > 0).over(same).alias("kinds")))
+        level = level.select("key", "n", F.sum("n").over(same).alias("c"), F.count_if(F.col("n") > 0).over(same).alias("kinds"))
+        level.write.parquet(f"{folder}/{depth}")  # a checkpoint's rows take several times the disk
+        level = spark.read.parquet(f"{folder}/{depth}")
         levels.append(level)
     return levels[::-1]
 
