@@ -41,6 +41,13 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def tabled(frame: DataFrame, label: str) -> DataFrame:
+    """The rows as a Parquet table of their own in the shared folder: computed once, lineage ends."""
+    path = settings.new_run_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def blocks(frames: Iterator[pd.DataFrame], text: str = "text") -> Iterator[pd.DataFrame]:
     """The frames cut into pieces of about BLOCK_BYTES of text; one very long text is a piece of its own."""
     for frame in frames:

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, context_tree, packing, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, suffix_runs, toxicity_chain
+from daytally.llm import chunk_dedup, context_tree, filter_audit, packing, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, suffix_runs, toxicity_chain
 from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
@@ -83,5 +83,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids_back(python_docs(table(spark, sf_dir, "documents")).mapInPandas(digests, kinds))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
