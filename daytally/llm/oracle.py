@@ -86,6 +86,10 @@ select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as b
 from counted
 """
 
+_KEPT = """,
+       s.doc_id <= coalesce(root, s.doc_id) as kept"""
+OP13_JACCARD_JOIN = OP1_NEAR_DEDUP.replace("100 * same >= 80 *", "100 * same >= 85 *").replace(_KEPT, "")
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_NEAR_DEDUP, "op4_exact_dedup": OP4_EXACT_DEDUP, "op11_filter_audit": OP11_FILTER_AUDIT}
+    return {"op1_near_dedup": OP1_NEAR_DEDUP, "op4_exact_dedup": OP4_EXACT_DEDUP, "op11_filter_audit": OP11_FILTER_AUDIT, "op13_jaccard_join": OP13_JACCARD_JOIN}

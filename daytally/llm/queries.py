@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import chunk_dedup, context_tree, filter_audit, packing, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, suffix_runs, toxicity_chain, whitening
+from daytally.llm import chunk_dedup, context_tree, filter_audit, packing, partition_join, permutation_index, quality_trees, secrets, sketch_dedup, speculative_bpe, suffix_runs, toxicity_chain, whitening
 from daytally.llm.common import ids_back, python_docs
 from daytally.sources.views import table
 
@@ -91,5 +91,9 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partition_join.joined(table(spark, sf_dir, "documents"), width=4, threshold=0.85)
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
