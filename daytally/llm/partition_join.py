@@ -11,15 +11,18 @@ next: linked sets share one, without exception.
 1. Distinct sets (128 bits and their size) stand for their documents. Every task sends the signatures of
    each set once; after one shuffle by signature only those that several sets share are kept.
 2. A set's head is the smallest set of any of its signatures. Sets of one head are dealt into blocks of
-   about ROOM shingles. All sets of a block, and its head, are compared inside a task: intersections are
-   products of incidence matrices, and what leaves the task is one link from each set to the least one it
-   is connected with. That joins nearly all of a group at a cost in proportion to it.
+   about ROOM shingles, and all sets of a block, and its head, are compared. That joins nearly all of a
+   group at a cost in proportion to it.
 3. Blocks that meet in a signature whose sets are in several components are compared with each other, each
    pair of blocks once whatever number of signatures they share. A signature of many blocks is refined first
    by a second, independent partitioning: linked sets also share a signature of that.
 
-So no step lists the pairs of a group, each set is sent once for each pair of blocks, and every link is
-confirmed on full sets. With ``count_links`` all blocks that meet are compared and the links are counted,
+Blocks are compared in two steps. The first sees only summaries: the content hash of some cells of every
+set, a quarter to half as many as its shingles; sets differ in at least as many elements as cells, which
+rules out most pairs that share no more than a passage. Only sets with a possible partner are then sent
+whole: intersections are products of incidence matrices inside a task, and what leaves it is one link from
+each set to the least one it is connected with. So no step lists the pairs of a group, each set is sent at
+most once for each pair of blocks, and every link is confirmed on full sets. With ``count_links`` all blocks that meet are compared and the links are counted,
 which takes the square of a group's different sets.
 
 Defined cases: null, empty and blank texts have the empty set and are linked with nothing; a text of fewer
@@ -104,16 +107,63 @@ def prints(shingles: np.ndarray) -> tuple[int, int]:
     return int(first.view(np.int64)), int(second.view(np.int64))
 
 
+def summaries(sets: list[np.ndarray]) -> list[bytes | None]:
+    """Content hashes (16 bits) of 2^level cells of each set; neighbouring cells add up to those of the level below."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    levels = np.maximum(4, np.floor(np.log2(np.maximum(sizes, 1))).astype(np.int64) - 1)
+    lengths = np.where(sizes > 0, 1 << levels, 0)
+    starts = np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    content = np.zeros(int(lengths.sum()), np.uint16)
+    if len(owner):
+        placed = mix(np.concatenate(sets) + _ODD)
+        cell = placed >> (64 - levels[owner]).astype(np.uint64)
+        np.add.at(content, starts[owner] + cell.astype(np.int64), (placed & np.uint64(0xFFFF)).astype(np.uint16))
+    return [content[start : start + length].tobytes() if length else None for start, length in zip(starts.tolist(), lengths.tolist(), strict=True)]
+
+
+def possible(first: pd.DataFrame, second: pd.DataFrame, percent: int, any_root: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets of either side may be linked with one of the other, by n, root and summary."""
+    hits = [np.zeros(len(first), bool), np.zeros(len(second), bool)]
+    sides = []
+    for side in (first, second):
+        cells = [np.frombuffer(x, np.uint16) for x in side["summary"]]
+        sides.append((cells, np.array([len(x).bit_length() - 1 for x in cells], np.int64), side["n"].to_numpy(), side["root"].to_numpy(), side["node"].to_numpy()))
+    for level in np.unique(np.concatenate([sides[0][1], sides[1][1]])).tolist():
+        # Sizes of linked sets differ by less than a factor of two, or by more where the threshold is low.
+        chosen = [np.flatnonzero(levels >= level) for _, levels, *_ in sides]
+        if not len(chosen[0]) or not len(chosen[1]):
+            continue
+        folded = [np.stack([cells[i].reshape(1 << level, -1).sum(axis=1, dtype=np.uint16) for i in own]) for (cells, *_), own in zip(sides, chosen, strict=True)]
+        step = max(1, ENTRIES // folded[1].size)
+        n, m = sides[0][2][chosen[0]], sides[1][2][chosen[1]]
+        for low in range(0, len(n), step):
+            size = n[low : low + step, None]
+            lower, upper = np.minimum(size, m[None, :]), np.maximum(size, m[None, :])
+            at = chosen[0][low : low + step]
+            may = 100 * lower >= percent * upper
+            may &= np.minimum(sides[0][1][at][:, None], sides[1][1][chosen[1]][None, :]) == level
+            may &= sides[0][4][at][:, None] != sides[1][4][chosen[1]][None, :]
+            if not any_root:
+                may &= sides[0][3][at][:, None] != sides[1][3][chosen[1]][None, :]
+            apart = (folded[0][low : low + step, None, :] != folded[1][None, :, :]).sum(axis=2)
+            may &= apart <= (lower + upper) * (100 - percent) // (100 + percent)
+            hits[0][at] |= may.any(axis=1)
+            hits[1][chosen[1]] |= may.any(axis=0)
+    return hits[0], hits[1]
+
+
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, fp1, fp2 of every row."""
+    """doc_id, n, fp1, fp2 and summary (null for the empty set) of every row."""
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in blocks(frames):
             sets = shingle_hashes(frame["text"].tolist(), width)
             marks = [prints(x) for x in sets]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "n": [len(x) for x in sets], "fp1": [a for a, _ in marks], "fp2": [b for _, b in marks]})
+            columns = {"doc_id": frame["doc_id"], "n": [len(x) for x in sets], "fp1": [a for a, _ in marks], "fp2": [b for _, b in marks]}
+            yield pd.DataFrame({**columns, "summary": summaries(sets)})
 
-    return python_docs(docs).mapInPandas(read, "doc_id long, n long, fp1 long, fp2 long")
+    return python_docs(docs).mapInPandas(read, "doc_id long, n long, fp1 long, fp2 long, summary binary")
 
 
 def signature_rows(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -207,6 +257,27 @@ def connected(links: np.ndarray) -> np.ndarray:
         rows, columns = new_rows, new_columns
 
 
+def sides_of(frame: pd.DataFrame) -> list[pd.DataFrame]:
+    """The two sides of a pair of blocks, or twice the only one."""
+    if frame["ka"].iloc[0] == frame["kb"].iloc[0]:
+        return [frame, frame]
+    return [frame[frame["side"] == side] for side in (0, 1)]
+
+
+def possible_rows(needed: DataFrame, nodes: DataFrame, percent: int, any_root: bool) -> DataFrame:
+    """The rows of ``needed`` whose set may be linked with one of the other side."""
+
+    def keep(frame: pd.DataFrame) -> pd.DataFrame:
+        sides = sides_of(frame)
+        hits = possible(*sides, percent, any_root)
+        found = [side[hit] for side, hit in zip(sides, hits, strict=True)]
+        return (found[0] if sides[0] is sides[1] else pd.concat(found))[["ka", "kb", "side", "node", "root"]]
+
+    rows = needed.join(nodes.select("node", "n", "summary"), "node")
+    kinds = "ka long, kb long, side int, node long, root long"
+    return rows.groupBy("ka", "kb").applyInPandas(keep, kinds).distinct()
+
+
 def compared(needed: DataFrame, sets: DataFrame, percent: int, count_links: bool = False) -> DataFrame:
     """Links found in comparing the sets of side 0 of each (ka, kb) with those of side 1, or with each other if ka = kb.
 
@@ -215,15 +286,11 @@ def compared(needed: DataFrame, sets: DataFrame, percent: int, count_links: bool
     """
 
     def links_of(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates(["side", "node", "fp2", "rep"])
-        sides = [frame[frame["side"] == side] for side in (0, 1)]
-        if frame["ka"].iloc[0] == frame["kb"].iloc[0]:
-            sides = [sides[0], sides[0]]
-        first, second = sides
+        first, second = sides_of(frame.drop_duplicates(["side", "node", "fp2", "rep"]))
         empty = pd.DataFrame({"a": [], "b": [], "n_links": []}).astype("int64")
         if not len(first) or not len(second):
             return empty
-        same = intersections(*[[np.asarray(x) for x in side["shingles"]] for side in sides])
+        same = intersections(*[[np.asarray(x) for x in side["shingles"]] for side in (first, second)])
         n, m = first["n"].to_numpy()[:, None], second["n"].to_numpy()[None, :]
         links = 100 * same >= percent * (n + m - same)
         reps, others = first["rep"].to_numpy(), second["rep"].to_numpy()
@@ -235,18 +302,17 @@ def compared(needed: DataFrame, sets: DataFrame, percent: int, count_links: bool
         found = found[found["a"] != found["b"]].drop_duplicates()
         if not count_links:
             return found
-        copies = [side["copies"].to_numpy() for side in sides]
+        copies = [side["copies"].to_numpy() for side in (first, second)]
         counts = [pd.DataFrame({"a": reps, "b": reps, "n_links": links @ copies[1]})]
         if first is not second:
             counts.append(pd.DataFrame({"a": others, "b": others, "n_links": copies[0] @ links}))
         return pd.concat([found, *counts])
 
-    rows = needed.join(sets, "node")
-    return rows.groupBy("ka", "kb").applyInPandas(links_of, "a long, b long, n_links long")
+    return needed.join(sets, "node").groupBy("ka", "kb").applyInPandas(links_of, "a long, b long, n_links long")
 
 
-def candidate_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """node, fp2, n, rep, copies and shingles of the sets in ``nodes``."""
+def candidate_sets(docs: DataFrame, nodes: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
+    """node, fp2, n, rep, copies and shingles of those of the ``nodes`` that are in ``chosen``."""
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[tuple[int, int, int]] = set()
@@ -258,11 +324,12 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                     seen.add(mark)
                     take.append(i)
                     found.append(own.view(np.int64))
-            chosen = frame.iloc[take][["node", "fp2", "n", "doc_id", "copies"]].rename(columns={"doc_id": "rep"})
-            yield chosen.assign(shingles=found)
+            rows = frame.iloc[take][["node", "fp2", "n", "doc_id", "copies"]].rename(columns={"doc_id": "rep"})
+            yield rows.assign(shingles=found)
 
-    chosen = python_docs(docs).join(nodes.select(F.col("rep").alias("doc_id"), "node", "fp2", "n", "copies"), "doc_id")
-    return chosen.mapInPandas(read, "node long, fp2 long, n long, rep long, copies long, shingles array<long>")
+    wanted = nodes.join(chosen.select("node").distinct(), "node").select(F.col("rep").alias("doc_id"), "node", "fp2", "n", "copies")
+    texts = python_docs(docs).join(wanted, "doc_id")
+    return texts.mapInPandas(read, "node long, fp2 long, n long, rep long, copies long, shingles array<long>")
 
 
 def in_blocks(classes: DataFrame, members: DataFrame) -> DataFrame:
@@ -288,15 +355,18 @@ def refined(members: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     return shared(found.mapInPandas(read, "sig long, node long")).select("sig", "node")
 
 
-def meeting(members: DataFrame, nodes: DataFrame, sets: DataFrame, bands: Bands, count_links: bool) -> DataFrame:
+def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, width: int, bands: Bands, count_links: bool) -> DataFrame:
     """ka < kb: blocks that share a signature; unless links are counted, one of sets in several components."""
     placed = members.select("sig", "node").join(nodes.select("node", "block", "root"), "node")
     per = placed.groupBy("sig").agg(F.count_distinct("block").alias("blocks"), F.min("root").alias("least"), F.max("root").alias("most"))
     per = per.where("blocks > 1" if count_links else "blocks > 1 and least < most")
     placed = placed.join(per.select("sig", "blocks"), "sig")
-    few = placed.where(F.col("blocks") <= MANY).select("sig", "block")
-    many = refined(placed.where(F.col("blocks") > MANY).select("sig", "node"), sets, bands)
-    at = few.union(many.join(nodes.select("node", "block"), "node").select("sig", "block")).distinct()
+    at = placed.where(F.col("blocks") <= MANY).select("sig", "block")
+    many = tabled(placed.where(F.col("blocks") > MANY).select("sig", "node"), "join-many")
+    if not many.isEmpty():
+        sets = tabled(candidate_sets(docs, nodes, many, width), "join-sets")
+        at = at.union(refined(many, sets, bands).join(nodes.select("node", "block"), "node").select("sig", "block"))
+    at = at.distinct()
     pairs = at.withColumnRenamed("block", "ka").join(at.withColumnRenamed("block", "kb"), "sig").where("ka < kb")
     return pairs.select("ka", "kb").distinct()
 
@@ -311,31 +381,33 @@ def joined(docs: DataFrame, width: int = 5, threshold: float = 0.8, count_links:
     rows = tabled(fingerprints(docs, width), "join-rows")
     usable = rows.where((F.col("n") > 0) & (F.col("doc_id") != NO_ID))
     key = ["fp1", "fp2", "n"]
-    classes = tabled(usable.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "join-classes")
+    classes = tabled(usable.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("summary").alias("summary")), "join-classes")
     members = tabled(shared(signature_rows(docs, width, bands)), "join-members")
     nodes = tabled(in_blocks(classes, members), "join-nodes")
-    sets = tabled(candidate_sets(docs, nodes, width), "join-sets")
 
-    # Every block by itself and with its head.
-    own = nodes.select(F.col("block").alias("ka"), "node", "head")
-    needed = own.select("ka", "node").union(own.select("ka", F.col("head").alias("node")).distinct()).distinct()
-    inside = needed.select("ka", F.col("ka").alias("kb"), F.lit(0).alias("side"), "node", F.col("node").alias("root"))
-    if count_links:
-        inside = own.select("ka", F.col("ka").alias("kb"), F.lit(0).alias("side"), "node", F.col("node").alias("root"))
-    found = tabled(compared(inside, sets, percent, count_links), "join-links")
+    def links_between(needed: DataFrame) -> DataFrame:
+        likely = tabled(possible_rows(needed, nodes, percent, count_links), "join-likely")
+        sets = tabled(candidate_sets(docs, nodes, likely, width), "join-sets")
+        return tabled(compared(likely, sets, percent, count_links), "join-links")
+
+    # Every block by itself and with its head; when links are counted, a head's block is met later.
+    inside = nodes.select(F.col("block").alias("ka"), "node")
+    if not count_links:
+        inside = inside.union(nodes.select("block", "head")).distinct()
+    found = links_between(inside.select("ka", F.col("ka").alias("kb"), F.lit(0).alias("side"), "node", F.col("node").alias("root")))
 
     # Rows that share a doc_id but not the set tie their classes.
-    named = rows.join(classes, key, "left")
+    named = rows.drop("summary").join(classes.drop("summary"), key, "left")
     repeated = named.where(F.col("rep").isNotNull()).groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
     tied = named.join(repeated, "doc_id").select(F.col("rep").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
 
     roots = tabled(components(found.where("a <> b").select("a", "b").union(tied)), "join-roots")
     rooted = nodes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    rooted = tabled(rooted.withColumn("root", F.coalesce("root", "rep")), "join-rooted")
-    keys = tabled(meeting(members, rooted, sets, bands, count_links), "join-keys")
+    rooted = tabled(rooted.select("rep", "node", "fp2", "n", "copies", "block", F.coalesce("root", "rep").alias("root")), "join-rooted")
+    keys = tabled(meeting(docs, members, rooted, width, bands, count_links), "join-keys")
     place = rooted.select("block", "node", "root")
     sides = [keys.join(place, F.col(name) == F.col("block")).select("ka", "kb", F.lit(side).alias("side"), "node", "root") for side, name in enumerate(("ka", "kb"))]
-    across = tabled(compared(sides[0].union(sides[1]), sets, percent, count_links), "join-links")
+    across = links_between(sides[0].union(sides[1]))
     more = across.where("a <> b").select("a", "b")
     roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 

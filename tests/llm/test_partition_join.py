@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from daytally.llm import partition_join as pj
@@ -91,6 +92,23 @@ def test_linked_sets_share_a_signature(percent):
             assert set(keys[owners == 0].tolist()) & set(keys[owners == 1].tolist())
 
 
+@pytest.mark.parametrize("percent", [50, 85])
+def test_summaries_rule_out_no_link(percent):
+    """Pairs at the very threshold and beyond a level stay possible; sets with little in common do not."""
+    rng = np.random.default_rng(percent)
+    for _ in range(200):
+        size = int(rng.integers(1, 3000))
+        own = rng.integers(0, 2**63, size, dtype=np.uint64)
+        less = int(rng.integers(0, size * (100 - percent) // 100 + 1))
+        other = np.concatenate([own[less:], rng.integers(0, 2**63, int(rng.integers(0, size // 4 + 1)), dtype=np.uint64)])
+        far = np.concatenate([own[: size // 4], rng.integers(0, 2**63, size - size // 4, dtype=np.uint64)])
+        sides = [pd.DataFrame({"node": [i], "root": [i], "n": [len(x)], "summary": pj.summaries([x])}) for i, x in enumerate((own, other, far))]
+        if 100 * (size - less) >= percent * len(np.union1d(own, other)):
+            assert pj.possible(sides[0], sides[1], percent, False)[0].all()
+        if percent == 85 and size > 60:
+            assert not pj.possible(sides[0], sides[2], percent, False)[0].any()
+
+
 def test_intersections():
     rng = np.random.default_rng(3)
     first = [np.unique(rng.integers(0, 300, rng.integers(1, 200))) for _ in range(20)]
