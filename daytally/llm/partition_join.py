@@ -356,19 +356,27 @@ def refined(members: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
 
 
 def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, width: int, bands: Bands, count_links: bool) -> DataFrame:
-    """ka < kb: blocks that share a signature; unless links are counted, one of sets in several components."""
-    placed = members.select("sig", "node").join(nodes.select("node", "block", "root"), "node")
-    per = placed.groupBy("sig").agg(F.count_distinct("block").alias("blocks"), F.min("root").alias("least"), F.max("root").alias("most"))
-    per = per.where("blocks > 1" if count_links else "blocks > 1 and least < most")
-    placed = placed.join(per.select("sig", "blocks"), "sig")
-    at = placed.where(F.col("blocks") <= MANY).select("sig", "block")
-    many = tabled(placed.where(F.col("blocks") > MANY).select("sig", "node"), "join-many")
-    if not many.isEmpty():
-        sets = tabled(candidate_sets(docs, nodes, many, width), "join-sets")
-        at = at.union(refined(many, sets, bands).join(nodes.select("node", "block"), "node").select("sig", "block"))
-    at = at.distinct()
-    pairs = at.withColumnRenamed("block", "ka").join(at.withColumnRenamed("block", "kb"), "sig").where("ka < kb")
-    return pairs.select("ka", "kb").distinct()
+    """ka < kb, side, node, root: nodes of two blocks that share a signature; unless links are counted, one of several components."""
+
+    def mixed(found: DataFrame) -> DataFrame:
+        placed = found.select("sig", "node").join(nodes.select("node", "block", "root"), "node")
+        per = placed.groupBy("sig").agg(F.count_distinct("block").alias("blocks"), F.min("root").alias("least"), F.max("root").alias("most"))
+        per = per.where("blocks > 1" if count_links else "blocks > 1 and least < most")
+        return placed.join(per.select("sig", "blocks"), "sig")
+
+    def across(placed: DataFrame) -> DataFrame:
+        others = placed.select("sig", F.col("block").alias("other")).distinct()
+        both = placed.join(others, "sig").where("block <> other")
+        ends = [F.least("block", "other").alias("ka"), F.greatest("block", "other").alias("kb"), (F.col("block") > F.col("other")).cast("int").alias("side")]
+        return both.select(*ends, "node", "root").distinct()
+
+    placed = tabled(mixed(members), "join-mixed")
+    found = across(placed.where(F.col("blocks") <= MANY))
+    many = placed.where(F.col("blocks") > MANY).select("sig", "node")
+    if many.isEmpty():
+        return found
+    sets = tabled(candidate_sets(docs, nodes, many, width), "join-sets")
+    return found.union(across(mixed(refined(many, sets, bands)))).distinct()
 
 
 def joined(docs: DataFrame, width: int = 5, threshold: float = 0.8, count_links: bool = False) -> DataFrame:
@@ -404,10 +412,7 @@ def joined(docs: DataFrame, width: int = 5, threshold: float = 0.8, count_links:
     roots = tabled(components(found.where("a <> b").select("a", "b").union(tied)), "join-roots")
     rooted = nodes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     rooted = tabled(rooted.select("rep", "node", "fp2", "n", "copies", "block", F.coalesce("root", "rep").alias("root")), "join-rooted")
-    keys = tabled(meeting(docs, members, rooted, width, bands, count_links), "join-keys")
-    place = rooted.select("block", "node", "root")
-    sides = [keys.join(place, F.col(name) == F.col("block")).select("ka", "kb", F.lit(side).alias("side"), "node", "root") for side, name in enumerate(("ka", "kb"))]
-    across = links_between(sides[0].union(sides[1]))
+    across = links_between(meeting(docs, members, rooted, width, bands, count_links))
     more = across.where("a <> b").select("a", "b")
     roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
