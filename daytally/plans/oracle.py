@@ -174,6 +174,7 @@ def oracle_sql() -> dict[str, str]:
         "raw_log_stream": f"with {_APP_LOG} select {_CLIENT_LINE} as value, logdate from app_log",
         "cdc_order_rows": messages,
         "cdc_order_stream": messages,
+        "record_source_stream": messages,
         "order_ingest": order_table,
         "order_single": order_table,
         "order_stream_table": order_table,

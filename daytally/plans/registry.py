@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from daytally.functions.logs import EVENT, ORDER, STARTUP
 from daytally.operators import changes, devices, ingest, measures, sales
 from daytally.plans import batch, dashboard
 from daytally.plans.sale_report import sale_report as report
-from daytally.sources import tables, topics, views
+from daytally.sources import records, tables, topics, views
 from daytally.streaming.collect import collect_logs, keep_raw_log
 from daytally.streaming.devices import device_stream
 from daytally.streaming.orders import order_stream, publish_orders
@@ -213,6 +214,43 @@ def cdc_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.read_topic(session, ORDER, f"{home}/topics")
 
 
+def record_source_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages of a record log, read in bounded batches of which one fails half way.
+
+    The change lines are produced as two batches in three partitions. The second micro-batch fails after
+    its sink has written; the restarted query reads the same offsets again, in the middle of the files,
+    and its sink replaces what it has of that batch.
+    """
+    session, home = settings.stream_session(spark), settings.new_run_dir(spark, "records")
+    events = views.table(session, sf_dir, "events")
+    for name, half in enumerate(("event_id % 2 = 0", "event_id % 2 = 1")):
+        lines = views.change_lines_of(events.where(half))
+        records.append_records(lines, f"{home}/log", "changes", f"{name}", 3)
+    share = max(1, views.change_lines_of(events).count() // 5)
+    failed = []
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{home}/sink/batch={number}")
+        if number == 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("a failure between the sink and the checkpoint")
+
+    for _ in range(2):
+        lines = topics.stream_topic(
+            session, "changes", records.FORMAT, f"{home}/log", startingOffsets="earliest", maxRecordsPerBatch=str(share)
+        )
+        messages = changes.order_messages_of_lines(lines, SUBSCRIPTION)
+        query = topics.write_batches(messages, f"{home}/checkpoint", keep, trigger={"processingTime": "0 seconds"})
+        try:
+            query.processAllAvailable()
+        except StreamingQueryException:
+            if not failed:
+                raise
+        finally:
+            query.stop()
+    return session.read.schema("topic string, value string").parquet(f"{home}/sink").select("value")
+
+
 # Database changes and orders
 
 
@@ -382,6 +420,7 @@ _QUERIES: tuple[Query, ...] = (
     raw_log_stream,
     cdc_order_rows,
     cdc_order_stream,
+    record_source_stream,
     order_ingest,
     startup_rejects,
     change_rejects,

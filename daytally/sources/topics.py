@@ -1,7 +1,8 @@
 """Topics of text records, on a message broker or in a folder of files.
 
 With ``fmt="kafka"`` the broker options (servers, security, ``minPartitions``,
-``maxOffsetsPerTrigger``) come from the caller. Any other format is a folder that
+``maxOffsetsPerTrigger``) come from the caller. ``fmt="recordlog"`` is a record log
+with offsets (``daytally.sources.records``). Any other format is a folder that
 holds one ``topic=<name>`` sub-folder per topic, as the sink below writes it.
 """
 
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from daytally.sources import records
+
 # Fixed value: the pause between two micro-batches.
 TRIGGER = "5 seconds"
 
@@ -28,8 +31,11 @@ def stream_topic(
 ) -> DataFrame:
     """A streaming frame with a ``value`` text column, starting at the newest records.
 
-    From a broker it also has each record's own ``timestamp``; files have none.
+    From a broker or a record log it also has each record's own ``timestamp``; files
+    have none.
     """
+    if fmt == records.FORMAT:
+        return records.stream_records(spark, path, topic, **options).select("value", "timestamp")
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         settings = {"subscribe": topic, "startingOffsets": "latest", **options}
@@ -93,6 +99,7 @@ def write_batches(
     checkpoint: str,
     *writers: Callable[[DataFrame, int], None],
     trigger: dict | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Hand every micro-batch to foreign sinks.
 
@@ -112,5 +119,5 @@ def write_batches(
         finally:
             batch.unpersist()
 
-    writer = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(deliver).outputMode(mode).option("checkpointLocation", checkpoint)
     return _started(writer, trigger or {"processingTime": TRIGGER})
