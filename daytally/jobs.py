@@ -22,8 +22,11 @@ from daytally.operators import measures
 from daytally.operators.ingest import startup_records
 from daytally.plans import dashboard
 from daytally.plans.sale_report import sale_report
-from daytally.schemas import DAU_COLUMNS
+from daytally.schemas import DAU, DAU_COLUMNS
 from daytally.sources import tables, topics
+from daytally.sources.snapshots import TARGET_BYTES, DayTable
+from daytally.sources.views import day_earlier
+from daytally.streaming.bounded import bounded_device_stream
 from daytally.streaming.collect import collect_logs, keep_raw_log
 from daytally.streaming.devices import device_stream, late_devices
 from daytally.streaming.orders import order_stream, publish_orders
@@ -66,6 +69,11 @@ def devices(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     )
 
 
+def first_devices(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+    lines = _topic(spark, args, STARTUP)
+    return bounded_device_stream(lines, args.checkpoint, args.table, args.late_table, args.keep_days, _trigger(args))
+
+
 def publish(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     lines = _topic(spark, args, args.topic)
     return publish_orders(lines, args.checkpoint, args.subscription, **_sink(args))
@@ -98,18 +106,33 @@ def late(spark: SparkSession, args: argparse.Namespace) -> None:
     tables.replace_days(found.where(F.col("logdate") == args.date), args.late_table, "logdate")
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Rewrite the small files of a versioned device table's closed days, and remove what no version needs."""
+    table = DayTable(spark, args.table, DAU, "logdate")
+    print(table.compact(args.before, args.target_bytes), table.vacuum(args.keep_versions))
+
+
 def _print_json(answer: DataFrame) -> None:
     print(answer.first()["json"])
 
 
 def realtime_total(spark: SparkSession, args: argparse.Namespace) -> None:
-    found = tables.read_dau(spark, *args.table)
+    found = tables.read_devices(spark, *args.table, first=args.date, last=args.date)
     _print_json(dashboard.figures_json(dashboard.key_figures(found, args.date)))
 
 
+def _eve(date: str) -> str:
+    """The day before; a date that is none has no day before it."""
+    try:
+        return day_earlier(date)
+    except ValueError:
+        return date
+
+
 def realtime_hour(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.id == dashboard.DAU_ID:
-        compared = measures.device_hour_compare(tables.read_dau(spark, *args.table), args.date)
+        found = tables.read_devices(spark, *args.table, first=_eve(args.date), last=args.date)
+        compared = measures.device_hour_compare(found, args.date)
         _print_json(dashboard.hour_map(compared, "loghour"))
     elif args.id == dashboard.ORDER_AMOUNT_ID:
         compared = measures.order_hour_compare(tables.read_orders(spark, *args.table), args.date)
@@ -128,7 +151,7 @@ def sale_detail(spark: SparkSession, args: argparse.Namespace) -> None:
     _print_json(row.select(fields.alias("json")))
 
 
-STREAMS = (collect, raw_log, devices, publish, orders)
+STREAMS = (collect, raw_log, devices, first_devices, publish, orders)
 SINKS = (collect, publish)
 REPORTS = (realtime_total, realtime_hour, sale_detail)
 
@@ -137,7 +160,7 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="daytally", description=__doc__)
     jobs = parser.add_subparsers(required=True)
     commands = {}
-    for job in (*STREAMS, late, *REPORTS):
+    for job in (*STREAMS, late, compact, *REPORTS):
         command = jobs.add_parser(job.__name__.replace("_", "-"))
         command.set_defaults(job=job)
         commands[job] = command
@@ -159,7 +182,14 @@ def _parser() -> argparse.ArgumentParser:
     for job in (devices, orders):
         commands[job].add_argument("--keep-days", type=int)
         commands[job].add_argument("--files-per-day", type=int)
-    commands[devices].add_argument("--state-partitions", type=int)
+    for job in (devices, first_devices):
+        commands[job].add_argument("--state-partitions", type=int)
+    commands[first_devices].add_argument("--keep-days", type=int, required=True)
+    commands[first_devices].add_argument("--late-table", required=True)
+    commands[compact].add_argument("--table", required=True)
+    commands[compact].add_argument("--before", required=True, help="the first day that is still open")
+    commands[compact].add_argument("--target-bytes", type=int, default=TARGET_BYTES)
+    commands[compact].add_argument("--keep-versions", type=int, default=2)
     commands[publish].add_argument("--subscription", default=".*")
     for job in (late, *REPORTS):
         commands[job].add_argument("--table", action="append", required=True)

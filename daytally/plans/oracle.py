@@ -168,6 +168,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dau_table_hours": dau_hours,
         "dau_stream": f"with {_STARTUP} select distinct mid, logdate from startup_log",
+        "dau_bounded_stream": f"with {_DAU} select {_DAU_COLUMNS} from dau",
+        "compacted_table": f"with {_STARTUP} select {_DAU_COLUMNS}, 1 as files from startup_log",
         "log_route_stream": (
             f"with {_APP_LOG} select type as topic, type, count(*) as n from app_log group by type"
         ),

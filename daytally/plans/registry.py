@@ -14,6 +14,10 @@ from daytally.operators import changes, devices, ingest, measures, sales
 from daytally.plans import batch, dashboard
 from daytally.plans.sale_report import sale_report as report
 from daytally.sources import records, tables, topics, views
+from daytally.sources.first_seen import FirstSeen
+from daytally.sources.first_seen import new_devices as new_devices_of
+from daytally.sources.snapshots import DayTable
+from daytally.streaming.bounded import bounded_device_stream
 from daytally.streaming.collect import collect_logs, keep_raw_log
 from daytally.streaming.devices import device_stream
 from daytally.streaming.orders import order_stream, publish_orders
@@ -31,6 +35,9 @@ NOON = "12"
 # How much input one micro-batch of a replay takes.
 FILES_PER_BATCH = 10_000
 DRAIN = {"availableNow": True}
+# Days after which a day leaves the bounded stream's state, and batches of the compacted table.
+KEEP_DAYS = 3
+SMALL_BATCHES = 200
 
 
 # Daily active devices
@@ -178,6 +185,46 @@ def dau_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_dau(session, f"{home}/table").select("mid", "logdate")
 
 
+def dau_bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch answer of ``first_per_mid`` from days in no order, with state for KEEP_DAYS days.
+
+    The startups are produced in four batches of scattered days; what comes after its day has left the
+    state goes to a table of late startups, and both tables together hold every first startup.
+    """
+    session, home = settings.stream_session(spark), settings.new_run_dir(spark, "bounded")
+    log = views.startup_log(session, sf_dir)
+    turn = F.pmod(F.xxhash64("logdate"), F.lit(4))
+    for number in range(4):
+        lines = log.where(turn == number)
+        when = F.timestamp_millis("ts")
+        records.append_records(lines.select("ts", views.startup_line().alias("value")), f"{home}/log", STARTUP, f"{number}", 2, when)
+    share = max(1, log.count() // 2)
+    lines = topics.stream_topic(session, STARTUP, records.FORMAT, f"{home}/log", startingOffsets="earliest", maxRecordsPerBatch=str(share))
+    query = bounded_device_stream(lines, f"{home}/checkpoint", f"{home}/table", f"{home}/late", KEEP_DAYS, {"processingTime": "0 seconds"})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    found = [DayTable(session, f"{home}/{name}", schemas.DAU, "logdate").read() for name in ("table", "late")]
+    return devices.first_per_device(found[0].union(found[1])).select(*schemas.DAU_COLUMNS)
+
+
+def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day table written in SMALL_BATCHES small batches, one of them twice, and compacted: rows and files per day."""
+    table = DayTable(spark, settings.new_run_dir(spark, "compact"), schemas.DAU, "logdate")
+    log = views.startup_log(spark, sf_dir).select(*schemas.DAU_COLUMNS)
+    first, last = views.table(spark, sf_dir, "events").agg(F.unix_millis(F.min("ts").cast("timestamp")), F.unix_millis(F.max("ts").cast("timestamp"))).first()
+    # What a stream hands over: a slice of time per batch.
+    piece = ((F.col("ts") - first) * SMALL_BATCHES / (last - first + 1)).cast("int")
+    table.append_batches(log.withColumn("slice", piece), "slice", "collect")
+    table.append(log, "collect", SMALL_BATCHES - 1)
+    table.compact(before="9999-12-31")
+    table.vacuum(1)
+    held = table.files_of(table.version(), table.days())
+    per_day = F.create_map(*[F.lit(x) for day, found in held.items() for x in (day, len(found))])
+    return table.read().withColumn("files", F.try_element_at(per_day, F.col("logdate")))
+
+
 def log_route_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     session, home = settings.stream_session(spark), settings.new_run_dir(spark, "collect")
     log = views.app_log_of(_replay(session, sf_dir, "events"))
@@ -373,10 +420,13 @@ def realtime_total_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def realtime_total_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = devices.first_seen(views.startup_log(spark, sf_dir, DAY, DAY))
-    fresh = devices.new_devices(views.startup_log(spark, sf_dir, None, DAY))
+    """New devices come from one partition of the first-seen table, which the day before had left."""
+    table = FirstSeen(spark, settings.new_run_dir(spark, "first-seen"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    table.load(views.startup_log(spark, sf_dir, None, EVE))
+    today = views.startup_log(spark, sf_dir, DAY, DAY)
+    table.add_day(today, DAY)
     orders = views.order_info(spark, sf_dir, DAY, DAY)
-    return dashboard.measured_figures(seen, fresh, orders, DAY)
+    return dashboard.measured_figures(devices.first_seen(today), new_devices_of(table, DAY), orders, DAY)
 
 
 def hour_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,6 +466,8 @@ _QUERIES: tuple[Query, ...] = (
     dau_increment,
     dau_table_hours,
     dau_stream,
+    dau_bounded_stream,
+    compacted_table,
     log_route_stream,
     raw_log_stream,
     cdc_order_rows,

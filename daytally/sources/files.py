@@ -54,9 +54,12 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    system, place = _at(spark, path)
-    system.delete(place, True)
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete files or folders of one file system, in this order."""
+    if paths:
+        system, _ = _at(spark, paths[0])
+        for path in paths:
+            system.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
 def full(spark: SparkSession, path: str) -> str:
@@ -76,3 +79,9 @@ def below(spark: SparkSession, folder: str, suffix: str) -> list[tuple[str, int]
         if entry.getPath().getName().endswith(suffix):
             found.append((str(entry.getPath()), entry.getLen()))
     return sorted(found)
+
+
+def folder(spark: SparkSession, path: str) -> None:
+    """Make the folder if it is not there."""
+    system, place = _at(spark, path)
+    system.mkdirs(place)

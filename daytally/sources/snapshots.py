@@ -46,6 +46,8 @@ class DayTable:
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, day: str):
         self.spark, self.path, self.schema, self.day = spark, path.rstrip("/"), schema, day
+        # Lists never change, so those of the version at hand are read once.
+        self.lists: dict[str, list[dict]] = {}
 
     # Versions
 
@@ -61,21 +63,30 @@ class DayTable:
 
     def files_of(self, version: dict, days: Iterable[str]) -> dict[str, list[dict]]:
         """Files with their bytes, by day; only the lists of those days are opened."""
-        named = {day: version["days"][day] for day in days if day in version["days"]}
-        return {day: json.loads(files.text_of(self.spark, f"{self.path}/lists/{name}")) for day, name in named.items()}
+        found = {}
+        for day in days:
+            if name := version["days"].get(day):
+                if name not in self.lists:
+                    self.lists[name] = json.loads(files.text_of(self.spark, f"{self.path}/lists/{name}"))
+                found[day] = self.lists[name]
+        return found
 
     def days(self, first: str | None = None, last: str | None = None, version: dict | None = None) -> list[str]:
         known = (version or self.version())["days"]
         return sorted(day for day in known if (first is None or day >= first) and (last is None or day <= last))
 
-    def _commit(self, version: dict, lists: dict[str, list[dict]], writers: dict[str, int]) -> None:
+    def _commit(self, version: dict, lists: dict[str, list[dict]], writers: dict[str, int]) -> dict:
+        """Write the version that follows ``version``; FileExistsError if another has come between."""
         days = dict(version["days"])
         for day, found in lists.items():
             days[day] = f"{uuid.uuid4().hex}.json"
             files.put_text(self.spark, f"{self.path}/lists/{days[day]}", json.dumps(found))
-        number = version["number"] + 1
-        text = json.dumps({"number": number, "days": days, "writers": version["writers"] | writers})
-        files.put_text(self.spark, f"{self.path}/versions/{number:012d}.json", text)
+            self.lists[days[day]] = found
+        following = {"number": version["number"] + 1, "days": days, "writers": version["writers"] | writers}
+        files.put_text(self.spark, f"{self.path}/versions/{following['number']:012d}.json", json.dumps(following))
+        named = set(days.values())
+        self.lists = {name: found for name, found in self.lists.items() if name in named}
+        return following
 
     # Rows
 
@@ -115,6 +126,24 @@ class DayTable:
         self._commit(version, {day: before.get(day, []) + new for day, new in found.items()}, {} if batch is None else {writer: batch})
         return True
 
+    def append_batches(self, rows: DataFrame, number: str, writer: str) -> int:
+        """Add a backlog of batches, each row's in column ``number``: one job, and one version for each batch.
+
+        Batches that the table has already are left out. Gives how many were added.
+        """
+        version = self.version()
+        known = version["writers"].get(writer, -1)
+        left = rows.where(F.col(number) > known)
+        by_batch: dict[int, dict[str, list[dict]]] = {}
+        for day, found in self._written(left.repartition(F.col(number)), number).items():
+            for entry in found:
+                batch = int(entry["file"].split(f"/{number}=", 1)[1].split("/", 1)[0])
+                by_batch.setdefault(batch, {}).setdefault(day, []).append(entry)
+        for batch in sorted(by_batch):
+            before = self.files_of(version, by_batch[batch])
+            version = self._commit(version, {day: before.get(day, []) + new for day, new in by_batch[batch].items()}, {writer: batch})
+        return len(by_batch)
+
     def replace(self, rows: DataFrame, days: Iterable[str], writer: str = "", batch: int | None = None) -> bool:
         """Put rows in the place of all that the table has of ``days``."""
         version = self.version()
@@ -160,14 +189,10 @@ class DayTable:
         alive = [self.version(path) for path in self.versions()[-versions:]]
         lists = {name for version in alive for name in version["days"].values()}
         named = {entry["file"] for version in alive for day in self.files_of(version, version["days"]).values() for entry in day}
-        full, removed = self._full(), 0
-        for path, _ in files.below(self.spark, f"{self.path}/data", ".parquet"):
-            if path.removeprefix(full).lstrip("/") not in named:
-                files.remove(self.spark, path)
-                removed += 1
-        for path in files.listed(self.spark, f"{self.path}/lists", ".json"):
-            if path.rsplit("/", 1)[1] not in lists:
-                files.remove(self.spark, path)
-        for path in self.versions()[:-versions]:
-            files.remove(self.spark, path)
-        return removed
+        full = self._full()
+        written = [path for path, _ in files.below(self.spark, f"{self.path}/data", ".parquet")]
+        gone = [path for path in written if path.removeprefix(full).lstrip("/") not in named]
+        # Old versions go first: a version whose lists are gone could not be read.
+        old = [path for path in files.listed(self.spark, f"{self.path}/lists", ".json") if path.rsplit("/", 1)[1] not in lists]
+        files.remove(self.spark, *self.versions()[:-versions], *old, *gone)
+        return len(gone)

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from daytally import schemas
+from daytally.operators.devices import first_per_device
+from daytally.sources import files
+from daytally.sources.snapshots import DayTable
 from daytally.sources.topics import TRIGGER
 
 
@@ -25,6 +28,22 @@ def read_dau(spark: SparkSession, *paths: str) -> DataFrame:
     return _read(spark, schemas.DAU, paths)
 
 
+def read_devices(spark: SparkSession, *paths: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The first startup of each device from ``first`` to ``last``, out of plain and versioned tables.
+
+    A versioned table of the bounded stream may hold a later startup of a device beside the first one, as
+    may a table of late ones, so the first is taken over all of them.
+    """
+    versioned = [DayTable(spark, path, schemas.DAU, "logdate") for path in paths if files.exists(spark, f"{path}/versions")]
+    plain = [path for path in paths if not files.exists(spark, f"{path}/versions")]
+    frames = [table.read(first, last) for table in versioned] + ([read_dau(spark, *plain)] if plain else [])
+    found = reduce(DataFrame.unionByName, frames)
+    for bound, keep in ((first, lambda day, b: day >= b), (last, lambda day, b: day <= b)):
+        if bound:
+            found = found.where(keep(F.col("logdate"), bound))
+    return first_per_device(found) if versioned else found
+
+
 def read_orders(spark: SparkSession, *paths: str) -> DataFrame:
     """The order table; filters on ``create_date`` prune partitions."""
     return _read(spark, schemas.ORDER_INFO, paths)

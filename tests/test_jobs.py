@@ -4,9 +4,10 @@ import json
 
 import pytest
 
+from daytally.functions.logs import STARTUP
 from daytally.jobs import main
 from tests.test_changes import envelope
-from tests.test_streams import Topic
+from tests.test_streams import DAY, HOUR, START, Topic, startup
 
 
 @pytest.fixture
@@ -78,3 +79,23 @@ def test_sale_detail(spark, run, tmp_path):
     assert answer["total"] == 2
     assert [line["id"] for line in answer["detail"]] == [1]
     assert [option["value"] for option in answer["stat"][0]["options"]] == [50.0, 50.0]
+
+
+def test_bounded_devices_are_compacted_and_counted(spark, run, tmp_path):
+    source = Topic(tmp_path / "in", STARTUP)
+    for hour in (5, 3, 4):
+        source.drop(startup("m1", START + hour * HOUR), startup(f"n{hour}", START + hour * HOUR))
+    source.drop(startup("m1", START + 9 * DAY))
+    source.drop(startup("m1", START + 9 * DAY + 1), startup("old", START + 2 * HOUR))
+    tables = ["--table", tmp_path / "dau", "--table", tmp_path / "late"]
+    run(
+        "first-devices", "--format", "text", "--drain", "--path", source.root, "--option", "maxFilesPerTrigger=1", "--checkpoint", tmp_path / "c",
+        "--table", tmp_path / "dau", "--late-table", tmp_path / "late", "--keep-days", "2", "--state-partitions", "2",
+    )
+    gone, removed = map(int, run("compact", "--table", tmp_path / "dau", "--before", "2024-01-20", "--keep-versions", "1").split())
+    assert gone >= 1 and removed > gone
+    total = json.loads(run("realtime-total", *tables, "--date", "2024-01-15"))
+    assert total[0]["value"] == 5
+    hours = json.loads(run("realtime-hour", *tables, "--id", "dau", "--date", "2024-01-15"))
+    assert hours["today"] == {"02": 1, "03": 2, "04": 1, "05": 1}
+    assert json.loads(run("realtime-hour", *tables, "--id", "dau", "--date", "soon")) == {"today": {}, "yesterday": {}}

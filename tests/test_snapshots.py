@@ -91,6 +91,15 @@ def test_crash_between_rewrite_and_switch(spark, table, monkeypatch):
     assert rows(table.read()) == [(0, "a"), (1, "a"), (2, "a"), (3, "a"), (9, "a")]
 
 
+def test_a_backlog_of_batches(spark, table):
+    table.append(some(spark, (0, "a")), "w", 0)
+    backlog = spark.createDataFrame([(i, "ab"[i % 2], i % 5) for i in range(20)], "id long, day string, batch int")
+    assert table.append_batches(backlog, "batch", "w") == 4
+    assert table.append_batches(backlog, "batch", "w") == 0
+    assert table.version()["writers"] == {"w": 4} and len(table.versions()) == 5
+    assert rows(table.read()) == sorted([(0, "a"), *((i, "ab"[i % 2]) for i in range(20) if i % 5)])
+
+
 def test_replace_days(spark, table):
     table.append(some(spark, (1, "a"), (2, "b"), (3, "c")))
     assert table.replace(some(spark, (7, "a"), (8, "c")), ["a", "b"], "m", 4)
