@@ -365,8 +365,10 @@ def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, width: int, b
         return placed.join(per.select("sig", "blocks"), "sig")
 
     def across(placed: DataFrame) -> DataFrame:
-        others = placed.select("sig", F.col("block").alias("other")).distinct()
-        both = placed.join(others, "sig").where("block <> other")
+        others = placed.groupBy("sig", F.col("block").alias("other")).agg(F.min("root").alias("least"), F.max("root").alias("most"))
+        # A set meets a block for those of its sets that are in another component.
+        apart = "true" if count_links else "(least <> root or most <> root)"
+        both = placed.join(others, "sig").where(f"block <> other and {apart}")
         ends = [F.least("block", "other").alias("ka"), F.greatest("block", "other").alias("kb"), (F.col("block") > F.col("other")).cast("int").alias("side")]
         return both.select(*ends, "node", "root").distinct()
 
