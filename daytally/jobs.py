@@ -29,7 +29,7 @@ from daytally.sources.views import day_earlier
 from daytally.streaming.bounded import bounded_device_stream
 from daytally.streaming.collect import collect_logs, keep_raw_log
 from daytally.streaming.devices import device_stream, late_devices
-from daytally.streaming.orders import order_stream, publish_orders
+from daytally.streaming.orders import order_changes_stream, order_stream, order_table, publish_orders
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -90,6 +90,11 @@ def orders(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     )
 
 
+def order_changes(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+    lines = _topic(spark, args, args.topic)
+    return order_changes_stream(lines, args.checkpoint, args.table, args.reject_table, args.subscription, _trigger(args))
+
+
 def late(spark: SparkSession, args: argparse.Namespace) -> None:
     """Merge what the device stream dropped on a day, from the raw log of that day.
 
@@ -112,6 +117,12 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     print(table.compact(args.before, args.target_bytes), table.vacuum(args.keep_versions))
 
 
+def merge_orders(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Merge the changes of the order table into its base, and remove what no version needs."""
+    table = order_table(spark, args.table)
+    print(table.merge(), table.vacuum(args.keep_versions))
+
+
 def _print_json(answer: DataFrame) -> None:
     print(answer.first()["json"])
 
@@ -151,7 +162,7 @@ def sale_detail(spark: SparkSession, args: argparse.Namespace) -> None:
     _print_json(row.select(fields.alias("json")))
 
 
-STREAMS = (collect, raw_log, devices, first_devices, publish, orders)
+STREAMS = (collect, raw_log, devices, first_devices, publish, orders, order_changes)
 SINKS = (collect, publish)
 REPORTS = (realtime_total, realtime_hour, sale_detail)
 
@@ -160,7 +171,7 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="daytally", description=__doc__)
     jobs = parser.add_subparsers(required=True)
     commands = {}
-    for job in (*STREAMS, late, compact, *REPORTS):
+    for job in (*STREAMS, late, compact, merge_orders, *REPORTS):
         command = jobs.add_parser(job.__name__.replace("_", "-"))
         command.set_defaults(job=job)
         commands[job] = command
@@ -190,7 +201,12 @@ def _parser() -> argparse.ArgumentParser:
     commands[compact].add_argument("--before", required=True, help="the first day that is still open")
     commands[compact].add_argument("--target-bytes", type=int, default=TARGET_BYTES)
     commands[compact].add_argument("--keep-versions", type=int, default=2)
-    commands[publish].add_argument("--subscription", default=".*")
+    commands[order_changes].add_argument("--topic", required=True)
+    commands[order_changes].add_argument("--reject-table", required=True)
+    commands[merge_orders].add_argument("--table", required=True)
+    commands[merge_orders].add_argument("--keep-versions", type=int, default=2)
+    for job in (publish, order_changes):
+        commands[job].add_argument("--subscription", default=".*")
     for job in (late, *REPORTS):
         commands[job].add_argument("--table", action="append", required=True)
         commands[job].add_argument("--date", required=True)

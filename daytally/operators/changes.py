@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally import schemas
@@ -13,10 +13,10 @@ from daytally.functions.changes import row_image
 # The entry type, table and operation whose rows become messages.
 ROW_ENTRY = "ROWDATA"
 ORDER_TABLE = "order_info"
-INSERT = "INSERT"
+INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
 
 # Why a line is no change record, or a message no order row.
-MALFORMED, NO_ID, BAD_TIME, BAD_AMOUNT = "malformed", "no id", "bad time", "bad amount"
+MALFORMED, NO_ID, BAD_TIME, BAD_AMOUNT, NO_PLACE = "malformed", "no id", "bad time", "bad amount", "no position"
 
 
 def envelopes(lines: DataFrame) -> DataFrame:
@@ -76,18 +76,23 @@ def checked_orders(messages: DataFrame) -> DataFrame:
     not one JSON object, has no id, no readable day and hour, or no readable amount.
     """
     parsed = logs.parse_lines(messages.select("value"), schemas.ORDER_MESSAGE)
+    columns, fault = _order_columns()
+    reason = F.when(~F.col("readable"), MALFORMED).otherwise(fault)
+    return parsed.select("value", *columns, reason.alias("reason"))
+
+
+def _order_columns() -> tuple[list, Column]:
+    """The columns of the order table from id, create_time and total_amount as text, and why they make no row."""
     day, hour = F.substring("create_time", 1, 10), F.substring("create_time", 12, 2)
     amount = F.col("total_amount").try_cast("double")
     timed = F.try_to_date(day, DAY).isNotNull() & hour.rlike("^([01][0-9]|2[0-3])$")
     finite = amount.isNotNull() & ~F.isnan(amount) & (F.abs(amount) < float("inf"))
-    reason = (
-        F.when(~F.col("readable"), MALFORMED)
-        .when(F.coalesce(F.length("id"), F.lit(0)) == 0, NO_ID)
+    fault = (
+        F.when(F.coalesce(F.length("id"), F.lit(0)) == 0, NO_ID)
         .when(~F.coalesce(timed, F.lit(False)), BAD_TIME)
         .when(~F.coalesce(finite, F.lit(False)), BAD_AMOUNT)
     )
-    columns = ["id", day.alias("create_date"), hour.alias("create_hour"), amount.alias("total_amount")]
-    return parsed.select("value", *columns, reason.alias("reason"))
+    return [F.col("id"), day.alias("create_date"), hour.alias("create_hour"), amount.alias("total_amount")], fault
 
 
 def order_rows(messages: DataFrame) -> DataFrame:
@@ -111,3 +116,56 @@ def single_orders(orders: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("id").orderBy("create_date", "create_hour", "total_amount")
     return orders.withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank")
+
+
+def checked_changes(lines: DataFrame, subscription: str = ".*") -> DataFrame:
+    """Change lines to ``value``, the columns of the order table, ``at``, ``deleted`` and ``reason``.
+
+    Inserts and updates give the row as it is afterwards, deletes its id alone, and an update that changes the
+    id a delete of the old one as well. ``at`` is the record's position in the change log and the row's place in
+    the record. ``reason`` says why there is no change: the line is not one JSON object, has no position, or a
+    row in it has no id, day and hour, or amount. Records of other tables give nothing.
+    """
+    parsed = logs.parse_lines(lines.select("value"), schemas.CHANGE_LOG)
+    full_name = F.concat_ws(".", "schemaName", "tableName")
+    wanted = (
+        (F.col("entryType") == ROW_ENTRY)
+        & (F.col("tableName") == ORDER_TABLE)
+        & F.col("eventType").isin(INSERT, UPDATE, DELETE)
+        & full_name.rlike(f"^(?:{subscription})$")
+    )
+    broken = ~F.col("readable")
+    found = parsed.where(broken | F.coalesce(wanted, F.lit(False)))
+    none = F.struct(F.lit(None).cast("array<struct<name:string,value:string>>").alias("beforeColumns"),
+                    F.lit(None).cast("array<struct<name:string,value:string>>").alias("afterColumns"))
+    # A line without rows that can be read is one row here, so that it can be reported.
+    images = F.when(broken | F.col("position").isNull(), F.array(none)).otherwise(F.col("rowDatas"))
+    rows = found.select("value", "readable", "position", "eventType", F.posexplode(images).alias("place", "row"))
+    before, after = row_image(F.col("row.beforeColumns")), row_image(F.col("row.afterColumns"))
+    rows = rows.select("value", "readable", "position", "eventType", "place", before.alias("before"), after.alias("after"))
+    old, new = F.try_element_at("before", F.lit("id")), F.try_element_at("after", F.lit("id"))
+    change = lambda image, deleted: F.struct(F.col(image).alias("image"), F.lit(deleted).alias("deleted"))
+    several = (
+        F.when(F.col("eventType") == DELETE, F.array(change("before", True)))
+        .when((F.col("eventType") == UPDATE) & (old != new), F.array(change("before", True), change("after", False)))
+        .otherwise(F.array(change("after", False)))
+    )
+    each = rows.select("value", "readable", "position", "place", F.explode(several).alias("change"))
+    image = lambda name: F.try_element_at("change.image", F.lit(name)).alias(name)
+    flat = each.select(
+        "value", "readable", F.struct("position", "place").alias("at"), "change.deleted",
+        image("id"), image("create_time"), image("total_amount"),
+    )
+    columns, fault = _order_columns()
+    no_id = F.coalesce(F.length("id"), F.lit(0)) == 0
+    reason = (
+        F.when(~F.col("readable"), MALFORMED)
+        .when(F.col("at.position").isNull(), NO_PLACE)
+        .otherwise(F.when(F.col("deleted"), F.when(no_id, NO_ID)).otherwise(fault))
+    )
+    return flat.select("value", *columns, "at", "deleted", reason.alias("reason"))
+
+
+def order_changes(lines: DataFrame, subscription: str = ".*") -> DataFrame:
+    """The changes of the order table that the lines hold, in whatever order."""
+    return checked_changes(lines, subscription).where("reason is null").drop("value", "reason")

@@ -180,6 +180,19 @@ def oracle_sql() -> dict[str, str]:
         "order_ingest": order_table,
         "order_single": order_table,
         "order_stream_table": order_table,
+        "order_upserts": (
+            "select case when event_id % 7 = 0 and event_id % 5 <> 0 then 'x' else '' end || event_id as id, "
+            "strftime(ts, '%Y-%m-%d') as create_date, strftime(ts, '%H') as create_hour, "
+            "cast(cast(value as decimal(18,2)) + case when event_id % 30 = 0 then 2 when event_id % 3 = 0 then 1 else 0 end as double) "
+            "as total_amount from events where event_type = 'purchase' and (event_id % 5 <> 0 or event_id % 30 = 0)"
+        ),
+        # Every second order's lines come once more.
+        "order_upsert_rejects": (
+            "select reason, cast(sum(case when event_id % 2 = 0 then 2 else 1 end) as bigint) as n from ("
+            "select event_id, 'bad amount' as reason from events where event_type = 'purchase' and event_id % 17 = 0 union all "
+            "select event_id, 'no position' from events where event_type = 'purchase' and event_id % 11 = 0 union all "
+            "select event_id, 'malformed' from events where event_type = 'purchase' and event_id % 13 = 0) group by reason"
+        ),
         "startup_rejects": (
             f"with {_STARTUP} select reason, count(*) as n from (select case when event_id % 11 in (0, 1) "
             "then 'malformed' when event_id % 11 = 5 then 'no device' when event_id % 11 in (3, 4, 6) "

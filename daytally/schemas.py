@@ -34,5 +34,15 @@ CHANGE_ENVELOPE = T.StructType(
     + [T.StructField("rowDatas", T.ArrayType(CHANGE_ROW))]
 )
 
+# The same with its place in the change log and the images before the change, which deletes and changed keys need.
+CHANGE_ROW_BOTH = T.StructType([T.StructField(name, T.ArrayType(CHANGE_COLUMN)) for name in ("beforeColumns", "afterColumns")])
+CHANGE_LOG = T.StructType(
+    _strings("entryType", "schemaName", "tableName", "eventType")
+    + [T.StructField("position", T.LongType()), T.StructField("rowDatas", T.ArrayType(CHANGE_ROW_BOTH))]
+)
+
 # What an order message carries once it is flattened.
 ORDER_MESSAGE = T.StructType(_strings("id", "total_amount", "create_time"))
+
+# Lines that gave no row.
+REJECTS = T.StructType(_strings("value", "reason"))

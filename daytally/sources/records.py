@@ -197,6 +197,8 @@ class RecordLog(DataSource):
 
 def stream_records(spark: SparkSession, path: str, topic: str, **options: str) -> DataFrame:
     """A streaming frame of a topic: value, partition, offset, timestamp."""
+    # Spark looks a source up in the session that is active in this thread, which may be another one.
+    getattr(spark._jvm, "org.apache.spark.sql.classic.SparkSession").setActiveSession(spark._jsparkSession)
     try:
         spark.dataSource.register(RecordLog)
     except AnalysisException as known:

@@ -139,6 +139,43 @@ def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_lines_of(table(spark, sf_dir, "events"))
 
 
+def order_log_of(events: DataFrame) -> DataFrame:
+    """event_id, step and value: the change log of orders that are inserted, updated, deleted, inserted again or renamed.
+
+    Some lines are spoiled on purpose: without a position (step 7), cut off (8), or with an amount that is none (6).
+    """
+    key, ts = F.col("event_id"), F.col("ts")
+    steps = F.filter(
+        F.array(
+            F.lit(1), F.when(key % 3 == 0, 2), F.when(key % 5 == 0, 3), F.when(key % 30 == 0, 4),
+            F.when((key % 7 == 0) & (key % 5 != 0), 5), F.when(key % 17 == 0, 6), F.when(key % 11 == 0, 7), F.when(key % 13 == 0, 8),
+        ),
+        lambda step: step.isNotNull(),
+    )
+    flat = events.where(F.col("event_type") == "purchase").select("event_id", "value", "ts", F.explode(steps).alias("step"))
+    step, id_ = F.col("step"), key.cast("string")
+    more = F.when(step == 4, 2).when((step == 2) | ((step == 5) & (key % 3 == 0)), 1).otherwise(0)
+    amount = F.when(step == 6, "much").otherwise((F.col("value").cast("decimal(18,2)") + more).cast("string"))
+    time = F.concat_ws(" ", F.date_format(ts, DAY), F.date_format(ts, HOUR))
+
+    def image(own: Column) -> Column:
+        pairs = (("id", own), ("total_amount", amount), ("create_time", time))
+        return F.array(*[F.struct(F.lit(name).alias("name"), value.alias("value")) for name, value in pairs])
+
+    before = F.when(step.isin(2, 3, 5, 6), image(id_))
+    after = F.when(step != 3, image(F.when(step == 5, F.concat(F.lit("x"), id_)).otherwise(id_)))
+    envelope = F.struct(
+        F.lit("ROWDATA").alias("entryType"),
+        F.lit("shop").alias("schemaName"),
+        F.lit("order_info").alias("tableName"),
+        F.when(step == 3, "DELETE").when(step.isin(2, 5, 6), "UPDATE").otherwise("INSERT").alias("eventType"),
+        F.when(step != 7, key * 10 + step).alias("position"),
+        F.array(F.struct(before.alias("beforeColumns"), after.alias("afterColumns"))).alias("rowDatas"),
+    )
+    line = F.to_json(envelope)
+    return flat.select("event_id", "step", F.when(step == 8, F.substring(line, 1, 40)).otherwise(line).alias("value"))
+
+
 SALE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 
 
