@@ -5,9 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from daytally import schemas
+from daytally import jobs, schemas
 from daytally.operators import changes
+from daytally.sources import records
 from daytally.sources.keyed import KeyedTable
+from daytally.streaming.orders import order_table, reject_table
 from tests.conftest import rows
 
 COLUMNS = "id string, create_date string, create_hour string, total_amount double, at struct<position:long,place:int>, deleted boolean"
@@ -142,3 +144,17 @@ def test_change_lines(spark):
     reasons = [r.reason for r in checked.where("reason is not null").collect()]
     assert set(reasons) == {"no id", "no position", "bad amount", "bad time", "malformed"}
     assert rows(checked.where(F.col("value").isNotNull()).where("reason = 'malformed'").select("value")) == [("{",)]
+
+
+def test_jobs_keep_and_merge_the_table(spark, tmp_path, capsys):
+    good = {"id": "1", "total_amount": "2.5", "create_time": "2024-01-01 07"}
+    lines = [line("INSERT", 1, None, good), line("INSERT", 2, None, good | {"id": "2"}), line("UPDATE", 3, good, good | {"total_amount": "4"}), line("DELETE", 4, good | {"id": "2"}), "{"]
+    records.append_records(spark.createDataFrame([(text,) for text in lines], "value string"), str(tmp_path / "log"), "changes", "0", 2)
+    table, refused = str(tmp_path / "orders"), str(tmp_path / "rejects")
+    stream = ["--format", "recordlog", "--path", str(tmp_path / "log"), "--option", "startingOffsets=earliest", "--checkpoint", str(tmp_path / "c"), "--drain"]
+    jobs.main(["order-changes", *stream, "--topic", "changes", "--table", table, "--reject-table", refused], spark)
+    assert rows(order_table(spark, table).read()) == [("1", "2024-01-01", "07", 4.0)]
+    assert rows(reject_table(spark, refused).read()) == [("{", "malformed")]
+    jobs.main(["merge-orders", "--table", table], spark)
+    assert int(capsys.readouterr().out.split()[0]) > 0
+    assert rows(order_table(spark, table).read()) == [("1", "2024-01-01", "07", 4.0)]
