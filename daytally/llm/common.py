@@ -41,11 +41,16 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def tabled(frame: DataFrame, label: str) -> DataFrame:
-    """The rows as a Parquet table of their own in the shared folder: computed once, lineage ends."""
+def written(frame: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The rows as a Parquet table of their own in the shared folder, and that table's folder."""
     path = settings.new_run_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), path
+
+
+def tabled(frame: DataFrame, label: str) -> DataFrame:
+    """The rows as a table that stays: computed once, lineage ends."""
+    return written(frame, label)[0]
 
 
 def blocks(frames: Iterator[pd.DataFrame], text: str = "text") -> Iterator[pd.DataFrame]:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import stored
+from daytally.llm.common import written
+from daytally.sources import files
 
 
 def _large(links: DataFrame) -> DataFrame:
@@ -26,15 +27,19 @@ def _small(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) for every node of links (a, b); minima and joins, no lists.
 
-    Each round is stored, so a lost executor costs one round. Rounds end when the links stay the
-    same, which takes a number of them that grows with the logarithm of the longest path.
+    Each round is a table, so a lost executor costs one round; the one before it is removed. Rounds
+    end when the links stay the same, which takes a number of them that grows with the logarithm of
+    the longest path.
     """
-    links = stored(links.where("a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).distinct())
+    spark = links.sparkSession
+    first = links.where("a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    links, folder = written(first.distinct(), "links")
     state = lambda frame: tuple(frame.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
     now = state(links)
     while True:
-        links = stored(_small(_large(links).distinct()).distinct())
-        before, now = now, state(links)
+        links, after = written(_small(_large(links).distinct()).distinct(), "links")
+        files.remove(spark, folder)
+        before, now, folder = now, state(links), after
         if now == before:
             break
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, stored
+from daytally.llm.common import NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, tabled
 from daytally.llm.components import components
 
 REGISTERS, BASE, RATE, TOP = 512, 1.06, 20.0, 255
@@ -273,25 +273,25 @@ def residual_pairs(members: DataFrame, roots: DataFrame, classes: DataFrame, sta
 def near_groups(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; linked when similarity >= threshold (to a hundredth)."""
     percent = round(100 * threshold)
-    sketched = stored(sketches(docs, width))
+    sketched = tabled(sketches(docs, width), "near-sketches")
     usable = sketched.where((F.col("n") > 0) & (F.col("doc_id") != NO_ID))
     key = ["fp1", "fp2", "n"]
-    classes = stored(usable.groupBy(*key, "registers").agg(F.min("doc_id").alias("rep")))
+    classes = tabled(usable.groupBy(*key, "registers").agg(F.min("doc_id").alias("rep")), "near-classes")
     bands = classes.select("rep", F.posexplode(F.array(*band_keys(F.col("registers")))).alias("band", "key"))
     buckets = bands.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("members")).where("members > 1").drop("members")
-    members = stored(bands.join(buckets, "key"))
-    sets = stored(shingle_sets(docs, members.select("rep").distinct(), width))
+    members = tabled(bands.join(buckets, "key"), "near-members")
+    sets = tabled(shingle_sets(docs, members.select("rep").distinct(), width), "near-sets")
     pairs = members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-    star = stored(compared(likely(pairs, classes, threshold / 2), sets))
+    star = tabled(compared(likely(pairs, classes, threshold / 2), sets), "near-star")
     linked = lambda frame: frame.where(100 * F.col("same") >= percent * F.col("either")).select("a", "b")
-    roots = stored(components(linked(star)))
+    roots = tabled(components(linked(star)), "near-roots")
     tied = lambda found: components(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     nearest = residual_pairs(members.where(F.col("band") < FIRST_BANDS), roots, classes, star, threshold, NEAREST)
-    more = stored(linked(compared(nearest, sets)))
-    if more.count():
-        roots = stored(tied(more))
-    more = stored(linked(compared(residual_pairs(members, roots, classes, star, threshold), sets)))
-    if more.count():
+    more = tabled(linked(compared(nearest, sets)), "near-links")
+    if not more.isEmpty():
+        roots = tabled(tied(more), "near-roots")
+    more = tabled(linked(compared(residual_pairs(members, roots, classes, star, threshold), sets)), "near-links")
+    if not more.isEmpty():
         roots = tied(more)
     named = sketched.join(classes.drop("registers"), key, "left").join(roots, F.col("rep") == F.col("node"), "left")
     missing = F.col("doc_id") == NO_ID
