@@ -63,6 +63,8 @@ _ORDER_MESSAGE = """'{"id":"' || id || '","total_amount":"' || total_amount
 
 _WANTED = ", ".join(f"'{word}'" for word in KEYWORD.split())
 
+_SALE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice"
+
 _HITS = f"""sale_detail as (
   select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice,
          strftime(o_orderdate, '%Y-%m-01') as dt, p_name as sku_name,
@@ -76,7 +78,24 @@ hits as (
   where dt = '{MONTH}'
     and list_has_all(regexp_split_to_array(lower(sku_name), '[^\\p{{L}}\\p{{N}}]+'), [{_WANTED}]))"""
 
-_SALE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice"
+_RANKED = f"""{_HITS},
+worded as (
+  select *, list_filter(regexp_split_to_array(lower(sku_name), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as words
+  from sale_detail where dt = '{MONTH}'),
+day as (
+  select count(*) as n, sum(len(words))::double / count(*) as mean
+  from worded where len(words) > 0),
+wanted(word) as (select unnest(list_sort(list_distinct([{_WANTED}])))),
+common as (
+  select word, count(*) as df from wanted join worded on list_contains(words, word) group by word),
+scored as (
+  select {_SALE_ORDER}, sum(
+           ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))) as score
+  from (select w.*, c.word, c.df, len(list_filter(w.words, lambda x: x = c.word)) as tf
+        from worded w join common c on list_contains(w.words, c.word)), day
+  group by {_SALE_ORDER}
+  having count(*) = (select count(*) from wanted)),
+ranked as (select * replace (round(score, 6) as score) from scored)"""
 
 _BANDS = """bands as (
   select case when user_age < 20 then 'under_20' when user_age <= 30 then '20_to_30'
@@ -234,6 +253,11 @@ def oracle_sql() -> dict[str, str]:
             f"select g.age_band, count(b.age_band) as n, {_percent('count(b.age_band)')} as ratio "
             "from names g left join bands b on b.age_band = g.age_band group by g.age_band"
         ),
+        "sale_ranked": f"with {_RANKED} select * from ranked",
+        "sale_ranked_page": (
+            f"with {_RANKED}, shown as (select * from ranked order by score desc, {_SALE_ORDER} "
+            f"limit {SIZE} offset {(PAGE - 1) * SIZE}) select hits.*, score from hits join shown using ({_SALE_ORDER})"
+        ),
         "sale_report": (
             f"with {_HITS}, {_BANDS}, shown as (select * from hits order by {_SALE_ORDER} "
             f"limit {SIZE} offset {(PAGE - 1) * SIZE}) select (select count(*) from hits) as total, "

@@ -16,6 +16,7 @@ from daytally.plans.sale_report import sale_report as report
 from daytally.sources import records, tables, topics, views
 from daytally.sources.first_seen import FirstSeen
 from daytally.sources.first_seen import new_devices as new_devices_of
+from daytally.sources.postings import Postings, lines_of
 from daytally.sources.snapshots import DayTable
 from daytally.streaming.bounded import bounded_device_stream
 from daytally.streaming.collect import collect_logs, keep_raw_log
@@ -457,6 +458,25 @@ def sale_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(lines, MONTH, KEYWORD, PAGE, SIZE, views.SALE_KEY)
 
 
+def _postings(lines: DataFrame) -> Postings:
+    spark = lines.sparkSession
+    table = Postings(spark, settings.new_run_dir(spark, "postings"), lines.select(*views.SALE_KEY).schema)
+    table.add(lines)
+    return table
+
+
+def sale_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hit with its relevance, from an index of all days of which the search reads one."""
+    return _postings(views.sale_detail(spark, sf_dir)).hits(MONTH, KEYWORD)
+
+
+def sale_ranked_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of one page of hits, most relevant first."""
+    lines = views.sale_detail(spark, sf_dir, MONTH)
+    table = _postings(lines)
+    return lines_of(table.page(table.hits(MONTH, KEYWORD), PAGE, SIZE), lines, views.SALE_KEY)
+
+
 # Dashboard
 
 
@@ -543,6 +563,8 @@ _QUERIES: tuple[Query, ...] = (
     sale_gender_ratio,
     sale_age_ratio,
     sale_report,
+    sale_ranked,
+    sale_ranked_page,
     realtime_total,
     realtime_total_json,
     realtime_total_measured,
