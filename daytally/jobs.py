@@ -11,6 +11,7 @@ ends.
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from daytally.plans import dashboard
 from daytally.plans.sale_report import sale_report
 from daytally.schemas import DAU, DAU_COLUMNS
 from daytally.sources import tables, topics
+from daytally.sources.postings import Postings, lines_of
 from daytally.sources.snapshots import TARGET_BYTES, DayTable
 from daytally.sources.views import day_earlier
 from daytally.streaming.bounded import bounded_device_stream
@@ -152,8 +154,12 @@ def realtime_hour(spark: SparkSession, args: argparse.Namespace) -> None:
         print("null")
 
 
+def _sale_lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    return spark.read.parquet(*args.table).withColumn("dt", F.col("dt").cast("string"))
+
+
 def sale_detail(spark: SparkSession, args: argparse.Namespace) -> None:
-    lines = spark.read.parquet(*args.table).withColumn("dt", F.col("dt").cast("string"))
+    lines = _sale_lines(spark, args)
     order = tuple(args.order.split(","))
     row = sale_report(lines, args.date, args.keyword, args.startpage, args.size, order)
     fields = F.concat(
@@ -162,16 +168,41 @@ def sale_detail(spark: SparkSession, args: argparse.Namespace) -> None:
     _print_json(row.select(fields.alias("json")))
 
 
+def _postings(args: argparse.Namespace, lines: DataFrame) -> Postings:
+    key = args.order.split(",")
+    return Postings(lines.sparkSession, args.index, lines.select(*key).schema)
+
+
+def index_sales(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Index the sale lines of one day, or of every day of the table."""
+    lines = _sale_lines(spark, args)
+    _postings(args, lines).add(lines.where(F.col("dt") == args.date) if args.date else lines)
+
+
+def sale_ranked(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One page of lines, most relevant first; ``--after`` takes the score and key of the last line shown."""
+    lines = _sale_lines(spark, args).where(F.col("dt") == args.date)
+    table = _postings(args, lines)
+    hits = table.hits(args.date, args.keyword)
+    if args.after:
+        page = table.page_after(hits, tuple(json.loads(args.after)), args.size)
+    else:
+        page = table.page(hits, args.startpage, args.size)
+    shown = lines_of(page, lines, table.key).orderBy(F.desc("score"), *table.key)
+    # A page of stated size.
+    print("[" + ",".join(shown.toJSON().collect()) + "]")
+
+
 STREAMS = (collect, raw_log, devices, first_devices, publish, orders, order_changes)
 SINKS = (collect, publish)
-REPORTS = (realtime_total, realtime_hour, sale_detail)
+REPORTS = (realtime_total, realtime_hour, sale_detail, sale_ranked)
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="daytally", description=__doc__)
     jobs = parser.add_subparsers(required=True)
     commands = {}
-    for job in (*STREAMS, late, compact, merge_orders, *REPORTS):
+    for job in (*STREAMS, late, compact, merge_orders, index_sales, *REPORTS):
         command = jobs.add_parser(job.__name__.replace("_", "-"))
         command.set_defaults(job=job)
         commands[job] = command
@@ -213,10 +244,17 @@ def _parser() -> argparse.ArgumentParser:
     commands[late].add_argument("--raw", required=True)
     commands[late].add_argument("--late-table", required=True)
     commands[realtime_hour].add_argument("--id", required=True)
-    commands[sale_detail].add_argument("--keyword", required=True)
-    commands[sale_detail].add_argument("--startpage", type=int, default=1)
-    commands[sale_detail].add_argument("--size", type=int, default=20)
-    commands[sale_detail].add_argument("--order", required=True, help="unique sort columns")
+    for job in (sale_detail, sale_ranked):
+        commands[job].add_argument("--keyword", required=True)
+        commands[job].add_argument("--startpage", type=int, default=1)
+        commands[job].add_argument("--size", type=int, default=20)
+    for job in (sale_detail, index_sales, sale_ranked):
+        commands[job].add_argument("--order", required=True, help="unique sort columns")
+    for job in (index_sales, sale_ranked):
+        commands[job].add_argument("--index", required=True)
+    commands[index_sales].add_argument("--table", action="append", required=True)
+    commands[index_sales].add_argument("--date", help="the day to index; every day of the table if left out")
+    commands[sale_ranked].add_argument("--after", help="JSON list: score and key of the last line shown")
     return parser
 
 

@@ -81,6 +81,25 @@ def test_sale_detail(spark, run, tmp_path):
     assert [option["value"] for option in answer["stat"][0]["options"]] == [50.0, 50.0]
 
 
+def test_sales_by_relevance(spark, run, tmp_path):
+    names = ["red ring", "red red ring box", "big red ring", "box", "ring"]
+    lines = [(i, "2024-01-15", name) for i, name in enumerate(names)] + [(9, "2024-01-16", "red ring")]
+    spark.createDataFrame(lines, "id int, dt string, sku_name string").write.partitionBy("dt").parquet(str(tmp_path / "sales"))
+    both = ["--table", tmp_path / "sales", "--index", tmp_path / "index", "--order", "id"]
+    run("index-sales", *both, "--date", "2024-01-15")
+    run("index-sales", *both)
+    search = ["sale-ranked", *both, "--date", "2024-01-15", "--keyword", "Red ring"]
+    every = json.loads(run(*search))
+    assert {line["id"] for line in every} == {0, 1, 2}
+    assert [line["score"] for line in every] == sorted((line["score"] for line in every), reverse=True)
+    assert every[0]["sku_name"] == "red ring"
+    first = json.loads(run(*search, "--size", 1))
+    rest = json.loads(run(*search, "--size", 5, "--after", json.dumps([first[0]["score"], first[0]["id"]])))
+    assert first + rest == every
+    assert json.loads(run(*search, "--startpage", 2, "--size", 1)) == every[1:2]
+    assert json.loads(run("sale-ranked", *both, "--date", "2024-01-17", "--keyword", "red")) == []
+
+
 def test_bounded_devices_are_compacted_and_counted(spark, run, tmp_path):
     source = Topic(tmp_path / "in", STARTUP)
     for hour in (5, 3, 4):
