@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import blocks, gather, ids_back, partitions_for, python_docs, text_bytes
+from daytally.llm.common import NO_ID, blocks, gather, ids_back, partitions_for, python_docs, text_bytes
 
 #: Tokens of a sequence.
 SEQUENCE = 4096
@@ -130,7 +130,9 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id, pack, ids (little-endian unsigned 32-bit, with the end token) of every whole text."""
     docs = python_docs(docs)
     packs = text_bytes(docs) // PACK_BYTES + 1
-    dealt = docs.withColumn("pack", F.pmod(F.xxhash64("doc_id"), F.lit(packs)))
+    # Rows without doc_id, or that share one, go to packs by text, and equal texts without one by their row.
+    missing = F.when(F.col("doc_id") == NO_ID, F.monotonically_increasing_id())
+    dealt = docs.withColumn("pack", F.pmod(F.xxhash64("doc_id", "text", missing), F.lit(packs)))
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = unit_tokenizer(path)
