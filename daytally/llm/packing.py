@@ -21,6 +21,7 @@ import functools
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,9 @@ PACK_BYTES = 6_000_000
 #: Relative cost of a token itself and of a pair of tokens; attention weighs as much as the rest at 1/QUADRATIC tokens.
 LINEAR, QUADRATIC = 1.0, 1.0 / 8192
 #: Units that a worker remembers before it starts anew, and the longest one worth remembering.
-CACHE_UNITS, LONGEST_KEPT = 500_000, 256
+CACHE_UNITS, LONGEST_KEPT = 700_000, 256
+#: Words of letters that are given to the library together.
+TOGETHER = 256
 #: Marks that some lower-case but no upper-case ASCII letter composes with, and the start of a special token.
 UPPER_MATTERS = re.compile("[\u0300-\u036f]|<\\|")
 #: Punctuation that may be told from the word before it.
@@ -47,12 +50,18 @@ PACK_STRIDE = 1 << 32
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_cost double"
 
 
+def plain_letters(piece: str) -> bool:
+    """Letters of Latin-1 alone: no mark, no composition, the same letters in every Unicode version."""
+    return piece.isalpha() and (piece.isascii() or max(piece) <= "\xff")
+
+
 class UnitTokenizer:
     """A library tokenizer that drops white space and case, applied once to each distinct piece.
 
     Its splits never reach over white space and its normaliser composes nothing with it, so the ids
-    of a text are those of the pieces between spaces and line ends. Nor do they reach from ASCII
-    letters into punctuation, so a word with punctuation after it is two pieces.
+    of a text are those of the pieces between spaces and line ends. Nor do they reach from letters
+    into punctuation, so a word with punctuation after it is two pieces. Pieces of plain letters are
+    given to the library many at a time; the last token of each is one that closes a word.
     """
 
     def __init__(self, path: str):
@@ -62,11 +71,17 @@ class UnitTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
+        vocabulary = self.library.get_vocab()
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        self.closing = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.closing[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
         self.codes: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, int] = {}
+        self.part_flat, self.part_starts, self.part_counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.counts = np.empty(0, np.int64)
@@ -77,19 +92,51 @@ class UnitTokenizer:
             text = text.encode().lower().decode()
         return text.replace("\n", " ")
 
+    def ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in order, and each piece's number of them."""
+        batch = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        counts = np.fromiter(map(len, batch), np.int64, len(pieces))
+        return np.fromiter(chain.from_iterable(x.ids for x in batch), np.uint32, counts.sum()), counts
+
+    def ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of plain letters."""
+        together = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        ids, _ = self.ids_of(together)
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) else self.ids_of(words)
+
+    def learn(self, new: list[str]) -> None:
+        """Ids of new parts, in the order of their numbers."""
+        lettered = np.fromiter(map(plain_letters, new), bool, len(new))
+        words, others = [x for x, y in zip(new, lettered, strict=True) if y], [x for x, y in zip(new, lettered, strict=True) if not y]
+        (ids, counts), (other_ids, other_counts) = self.ids_of_words(words), self.ids_of(others)
+        all_counts = np.concatenate([counts, other_counts])
+        first = len(self.part_flat)
+        places = np.empty(len(new), np.int64)
+        places[np.concatenate([np.flatnonzero(lettered), np.flatnonzero(~lettered)])] = np.arange(len(new))
+        self.part_flat = np.concatenate([self.part_flat, ids, other_ids])
+        self.part_starts = np.concatenate([self.part_starts, (first + np.cumsum(all_counts) - all_counts)[places]])
+        self.part_counts = np.concatenate([self.part_counts, all_counts[places]])
+
     def remember(self, units: list[str]) -> None:
-        parts = []
+        known, owned, numbers = self.parts, [], []
+        before = len(known)
         for unit in units:
             stem = unit.rstrip(TRAILING)
-            whole = len(stem) == len(unit) or not (stem.isascii() and stem.isalpha())
-            parts.append((unit,) if whole else (stem, unit[len(stem) :]))
-        known = self.parts
-        new = list({part for own in parts for part in own if part not in known})
-        known.update(zip(new, [x.ids for x in self.library.encode_batch_fast(new, add_special_tokens=False)], strict=True))
-        found = [known[own[0]] if len(own) == 1 else known[own[0]] + known[own[1]] for own in parts]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
+            if len(stem) == len(unit) or not plain_letters(stem):
+                numbers.append(known.setdefault(unit, len(known)))
+                owned.append(1)
+            else:
+                numbers.append(known.setdefault(stem, len(known)))
+                tail = unit[len(stem) :]
+                numbers.append(known.setdefault(tail, len(known)))
+                owned.append(2)
+        self.learn(list(islice(known, before, None)))
+        parts, ends = np.array(numbers, np.int64), np.cumsum(owned)
+        part_counts = self.part_counts[parts]
+        counts = np.add.reduceat(part_counts, ends - owned)
         first = len(self.flat)
-        self.flat = np.concatenate([self.flat, np.fromiter((t for x in found for t in x), np.uint32, counts.sum())])
+        self.flat = np.concatenate([self.flat, gather(self.part_flat, self.part_starts[parts], part_counts)])
         self.starts = np.concatenate([self.starts, first + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
 

@@ -26,6 +26,22 @@ def test_same_ids_as_the_library():
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_of_letters_are_encoded_together():
+    library, ours = Tokenizer.from_file(PATH), packing.UnitTokenizer(PATH)
+    pick = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCÉéñöÖßçèàªºµÿŒſ"
+    words = ["".join(pick.choices(letters, k=pick.randint(1, 14))) + pick.choice(["", "", ".", ",***", "'s", "'", "<|"]) for _ in range(6000)]
+    texts = [" ".join(pick.choices(words, k=40)) for _ in range(300)]
+    for text, ids in zip(texts, ours.encode(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_rows_without_doc_id_are_spread(spark):
+    docs = spark.range(3000).selectExpr("cast(null as long) as doc_id", "repeat(concat('same words ', id % 3, ' '), 1000) as text")
+    packs = packing.tokenized(docs, PATH, 2).groupBy("pack").count().collect()
+    assert len(packs) > 4 and max(row["count"] for row in packs) < 1500
+
+
 def check(pieces, wanted):
     """Every id once, sequences gapless and within bounds; returns the share of padding."""
     documents, sequences = defaultdict(list), defaultdict(list)
