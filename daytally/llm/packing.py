@@ -1,7 +1,7 @@
 """Cost-balanced packing of tokenised documents into sequences of a fixed length.
 
 Training cost of a document of n tokens is estimated as LINEAR * n + QUADRATIC * n * n (its
-attention stays inside it). Documents are dealt by a hash of doc_id into packs of about PACK_BYTES
+attention stays inside it). Documents are dealt by a hash of doc_id and text into packs of about PACK_BYTES
 of text. In a pack, whole blocks of a long document are sequences of their own; all other documents
 go, in descending order of cost, to the sequence of lowest cost that has room for them. A pack opens
 just as many sequences as its tokens need, so a document that fits nowhere whole is cut over the
@@ -11,7 +11,7 @@ Packs are independent: no task sees more than one pack at a time, whatever the n
 Each id moves once, with its document, to the pack that lays it out.
 
 Defined cases: a null text counts as empty and is its end token alone; repeated rows are packed
-each; a document without doc_id is packed like any other; an empty table gives no rows; other
+each; a document without doc_id goes to a pack by its row; an empty table gives no rows; other
 columns are ignored.
 """
 
