@@ -39,6 +39,8 @@ DRAIN = {"availableNow": True}
 # Days after which a day leaves the bounded stream's state, and batches of the compacted table.
 KEEP_DAYS = 3
 SMALL_BATCHES = 200
+# Records for which a replayed topic has one partition more.
+TOPIC_RECORDS = 250_000
 
 
 # Daily active devices
@@ -194,12 +196,13 @@ def dau_bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     session, home = settings.stream_session(spark), settings.new_run_dir(spark, "bounded")
     log = views.startup_log(session, sf_dir)
-    turn = F.pmod(F.xxhash64("logdate"), F.lit(4))
+    turn, total = F.pmod(F.xxhash64("logdate"), F.lit(4)), log.count()
+    partitions = max(2, total // TOPIC_RECORDS)
     for number in range(4):
         lines = log.where(turn == number)
         when = F.timestamp_millis("ts")
-        records.append_records(lines.select("ts", views.startup_line().alias("value")), f"{home}/log", STARTUP, f"{number}", 2, when)
-    share = max(1, log.count() // 2)
+        records.append_records(lines.select("ts", views.startup_line().alias("value")), f"{home}/log", STARTUP, f"{number}", partitions, when)
+    share = max(1, total // 2)
     lines = topics.stream_topic(session, STARTUP, records.FORMAT, f"{home}/log", startingOffsets="earliest", maxRecordsPerBatch=str(share))
     query = bounded_device_stream(lines, f"{home}/checkpoint", f"{home}/table", f"{home}/late", KEEP_DAYS, {"processingTime": "0 seconds"})
     try:

@@ -71,3 +71,14 @@ def test_any_order_gives_the_batch_answer(session, topic, tmp_path, keep_days):
     want = first_per_device(startup_records(session.createDataFrame([(x,) for x in lines], "value string")))
     columns = schemas.DAU_COLUMNS
     assert repr(rows(first_per_device(found.union(late)).select(columns))) == repr(rows(want.select(columns)))
+
+
+def test_steps_of_the_state_are_slices_and_not_devices(session, topic, tmp_path):
+    topic.drop(*(startup(f"m{i}", START + 2 * HOUR + i) for i in range(400)))
+    topic.drop(*(startup(f"m{i}", START + HOUR + i if i % 2 else START + 3 * HOUR) for i in range(300, 500)))
+    query = run(session, topic, tmp_path, 2)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= bounded.SLICES
+    found, late = tables(session, tmp_path)
+    assert late.count() == 0
+    assert found.count() == 400 + 50 + 100
+    assert first_per_device(found).where("loghour = '01'").count() == 100
