@@ -102,7 +102,8 @@ def _block_suffixes(texts: list[bytes]) -> np.ndarray:
     # Of empty texts at one place the last is the one that has it.
     base = starts[found["doc"]]
     found["low"], found["high"], found["anchor"] = low - base, high - base, anchor - base
-    found["hash"] = grams[anchor]
+    # Least hashes are small ones; mixed again they fill the hash range evenly.
+    found["hash"] = mix(grams[anchor])
     found["print"] = mix(mix((sums[high + LENGTH] - sums[low]) * undone[low]) + (anchor - low).astype(np.uint64) * np.uint64(512) + (high - low).astype(np.uint64))
     return found
 
@@ -190,6 +191,13 @@ def run_rows(bundle: int, doc_ids: np.ndarray, texts: list[bytes], found: np.nda
     return rows, gone
 
 
+def add_range(gone: list[tuple[int, int, int]], doc: int, start: int, stop: int) -> None:
+    """Windows that follow each other become one range."""
+    if gone and gone[-1][0] == doc and gone[-1][1] <= start <= gone[-1][2]:
+        start, stop = gone[-1][1], max(stop, gone.pop()[2])
+    gone.append((doc, start, stop))
+
+
 def window_rows(bundle: int, doc_ids: np.ndarray, texts: list[bytes], found: np.ndarray, parts: int) -> tuple[list[tuple], list[tuple[int, int, int]]]:
     """Hashes of all windows of these suffixes by parts, each once; and the ranges of later equal ones here."""
     seen: dict[bytes, int] = {}
@@ -200,7 +208,7 @@ def window_rows(bundle: int, doc_ids: np.ndarray, texts: list[bytes], found: np.
         for at in range(low, high + 1):
             name = hashlib.blake2b(text[at : at + LENGTH], digest_size=16).digest()
             if name in seen:
-                gone.append((doc, at, at + LENGTH))
+                add_range(gone, doc, at, at + LENGTH)
             else:
                 seen[name] = 1
                 rows.append((int.from_bytes(name[:8], "big"), int.from_bytes(name[8:], "big"), doc_ids[doc], doc, at))
@@ -335,7 +343,7 @@ def merge_part(frame: pd.DataFrame) -> pd.DataFrame:
             for i in range(len(body) - LENGTH + 1):
                 window = (offset - i, body[i : i + LENGTH])
                 if window in windows:
-                    gone.setdefault(bundle, []).append((doc, at + i, at + i + LENGTH))
+                    add_range(gone.setdefault(bundle, []), doc, at + i, at + i + LENGTH)
                 else:
                     windows.add(window)
 

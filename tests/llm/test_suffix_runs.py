@@ -96,3 +96,16 @@ def test_every_window_has_one_anchor():
     assert own["low"][0] == 0 and own["high"][-1] == 4900 and (own["low"][1:] == own["high"][:-1] + 1).all()
     assert (own["anchor"] >= own["high"]).all() and (own["anchor"] + sr.GRAM <= own["low"] + sr.LENGTH).all()
     assert len(found[found["doc"] == 4]) == 1 and not len(found[found["doc"] == 3])
+
+
+def test_parts_get_even_shares_of_the_suffixes():
+    texts = [np.random.default_rng(i).integers(97, 123, 20_000, dtype=np.uint8).tobytes() for i in range(20)]
+    shares = np.bincount(sr.part_of(sr.suffixes_of(texts)["hash"], 64).astype(np.int64), minlength=64)
+    assert shares.max() < 2 * shares.mean()
+
+
+def test_repeated_windows_that_follow_each_other_are_one_range():
+    gone = []
+    for doc, at in ((0, 5), (0, 6), (0, 7), (0, 200), (1, 200), (1, 150)):
+        sr.add_range(gone, doc, at, at + sr.LENGTH)
+    assert gone == [(0, 5, 107), (0, 200, 300), (1, 200, 300), (1, 150, 250)]
