@@ -13,9 +13,9 @@ next: linked sets share one, without exception.
 2. A set's head is the smallest set of any of its signatures. Sets of one head are dealt into blocks of
    about ROOM shingles, and all sets of a block, and its head, are compared. That joins nearly all of a
    group at a cost in proportion to it.
-3. Blocks that meet in a signature whose sets are in several components are compared with each other, each
-   pair of blocks once whatever number of signatures they share. A signature of many blocks is refined first
-   by a second, independent partitioning: linked sets also share a signature of that.
+3. The sets of a signature that several blocks and components share are looked at together; those that may be
+   linked across go to their pair of blocks, each pair once whatever number of signatures they share. A signature
+   of many blocks is refined first by a second, independent partitioning: linked sets also share a signature of that.
 
 Blocks are compared in two steps. The first sees only summaries: the content hash of some cells of every
 set, a quarter to half as many as its shingles; sets differ in at least as many elements as cells, which
@@ -153,6 +153,37 @@ def possible(first: pd.DataFrame, second: pd.DataFrame, percent: int, any_root:
     return hits[0], hits[1]
 
 
+def possible_pairs(frame: pd.DataFrame, percent: int, any_root: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of pairs from different blocks, and components unless ``any_root``, whose sets may be linked, some at a time."""
+    cells = [np.frombuffer(x, np.uint16) for x in frame["summary"]]
+    levels = np.array([len(x).bit_length() - 1 for x in cells], np.int64)
+    n, root, block = (frame[name].to_numpy() for name in ("n", "root", "block"))
+    # Of two sets of different components, one at least is not of the most frequent component.
+    names, times = np.unique(root, return_counts=True)
+    rows = np.arange(len(frame)) if any_root else np.flatnonzero(root != names[times.argmax()])
+    place = np.zeros(len(frame), np.int64)
+    for level in np.unique(levels).tolist():
+        first, second = rows[levels[rows] >= level], np.flatnonzero(levels >= level)
+        folded = np.stack([cells[i].reshape(1 << level, -1).sum(axis=1, dtype=np.uint16) for i in second])
+        place[second] = np.arange(len(second))
+        step, span = max(1, ENTRIES // len(second)), max(1, ENTRIES >> level)
+        for low in range(0, len(first), step):
+            at = first[low : low + step]
+            lower, upper = np.minimum(n[at][:, None], n[second][None, :]), np.maximum(n[at][:, None], n[second][None, :])
+            may = 100 * lower >= percent * upper
+            may &= np.minimum(levels[at][:, None], levels[second][None, :]) == level
+            may &= block[at][:, None] != block[second][None, :]
+            if not any_root:
+                may &= root[at][:, None] != root[second][None, :]
+            one, two = np.nonzero(may)
+            one, two = at[one], second[two]
+            for start in range(0, len(one), span):
+                a, b = one[start : start + span], two[start : start + span]
+                apart = (folded[place[a]] != folded[place[b]]).sum(axis=1)
+                close = apart <= (n[a] + n[b]) * (100 - percent) // (100 + percent)
+                yield a[close], b[close]
+
+
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n, fp1, fp2 and summary (null for the empty set) of every row."""
 
@@ -355,8 +386,12 @@ def refined(members: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
     return shared(found.mapInPandas(read, "sig long, node long")).select("sig", "node")
 
 
-def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, width: int, bands: Bands, count_links: bool) -> DataFrame:
-    """ka < kb, side, node, root: nodes of two blocks that share a signature; unless links are counted, one of several components."""
+def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, summed: DataFrame, width: int, bands: Bands, percent: int, count_links: bool) -> DataFrame:
+    """ka < kb, side, node, root: sets of two blocks that share a signature and may be linked; unless links are counted, of two components.
+
+    The sets of a signature are looked at together, by their summaries, so nothing is listed per block or pair
+    that has no possible partner there.
+    """
 
     def mixed(found: DataFrame) -> DataFrame:
         placed = found.select("sig", "node").join(nodes.select("node", "block", "root"), "node")
@@ -364,13 +399,19 @@ def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, width: int, b
         per = per.where("blocks > 1" if count_links else "blocks > 1 and least < most")
         return placed.join(per.select("sig", "blocks"), "sig")
 
+    def ends(frame: pd.DataFrame) -> pd.DataFrame:
+        node, root, block = (frame[name].to_numpy() for name in ("node", "root", "block"))
+        found = [pd.DataFrame({"ka": [], "kb": [], "side": [], "node": [], "root": []}).astype({"ka": "int64", "kb": "int64", "side": "int32", "node": "int64", "root": "int64"})]
+        for one, two in possible_pairs(frame, percent, count_links):
+            for a, b in ((one, two), (two, one)):
+                low, high = np.minimum(block[a], block[b]), np.maximum(block[a], block[b])
+                side = (block[a] > block[b]).astype(np.int32)
+                found.append(pd.DataFrame({"ka": low, "kb": high, "side": side, "node": node[a], "root": root[a]}).drop_duplicates())
+        return pd.concat(found).drop_duplicates()
+
     def across(placed: DataFrame) -> DataFrame:
-        others = placed.groupBy("sig", F.col("block").alias("other")).agg(F.min("root").alias("least"), F.max("root").alias("most"))
-        # A set meets a block for those of its sets that are in another component.
-        apart = "true" if count_links else "(least <> root or most <> root)"
-        both = placed.join(others, "sig").where(f"block <> other and {apart}")
-        ends = [F.least("block", "other").alias("ka"), F.greatest("block", "other").alias("kb"), (F.col("block") > F.col("other")).cast("int").alias("side")]
-        return both.select(*ends, "node", "root").distinct()
+        rows = placed.select("sig", "node", "block", "root").join(summed.select("node", "n", "summary"), "node")
+        return rows.groupBy("sig").applyInPandas(ends, "ka long, kb long, side int, node long, root long").distinct()
 
     placed = tabled(mixed(members), "join-mixed")
     found = across(placed.where(F.col("blocks") <= MANY))
@@ -395,8 +436,8 @@ def joined(docs: DataFrame, width: int = 5, threshold: float = 0.8, count_links:
     members = tabled(shared(signature_rows(docs, width, bands)), "join-members")
     nodes = tabled(in_blocks(classes, members), "join-nodes")
 
-    def links_between(needed: DataFrame) -> DataFrame:
-        likely = tabled(possible_rows(needed, nodes, percent, count_links), "join-likely")
+    def links_between(likely: DataFrame) -> DataFrame:
+        likely = tabled(likely, "join-likely")
         sets = tabled(candidate_sets(docs, nodes, likely, width), "join-sets")
         return tabled(compared(likely, sets, percent, count_links), "join-links")
 
@@ -404,7 +445,8 @@ def joined(docs: DataFrame, width: int = 5, threshold: float = 0.8, count_links:
     inside = nodes.select(F.col("block").alias("ka"), "node")
     if not count_links:
         inside = inside.union(nodes.select("block", "head")).distinct()
-    found = links_between(inside.select("ka", F.col("ka").alias("kb"), F.lit(0).alias("side"), "node", F.col("node").alias("root")))
+    inside = inside.select("ka", F.col("ka").alias("kb"), F.lit(0).alias("side"), "node", F.col("node").alias("root"))
+    found = links_between(possible_rows(inside, nodes, percent, count_links))
 
     # Rows that share a doc_id but not the set tie their classes.
     named = rows.drop("summary").join(classes.drop("summary"), key, "left")
@@ -414,7 +456,7 @@ def joined(docs: DataFrame, width: int = 5, threshold: float = 0.8, count_links:
     roots = tabled(components(found.where("a <> b").select("a", "b").union(tied)), "join-roots")
     rooted = nodes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     rooted = tabled(rooted.select("rep", "node", "fp2", "n", "copies", "block", F.coalesce("root", "rep").alias("root")), "join-rooted")
-    across = links_between(meeting(docs, members, rooted, width, bands, count_links))
+    across = links_between(meeting(docs, members, rooted, nodes, width, bands, percent, count_links))
     more = across.where("a <> b").select("a", "b")
     roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 

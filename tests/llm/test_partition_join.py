@@ -115,3 +115,33 @@ def test_intersections():
     second = [np.unique(rng.integers(0, 300, rng.integers(1, 200))) for _ in range(30)]
     want = [[len(np.intersect1d(a, b)) for b in second] for a in first]
     assert pj.intersections(first, second).tolist() == want
+
+
+def test_pairs_of_a_signature_are_those_that_summaries_allow():
+    """Every pair of different blocks and roots that may be linked, and no others."""
+    rng = np.random.default_rng(7)
+    core = rng.integers(0, 2**63, 200, dtype=np.uint64)
+    sets = [np.concatenate([core[int(rng.integers(0, 60)) :], rng.integers(0, 2**63, int(rng.integers(0, 40)), dtype=np.uint64)]) for _ in range(60)]
+    frame = pd.DataFrame({"node": range(60), "n": [len(x) for x in sets], "root": rng.integers(0, 3, 60), "block": rng.integers(0, 4, 60), "summary": pj.summaries(sets)})
+    for any_root in (False, True):
+        got = {tuple(sorted(pair)) for a, b in pj.possible_pairs(frame, 85, any_root) for pair in zip(a.tolist(), b.tolist())}
+        want = set()
+        for i in range(60):
+            for j in range(i):
+                apart = frame["block"][i] != frame["block"][j] and (any_root or frame["root"][i] != frame["root"][j])
+                if apart and pj.possible(frame.iloc[[j]], frame.iloc[[i]], 85, any_root)[0].any():
+                    want.add((j, i))
+        assert got == want and want
+
+
+def test_rows_of_a_shared_signature_are_not_multiplied_by_its_blocks(spark):
+    """One signature of 30 blocks with unlike sets: nothing is listed for pairs of blocks."""
+    rng = np.random.default_rng(9)
+    sets = [rng.integers(0, 2**63, 80, dtype=np.uint64) for _ in range(30)]
+    rows = [(i, 0, 80, i, 1, 100 + i, i, x) for i, x in enumerate(pj.summaries(sets))]
+    nodes = spark.createDataFrame(rows, "node long, fp2 long, n long, rep long, copies long, block long, root long, summary binary")
+    members = spark.createDataFrame([(7, i) for i in range(30)], "sig long, node long")
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    found = pj.meeting(docs, members, nodes, nodes, 4, pj.Bands(85), 85, False)
+    assert found.count() == 0
+    assert " Inner, (NOT (block" not in found._jdf.queryExecution().toString()
