@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import NO_ID, blocks, ids_back, mix, python_docs, tabled
+from daytally.llm.common import NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, tabled
 from daytally.llm.components import components
 from daytally.llm.sketch_dedup import shingle_hashes
 
@@ -52,6 +52,8 @@ ROOM = 60_000
 MANY = 32
 #: Entries of an incidence matrix.
 ENTRIES = 2_000_000
+#: Bytes of summaries that are looked at together; a signature is never cut.
+SUMMARIES = 16_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -154,36 +156,84 @@ def possible(first: pd.DataFrame, second: pd.DataFrame, percent: int, any_root:
 
 
 def possible_pairs(frame: pd.DataFrame, percent: int, any_root: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of pairs from different blocks, and components unless ``any_root``, whose sets may be linked, some at a time."""
+    """Positions of pairs of one signature (neighbours in the frame; all rows without that column), from different
+    blocks, and components unless ``any_root``, whose sets may be linked, some at a time."""
     cells = [np.frombuffer(x, np.uint16) for x in frame["summary"]]
     levels = np.array([len(x).bit_length() - 1 for x in cells], np.int64)
     n, root, block = (frame[name].to_numpy() for name in ("n", "root", "block"))
-    # Of two sets of different components, one at least is not of the most frequent component.
-    names, times = np.unique(root, return_counts=True)
-    rows = np.arange(len(frame)) if any_root else np.flatnonzero(root != names[times.argmax()])
+    starts, sizes, group = runs_of(frame["sig"].to_numpy() if "sig" in frame else np.zeros(len(frame), np.int64))
+    rows = np.arange(len(frame))
+    if not any_root:
+        # Of two sets of different components, one at least is not of the signature's most frequent component.
+        names, code = np.unique(root, return_inverse=True)
+        held, code, times = np.unique(group * len(names) + code, return_inverse=True, return_counts=True)
+        order = np.lexsort((times, held // len(names)))
+        most = order[np.flatnonzero(np.diff(held[order] // len(names), append=len(starts)))]
+        rows = rows[~np.isin(code, most)]
     place = np.zeros(len(frame), np.int64)
-    for level in np.unique(levels).tolist():
-        first, second = rows[levels[rows] >= level], np.flatnonzero(levels >= level)
-        folded = np.stack([cells[i].reshape(1 << level, -1).sum(axis=1, dtype=np.uint16) for i in second])
-        place[second] = np.arange(len(second))
-        step, span = max(1, ENTRIES // len(second)), max(1, ENTRIES >> level)
-        for low in range(0, len(first), step):
-            at = first[low : low + step]
-            lower, upper = np.minimum(n[at][:, None], n[second][None, :]), np.maximum(n[at][:, None], n[second][None, :])
-            may = 100 * lower >= percent * upper
-            may &= np.minimum(levels[at][:, None], levels[second][None, :]) == level
-            may &= block[at][:, None] != block[second][None, :]
-            if not any_root:
-                may &= root[at][:, None] != root[second][None, :]
-            one, two = np.nonzero(may)
-            one, two = at[one], second[two]
-            for start in range(0, len(one), span):
-                a, b = one[start : start + span], two[start : start + span]
+    for low, high in spans_of(np.cumsum(sizes[group[rows]]) // ENTRIES):
+        count = sizes[group[rows[low:high]]]
+        one = np.repeat(rows[low:high], count)
+        two = starts[group[one]] + np.arange(len(one)) - np.repeat(np.cumsum(count) - count, count)
+        may = block[one] != block[two]
+        if not any_root:
+            may &= root[one] != root[two]
+        one, two = one[may], two[may]
+        near = 100 * np.minimum(n[one], n[two]) >= percent * np.maximum(n[one], n[two])
+        one, two = one[near], two[near]
+        depth = np.minimum(levels[one], levels[two])
+        for level in np.unique(depth).tolist():
+            first, second = one[depth == level], two[depth == level]
+            used = np.unique(np.concatenate([first, second]))
+            place[used] = np.arange(len(used))
+            folded = np.stack([cells[i].reshape(1 << level, -1).sum(axis=1, dtype=np.uint16) for i in used.tolist()])
+            span = max(1, ENTRIES >> level)
+            for start in range(0, len(first), span):
+                a, b = first[start : start + span], second[start : start + span]
                 apart = (folded[place[a]] != folded[place[b]]).sum(axis=1)
                 close = apart <= (n[a] + n[b]) * (100 - percent) // (100 + percent)
                 yield a[close], b[close]
 
 
+def runs_of(*values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs of equal neighbours, and the run of each place."""
+    new = np.ones(len(values[0]), bool)
+    new[1:] = np.logical_or.reduce([own[1:] != own[:-1] for own in values])
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(new)))
+    return starts, sizes, np.repeat(np.arange(len(starts)), sizes)
+
+
+def whole_runs(frames: Iterator[pd.DataFrame], *names: str) -> Iterator[pd.DataFrame]:
+    """The rows of frames in order of some columns, with all rows of their values in one frame."""
+    held: list[pd.DataFrame] = []
+    last = None
+    for frame in frames:
+        if not len(frame):
+            continue
+        values = [frame[name].to_numpy() for name in names]
+        cut = int(runs_of(*values)[0][-1])
+        if held and last != [own[0] for own in values]:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+        if cut:
+            yield pd.concat([*held, frame.iloc[:cut]], ignore_index=True)
+            held = []
+        held.append(frame.iloc[cut:])
+        last = [own[-1] for own in values]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def summary_runs(frames: Iterator[pd.DataFrame], name: str) -> Iterator[pd.DataFrame]:
+    """Whole runs of ``name``, about SUMMARIES bytes of them at a time."""
+    for frame in whole_runs(frames, name):
+        starts, _, group = runs_of(frame[name].to_numpy())
+        part = (np.cumsum(frame["summary"].str.len().to_numpy(np.int64)) // SUMMARIES)[starts][group]
+        for low, high in spans_of(part):
+            yield frame.iloc[low:high].reset_index(drop=True)
+
+
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n, fp1, fp2 and summary (null for the empty set) of every row."""
 
@@ -221,32 +271,24 @@ def shared(rows: DataFrame) -> DataFrame:
     """sig, node, centre (the smallest node) of signatures that several nodes have, each node once."""
 
     def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # The run that a frame ends with goes on in the next: its key, centre, last node, and whether the centre went out.
-        key = centre = last = None
-        out = True
-        for frame in frames:
-            if not len(frame):
-                continue
+        for frame in whole_runs(frames, "sig"):
             sig, node = frame["sig"].to_numpy(), frame["node"].to_numpy()
-            again = np.concatenate([[sig[0] == key and node[0] == last], (sig[1:] == sig[:-1]) & (node[1:] == node[:-1])])
-            sig, node = sig[~again], node[~again]
+            several = runs_of(sig)[1]
+            take = np.repeat(several > 1, several)
+            sig, node = sig[take], node[take]
             if not len(sig):
                 continue
-            starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-            sizes = np.diff(np.append(starts, len(sig)))
-            heads, goes_on = node[starts].copy(), sig[0] == key
-            if goes_on:
-                heads[0] = centre
-                if not out:
-                    yield pd.DataFrame({"sig": [key], "node": [centre], "centre": [centre]})
-            several = sizes > 1
-            several[0] |= goes_on
-            take = np.repeat(several, sizes)
-            yield pd.DataFrame({"sig": sig[take], "node": node[take], "centre": np.repeat(heads, sizes)[take]})
-            key, centre, last, out = sig[-1], heads[-1], node[-1], bool(several[-1])
+            order = np.lexsort((node, sig))
+            sig, node = sig[order], node[order]
+            first = runs_of(sig, node)[0]
+            sig, node = sig[first], node[first]
+            starts, sizes, group = runs_of(sig)
+            take = sizes[group] > 1
+            yield pd.DataFrame({"sig": sig[take], "node": node[take], "centre": node[starts][group][take]})
 
     count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(count, "sig").sortWithinPartitions("sig", "node")
+    # In order of one number alone, which Spark sorts by its bytes; nodes are ordered below.
+    dealt = rows.repartition(count, "sig").sortWithinPartitions("sig")
     return dealt.mapInPandas(runs, "sig long, node long, centre long")
 
 
@@ -288,25 +330,19 @@ def connected(links: np.ndarray) -> np.ndarray:
         rows, columns = new_rows, new_columns
 
 
-def sides_of(frame: pd.DataFrame) -> list[pd.DataFrame]:
-    """The two sides of a pair of blocks, or twice the only one."""
-    if frame["ka"].iloc[0] == frame["kb"].iloc[0]:
-        return [frame, frame]
-    return [frame[frame["side"] == side] for side in (0, 1)]
-
-
 def possible_rows(needed: DataFrame, nodes: DataFrame, percent: int, any_root: bool) -> DataFrame:
-    """The rows of ``needed`` whose set may be linked with one of the other side."""
+    """The rows of ``needed``, in which ka = kb, whose set may be linked with another of its block."""
 
-    def keep(frame: pd.DataFrame) -> pd.DataFrame:
-        sides = sides_of(frame)
-        hits = possible(*sides, percent, any_root)
-        found = [side[hit] for side, hit in zip(sides, hits, strict=True)]
-        return (found[0] if sides[0] is sides[1] else pd.concat(found))[["ka", "kb", "side", "node", "root"]]
+    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in summary_runs(frames, "ka"):
+            hit = np.zeros(len(frame), bool)
+            for one, two in possible_pairs(frame.assign(sig=frame["ka"], block=frame["node"]), percent, any_root):
+                hit[one] = hit[two] = True
+            yield frame.loc[hit, ["ka", "kb", "side", "node", "root"]]
 
     rows = needed.join(nodes.select("node", "n", "summary"), "node")
-    kinds = "ka long, kb long, side int, node long, root long"
-    return rows.groupBy("ka", "kb").applyInPandas(keep, kinds).distinct()
+    dealt = rows.repartition(partitions_for(rows.sparkSession, 1), "ka").sortWithinPartitions("ka")
+    return dealt.mapInPandas(keep, "ka long, kb long, side int, node long, root long").distinct()
 
 
 def compared(needed: DataFrame, sets: DataFrame, percent: int, count_links: bool = False) -> DataFrame:
@@ -316,30 +352,36 @@ def compared(needed: DataFrame, sets: DataFrame, percent: int, count_links: bool
     Gives a, b (reps that are connected) and, with a = b, the number of documents linked to it here.
     """
 
-    def links_of(frame: pd.DataFrame) -> pd.DataFrame:
-        first, second = sides_of(frame.drop_duplicates(["side", "node", "fp2", "rep"]))
-        empty = pd.DataFrame({"a": [], "b": [], "n_links": []}).astype("int64")
-        if not len(first) or not len(second):
-            return empty
-        same = intersections(*[[np.asarray(x) for x in side["shingles"]] for side in (first, second)])
-        n, m = first["n"].to_numpy()[:, None], second["n"].to_numpy()[None, :]
-        links = 100 * same >= percent * (n + m - same)
-        reps, others = first["rep"].to_numpy(), second["rep"].to_numpy()
-        links &= reps[:, None] != others[None, :]
-        if not count_links:
-            links &= first["root"].to_numpy()[:, None] != second["root"].to_numpy()[None, :]
-        least, nodes = connected(links), np.concatenate([reps, others])
-        found = pd.DataFrame({"a": nodes, "b": nodes[least], "n_links": 0})
-        found = found[found["a"] != found["b"]].drop_duplicates()
-        if not count_links:
-            return found
-        copies = [side["copies"].to_numpy() for side in (first, second)]
-        counts = [pd.DataFrame({"a": reps, "b": reps, "n_links": links @ copies[1]})]
-        if first is not second:
-            counts.append(pd.DataFrame({"a": others, "b": others, "n_links": copies[0] @ links}))
-        return pd.concat([found, *counts])
-
-    return needed.join(sets, "node").groupBy("ka", "kb").applyInPandas(links_of, "a long, b long, n_links long")
+    def links_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_runs(frames, "ka", "kb"):
+            frame = frame.drop_duplicates(["ka", "kb", "side", "node", "fp2", "rep"])
+            ka, kb, side, n, rep, root, copies = (frame[name].to_numpy() for name in ("ka", "kb", "side", "n", "rep", "root", "copies"))
+            sets = [np.asarray(x) for x in frame["shingles"]]
+            found = [np.empty((0, 3), np.int64)]
+            starts, sizes, _ = runs_of(ka, kb)
+            for low, high in zip(starts.tolist(), (starts + sizes).tolist(), strict=True):
+                alone = ka[low] == kb[low]
+                own = np.arange(low, high)
+                first, second = (own, own) if alone else (own[side[low:high] == 0], own[side[low:high] == 1])
+                if not len(first) or not len(second):
+                    continue
+                same = intersections(*[[sets[i] for i in at.tolist()] for at in (first, second)])
+                links = 100 * same >= percent * (n[first][:, None] + n[second][None, :] - same)
+                links &= rep[first][:, None] != rep[second][None, :]
+                if not count_links:
+                    links &= root[first][:, None] != root[second][None, :]
+                nodes = rep[np.concatenate([first, second])]
+                least = nodes[connected(links)]
+                pairs = np.stack([nodes, least, np.zeros_like(nodes)], axis=1)[nodes != least]
+                found.append(pairs)
+                if count_links:
+                    found.append(np.stack([rep[first], rep[first], links @ copies[second]], axis=1))
+                    if not alone:
+                        found.append(np.stack([rep[second], rep[second], copies[first] @ links], axis=1))
+            yield pd.DataFrame(np.concatenate(found), columns=["a", "b", "n_links"])
+
+    dealt = needed.join(sets, "node").repartition(partitions_for(needed.sparkSession, 1), "ka", "kb").sortWithinPartitions("ka", "kb")
+    return dealt.mapInPandas(links_of, "a long, b long, n_links long")
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
@@ -399,19 +441,18 @@ def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, summed: DataF
         per = per.where("blocks > 1" if count_links else "blocks > 1 and least < most")
         return placed.join(per.select("sig", "blocks"), "sig")
 
-    def ends(frame: pd.DataFrame) -> pd.DataFrame:
-        node, root, block = (frame[name].to_numpy() for name in ("node", "root", "block"))
-        found = [pd.DataFrame({"ka": [], "kb": [], "side": [], "node": [], "root": []}).astype({"ka": "int64", "kb": "int64", "side": "int32", "node": "int64", "root": "int64"})]
-        for one, two in possible_pairs(frame, percent, count_links):
-            for a, b in ((one, two), (two, one)):
-                low, high = np.minimum(block[a], block[b]), np.maximum(block[a], block[b])
-                side = (block[a] > block[b]).astype(np.int32)
-                found.append(pd.DataFrame({"ka": low, "kb": high, "side": side, "node": node[a], "root": root[a]}).drop_duplicates())
-        return pd.concat(found).drop_duplicates()
+    def ends(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in summary_runs(frames, "sig"):
+            node, root, block = (frame[name].to_numpy() for name in ("node", "root", "block"))
+            for one, two in possible_pairs(frame, percent, count_links):
+                a, b = np.concatenate([one, two]), np.concatenate([two, one])
+                keys = {"ka": np.minimum(block[a], block[b]), "kb": np.maximum(block[a], block[b])}
+                yield pd.DataFrame({**keys, "side": (block[a] > block[b]).astype(np.int32), "node": node[a], "root": root[a]}).drop_duplicates()
 
     def across(placed: DataFrame) -> DataFrame:
         rows = placed.select("sig", "node", "block", "root").join(summed.select("node", "n", "summary"), "node")
-        return rows.groupBy("sig").applyInPandas(ends, "ka long, kb long, side int, node long, root long").distinct()
+        dealt = rows.repartition(partitions_for(docs.sparkSession, 1), "sig").sortWithinPartitions("sig")
+        return dealt.mapInPandas(ends, "ka long, kb long, side int, node long, root long").distinct()
 
     placed = tabled(mixed(members), "join-mixed")
     found = across(placed.where(F.col("blocks") <= MANY))

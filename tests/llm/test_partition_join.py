@@ -145,3 +145,31 @@ def test_rows_of_a_shared_signature_are_not_multiplied_by_its_blocks(spark):
     found = pj.meeting(docs, members, nodes, nodes, 4, pj.Bands(85), 85, False)
     assert found.count() == 0
     assert " Inner, (NOT (block" not in found._jdf.queryExecution().toString()
+
+
+def test_many_signatures_are_looked_at_together():
+    """Pairs of a frame of many signatures are those of each signature by itself, however the rows come in frames."""
+    rng = np.random.default_rng(5)
+    core = rng.integers(0, 2**63, 90, dtype=np.uint64)
+    sets = [np.concatenate([core[int(rng.integers(0, 20)) :], rng.integers(0, 2**63, int(rng.integers(0, 12)), dtype=np.uint64)]) for _ in range(150)]
+    sig = np.sort(rng.integers(0, 40, 150))
+    frame = pd.DataFrame({"sig": sig, "node": range(150), "n": [len(x) for x in sets], "root": rng.integers(0, 3, 150), "block": rng.integers(0, 4, 150), "summary": pj.summaries(sets)})
+    pairs = lambda own, any_root: {tuple(sorted(x)) for a, b in pj.possible_pairs(own, 85, any_root) for x in zip(own["node"].to_numpy()[a].tolist(), own["node"].to_numpy()[b].tolist())}
+    for any_root in (False, True):
+        want = set().union(*(pairs(own.drop(columns="sig"), any_root) for _, own in frame.groupby("sig")))
+        assert pairs(frame, any_root) == want and want
+    for step in (1, 7, 150):
+        parts = list(pj.whole_runs((frame.iloc[i : i + step] for i in range(0, 150, step)), "sig"))
+        assert pd.concat(parts, ignore_index=True).equals(frame)
+        assert sum(own["sig"].nunique() for own in parts) == frame["sig"].nunique()
+
+
+def test_signatures_are_not_looked_at_group_by_group(spark):
+    """A Python group for each signature or block took most of the time; now a task takes many at once."""
+    sets = [np.arange(i, i + 80, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for i in range(4)]
+    rows = [(i, 0, 80, i, 1, 100 + i, i, x) for i, x in enumerate(pj.summaries(sets))]
+    nodes = spark.createDataFrame(rows, "node long, fp2 long, n long, rep long, copies long, block long, root long, summary binary")
+    members = spark.createDataFrame([(7, i) for i in range(4)], "sig long, node long")
+    found = pj.meeting(spark.createDataFrame([], "doc_id long, text string"), members, nodes, nodes, 4, pj.Bands(85), 85, False)
+    assert {(row.ka, row.kb) for row in found.collect()} >= {(100, 101), (101, 102), (102, 103)}
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().toString()
