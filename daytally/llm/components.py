@@ -24,23 +24,28 @@ def _small(links: DataFrame) -> DataFrame:
     return tied.union(least.select("node", "root")).where("a <> b")
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node of links with a > b either is the larger end of one only, or the smaller end of all it has."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(links.select("b", F.lit(0), F.lit(1)))
+    per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per.agg(F.count_if((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1)))).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) for every node of links (a, b); minima and joins, no lists.
 
     Each round is a table, so a lost executor costs one round; the one before it is removed. Rounds
-    end when the links stay the same, which takes a number of them that grows with the logarithm of
-    the longest path.
+    end when every link is one of a star, which takes a number of them that grows with the logarithm
+    of the longest path; links that are stars already take none.
     """
     spark = links.sparkSession
-    first = links.where("a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    a, b = F.col("a").cast("long"), F.col("b").cast("long")
+    first = links.where("a <> b").select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     links, folder = written(first.distinct(), "links")
-    state = lambda frame: tuple(frame.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-    now = state(links)
-    while True:
+    while not _stars(links):
         links, after = written(_small(_large(links).distinct()).distinct(), "links")
         files.remove(spark, folder)
-        before, now, folder = now, state(links), after
-        if now == before:
-            break
+        folder = after
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(links.select("b", "b")).groupBy("node").agg(F.min("root").alias("root"))

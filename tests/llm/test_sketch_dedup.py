@@ -115,3 +115,16 @@ def test_components(spark, links):
             changed |= (root[a], root[b]) != (low, low)
             root[a] = root[b] = low
     assert found == {k: v for k, v in root.items() if any(k in (a, b) and a != b for a, b in links)}
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    """A round more, only to see that nothing changes, costs seven shuffles."""
+    from daytally.llm import components as module
+
+    rounds = []
+    monkeypatch.setattr(module, "_large", lambda links, real=module._large: rounds.append(1) or real(links))
+    stars = [(i, i % 3) for i in range(3, 40)] + [(0, 50)]
+    found = dict(map(tuple, components(spark.createDataFrame(stars, "a long, b long")).collect()))
+    assert found == {i: i % 3 for i in range(40)} | {50: 0} and not rounds
+    components(spark.createDataFrame([(2, 1), (3, 2)], "a long, b long")).collect()
+    assert len(rounds) == 1
