@@ -11,10 +11,13 @@ alike. They sum to one, so the score is the log10 probability of the whole token
 
 Tree and counts are tables without bound; nothing of them is collected. Tasks write, for each bundle
 of documents, its distinct (DEPTH + 1)-grams and word hashes with their training counts, and each
-document's places in the hashes. Both are summed by parts of a hash range. From the grams Spark
-derives the shorter ones, tests all contexts, and joins depth by depth until every gram has its
-probability. Probabilities and word totals return to their bundle, whose documents are scored
-there. Words are told apart by 64-bit hashes.
+document's symbols. Both are summed by parts of a hash range. Grams are dealt by the
+last SHARED bytes of their contexts, so all that a longer context is tested and smoothed with lies
+in its part, and no table of the grams is sent for each depth. From the grams of that depth, which
+the parts give, Spark derives the shorter ones, tests their contexts, and joins depth by depth until
+each has its probability; the parts go on from there. Probabilities and word totals return to their
+bundle, whose documents are scored there; what a bundle asked for is found again from its symbols
+and not sent back. Words are told apart by 64-bit hashes.
 
 ``trained`` is an excerpt of the tree for a look at it in one process; scoring doesn't use it.
 
@@ -38,14 +41,18 @@ from pyspark.sql import functions as F
 
 from daytally import settings
 from daytally.llm import labelled
-from daytally.llm.common import BLOCK_BYTES, BUNDLE_BYTES, NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, stored, text_bytes
+from daytally.llm.common import BLOCK_BYTES, NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, stored, text_bytes
 from daytally.llm.sketch_dedup import word_hashes
 
 DEPTH, DISCOUNT, DIVERGENCE = 6, 0.75, 2.0
+#: Bytes of context that all grams of a part's group share; shorter contexts are the DataFrames' work.
+SHARED = 3
 #: Entries of an excerpt of the tree at most, 24 bytes each; and how often a context must occur.
 ENTRIES, LEAST = 1 << 22, 2
 #: Distinct grams that are held at a time before they are added up or sent on.
 FLUSH = 4_000_000
+#: Symbols of one bundle of documents; larger ones repeat fewer grams of each other.
+BUNDLE_BYTES = 32_000_000
 END = 0x0A
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -162,12 +169,12 @@ class Quick:
         return found
 
 
-def leveled(grams_table: DataFrame) -> list[DataFrame]:
-    """For each depth from 0 the stored table key, n, c, kinds: a gram, its count, that of its context, and how many symbols follow it."""
+def leveled(grams_table: DataFrame, top: int = DEPTH) -> list[DataFrame]:
+    """For each depth from 0 to that of the grams the stored table key, n, c, kinds: a gram, its count, that of its context, and how many symbols follow it."""
     spark, levels, level = grams_table.sparkSession, [], grams_table
     folder = settings.new_run_dir(spark, "levels")
-    for depth in range(DEPTH, -1, -1):
-        if depth < DEPTH:
+    for depth in range(top, -1, -1):
+        if depth < top:
             level = level.groupBy(F.col("key").bitwiseAND(F.lit(mask(depth))).alias("key")).agg(F.sum("n").alias("n"))
         same = Window.partitionBy(context())  # at most 256 rows
         level = level.select("key", "n", F.sum("n").over(same).alias("c"), F.count_if(F.col("n") > 0).over(same).alias("kinds"))
@@ -181,31 +188,35 @@ def context() -> Column:
     return F.shiftrightunsigned("key", 8)
 
 
-def retained_contexts(levels: list[DataFrame]) -> list[DataFrame]:
-    """For each depth from 1 the stored table context; a gram that no training document has teaches nothing."""
+def retained_contexts(levels: list[DataFrame], longer: DataFrame | None = None) -> list[DataFrame]:
+    """For each depth from 1 the stored table context; a gram that no training document has teaches nothing.
+
+    ``longer`` has retained contexts whose suffixes these levels begin with.
+    """
     kept: list[DataFrame] = []
-    for depth in range(DEPTH, 0, -1):
+    for depth in range(len(levels) - 1, 0, -1):
         above = levels[depth - 1].where("n > 0").select(F.col("key").alias("shorter"), (F.col("n") / F.col("c")).alias("expected"))
         here = levels[depth].where((F.col("n") > 0) & (F.col("c") >= LEAST)).withColumn("shorter", F.col("key").bitwiseAND(F.lit(mask(depth - 1))))
         gain = F.sum(F.col("n") * F.ln(F.col("n") / F.col("c") / F.col("expected")))
         tested = here.join(above, "shorter").groupBy(context().alias("context")).agg(gain.alias("gain"), F.count("*").alias("kinds"))
         own = tested.where(F.col("gain") > DIVERGENCE * (F.col("kinds") + 1)).select("context")
-        if kept:  # suffixes of deeper ones
-            own = own.union(kept[-1].select(F.col("context").bitwiseAND(F.lit(mask(depth - 1))).alias("context"))).distinct()
-        kept.append(stored(own))
+        if longer is not None:  # suffixes of deeper ones
+            own = own.union(longer.select(F.col("context").bitwiseAND(F.lit(mask(depth - 1))).alias("context"))).distinct()
+        longer = stored(own)
+        kept.append(longer)
     return kept[::-1]
 
 
-def finished(levels: list[DataFrame]) -> DataFrame:
-    """key, log: every gram of the deepest level with the log10 probability of its symbol in the longest retained suffix."""
+def finished(levels: list[DataFrame], longer: DataFrame | None = None) -> DataFrame:
+    """key, p: every gram of the deepest level with the probability of its symbol in the longest retained suffix."""
     seen, left = (F.try_divide(x, F.col("c")) for x in (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)), DISCOUNT * F.col("kinds")))
     found = levels[0].select("key", F.when(F.col("c") > 0, seen + left / 256).otherwise(1 / 256).alias("p"))
-    for depth, own in enumerate(retained_contexts(levels), 1):
+    for depth, own in enumerate(retained_contexts(levels, longer), 1):
         here = levels[depth].join(own.withColumn("known", F.lit(True)), context() == F.col("context"), "left")
         here = here.select("key", F.col("key").bitwiseAND(F.lit(mask(depth - 1))).alias("shorter"), F.when(F.col("known"), seen).alias("seen"), left.alias("left"))
         p = F.coalesce(F.col("seen") + F.col("left") * F.col("p"), F.col("p"))
         found = here.join(found.withColumnRenamed("key", "shorter"), "shorter").select("key", p.alias("p"))
-    return found.select("key", F.log10("p").alias("log"))
+    return found
 
 
 def retained(levels: list[DataFrame]) -> DataFrame:
@@ -260,10 +271,10 @@ class Answers:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys, self.values = keys, values
-        self.bits = np.uint64(64 - max(int(len(keys) * 2).bit_length(), 4))
-        self.slots = np.zeros(1 << int(64 - int(self.bits)), np.int64)
+        self.bits = np.uint64(64 - max(int(len(keys) * 4).bit_length(), 4))
+        self.slots = np.zeros(1 << int(64 - int(self.bits)), np.int32)
         # Of keys in one slot the last stays; the others are searched for.
-        self.slots[(keys * _SPREAD) >> self.bits] = np.arange(len(keys))
+        self.slots[(keys * _SPREAD) >> self.bits] = np.arange(len(keys), dtype=np.int32)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         at = self.slots[(keys * _SPREAD) >> self.bits]
@@ -279,8 +290,7 @@ def in_tasks(docs: DataFrame, parts: int, folder: str) -> DataFrame:
     """Writes, for each bundle, a row per part of its grams, one per part of its word hashes, and one per document.
 
     codes and times are numpy arrays: grams or word hashes and their training counts in the first
-    kinds of rows (doc_id null), places in the bundle's hashes and how often they occur in the last,
-    which has the document's symbols as bytes.
+    kinds of rows (doc_id null); the last has the document's symbols as bytes.
     """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -323,19 +333,14 @@ def bundle_rows(bundle: int, held: list[tuple], seen: tuple[np.ndarray, np.ndarr
     ]
     for part, own in gram_parts(seen[0], parts):
         rows.append((None, bundle, part, True, len(own), None, squeezed(seen[0][own]), zlib.compress(seen[1][own].astype("<i8").tobytes(), 1), None))
-    place = owner * max(len(hashes), 1) + codes
-    place, times = np.unique(place, return_counts=True)
-    bounds = np.searchsorted(place, np.arange(len(ids) + 1) * max(len(hashes), 1))
-    for i, (start, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
-        own = np.diff(place[start:end] - i * max(len(hashes), 1), prepend=0).astype("<u4")
-        packed = zlib.compress(own.tobytes(), 1), zlib.compress(times[start:end].astype("<u4").tobytes(), 1)
-        rows.append((int(ids[i]), bundle, None, None, int(sizes[i]), data[i], *packed, bool(trains[i])))
+    for i in range(len(ids)):
+        rows.append((int(ids[i]), bundle, None, None, int(sizes[i]), data[i], None, None, bool(trains[i])))
     return pd.DataFrame(rows, columns=[c.split()[0] for c in ROWS.split(", ")]).astype({"part": "Int32", "doc_id": "Int64", "grams": "boolean"})
 
 
 def gram_parts(keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
-    """Each part of the hash range with the places of its keys, in their order."""
-    part = ((mix(keys) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    """Each part of the hash range with the places of its keys, in their order; keys of at least SHARED bytes of context."""
+    part = ((mix((keys >> np.uint64(8)) & np.uint64(mask(SHARED - 1))) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     order = np.argsort(part, kind="stable")
     return [(int(part[order[start]]), order[start:end]) for start, end in spans_of(part[order])]
 
@@ -349,19 +354,95 @@ def unsqueezed(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(data), "<u8"), dtype=np.uint64)
 
 
-def grams_of(frame: pd.DataFrame) -> pd.DataFrame:
-    """key, n of one part of the hash range, over all bundles."""
+def grams_of(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of one part of the hash range, over all bundles."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     for codes, times in zip(frame["codes"], frame["times"], strict=True):
         held.append((unsqueezed(codes), np.frombuffer(zlib.decompress(times), "<i8")))
         if sum(len(k) for k, _ in held[1:]) > FLUSH:
             held = [summed(held)]
-    keys, n = summed(held)
-    return pd.DataFrame({"key": keys.view(np.int64), "n": n})
+    return summed(held)
 
 
-def in_parts(logs: DataFrame, parts: int) -> DataFrame:
-    """part, codes, values: the rows key, log as arrays for each part, some at a time."""
+@dataclass
+class Level:
+    """Grams of one depth in order; of each its count and its context's place; of each context its count and how many symbols follow it."""
+
+    keys: np.ndarray
+    n: np.ndarray
+    place: np.ndarray
+    starts: np.ndarray
+    c: np.ndarray
+    kinds: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, n: np.ndarray) -> Level:
+        contexts = keys >> np.uint64(8)
+        new = np.concatenate([[True], contexts[1:] != contexts[:-1]])
+        starts = np.flatnonzero(new)
+        return cls(keys, n, np.cumsum(new) - 1, starts, np.add.reduceat(n, starts), np.add.reduceat((n > 0).astype(np.int64), starts))
+
+    @property
+    def contexts(self) -> np.ndarray:
+        return self.keys[self.starts] >> np.uint64(8)
+
+
+def long_levels(keys: np.ndarray, n: np.ndarray) -> tuple[list[Level], list[np.ndarray], list[np.ndarray]]:
+    """From SHARED to DEPTH, of all grams of some contexts of SHARED bytes: the levels, each gram's place in the level
+    before, and whether a context is retained; at SHARED whether a longer one is."""
+    levels = [Level.of(keys, n)]
+    for depth in range(DEPTH - 1, SHARED - 1, -1):
+        levels.append(Level.of(*counted(levels[-1].keys & np.uint64(mask(depth)), levels[-1].n)))
+    levels = levels[::-1]
+    shorter = [np.empty(0, np.int64)] + [np.searchsorted(above.keys, here.keys & np.uint64(mask(depth))) for depth, (above, here) in enumerate(zip(levels, levels[1:]), SHARED)]
+    kept: list[np.ndarray] = []
+    longer = np.empty(0, np.uint64)
+    for depth in range(DEPTH, SHARED - 1, -1):
+        here = levels[depth - SHARED]
+        own = np.isin(here.contexts, longer)
+        if depth > SHARED:
+            above, at = levels[depth - SHARED - 1], shorter[depth - SHARED]
+            taught = np.flatnonzero(here.n)
+            expected = above.n[at[taught]] / above.c[above.place[at[taught]]]
+            share = here.n[taught] / here.c[here.place[taught]]
+            gain = np.bincount(here.place[taught], here.n[taught] * np.log(share / expected), len(here.c))
+            own |= (here.c >= LEAST) & (gain > DIVERGENCE * (here.kinds + 1))
+        kept.append(own)
+        longer = np.unique(here.contexts[own] & np.uint64(mask(depth - 2)))
+    return levels, shorter, kept[::-1]
+
+
+def shared_of(frame: pd.DataFrame) -> pd.DataFrame:
+    """key, n of one part's grams of SHARED bytes of context, and whether a longer context is retained."""
+    levels, _, kept = long_levels(*grams_of(frame))
+    return pd.DataFrame({"key": levels[0].keys.view(np.int64), "n": levels[0].n, "longer": kept[0][levels[0].place]})
+
+
+def long_logs(keys: np.ndarray, n: np.ndarray, known: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """log10 probability of every gram in the longest retained suffix, given those at SHARED of the known keys in order."""
+    levels, shorter, kept = long_levels(keys, n)
+    p = p[np.searchsorted(known, levels[0].keys)]
+    for here, at, own in zip(levels[1:], shorter[1:], kept[1:], strict=True):
+        p, c = p[at], np.maximum(here.c, 1)[here.place]
+        smoothed = np.maximum(here.n - DISCOUNT, 0) / c + DISCOUNT * here.kinds[here.place] / c * p
+        p = np.where(own[here.place], smoothed, p)
+    return np.log10(p)
+
+
+def packed(values: np.ndarray) -> tuple[bytes, bytes]:
+    """The distinct values, and each one's place among them; most grams have the probability of a shorter one."""
+    distinct, place = np.unique(values, return_inverse=True)
+    planes = place.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return distinct.tobytes(), zlib.compress(planes.tobytes(), 1)
+
+
+def unpacked(distinct: bytes, places: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(places), np.uint8).reshape(4, -1)
+    return np.frombuffer(distinct, np.float64)[np.ascontiguousarray(planes.T).view("<u4").ravel()]
+
+
+def in_parts(found: DataFrame, parts: int) -> DataFrame:
+    """part, codes, values: the rows key, p as arrays for each part, some at a time."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -372,24 +453,25 @@ def in_parts(logs: DataFrame, parts: int) -> DataFrame:
             return pd.DataFrame(own, columns=["part", "codes", "values"])
 
         for frame in frames:
-            held.append((frame["key"].to_numpy(np.int64).view(np.uint64), frame["log"].to_numpy(np.float64)))
+            held.append((frame["key"].to_numpy(np.int64).view(np.uint64), frame["p"].to_numpy(np.float64)))
             if sum(len(k) for k, _ in held) > FLUSH:
                 yield rows()
                 held = []
         if held:
             yield rows()
 
-    return logs.mapInPandas(pack, "part int, codes binary, values binary")
+    return found.mapInPandas(pack, "part int, codes binary, values binary")
 
 
 def answers_of(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """For each bundle of a part, the log-probabilities of its grams."""
-    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in known["codes"]])
-    values = np.concatenate([np.frombuffer(x, np.float64) for x in known["values"]])
-    order = np.argsort(keys)
-    keys, values = keys[order], values[order]
-    logs = [zlib.compress(values[np.searchsorted(keys, unsqueezed(x))].tobytes(), 1) for x in asked["codes"]]
-    return pd.DataFrame({"bundle": asked["bundle"], "part": asked["part"], "codes": asked["codes"], "logs": logs})
+    """For each bundle of a part, the log-probabilities of its grams; ``known`` has those of SHARED bytes of context."""
+    shorter = np.concatenate([np.frombuffer(x, np.uint64) for x in known["codes"]])
+    p = np.concatenate([np.frombuffer(x, np.float64) for x in known["values"]])
+    order = np.argsort(shorter)
+    keys, n = grams_of(asked)
+    values = long_logs(keys, n, shorter[order], p[order])
+    found = [packed(values[np.searchsorted(keys, unsqueezed(x))]) for x in asked["codes"]]
+    return pd.DataFrame({"bundle": asked["bundle"], "part": asked["part"], "values": [x for x, _ in found], "logs": [x for _, x in found]})
 
 
 def parts_of(hashes: np.ndarray, parts: int) -> list[tuple[int, tuple[int, int]]]:
@@ -413,18 +495,32 @@ def totals_of(frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def scores_of(data: pd.Series, logs: Answers) -> np.ndarray:
-    """For each document's compressed symbols the sum of their log-probabilities, about BLOCK_BYTES at a time."""
-    found, held, size = [], [], 0
-    for i, packed in enumerate(data, 1):
-        held.append(zlib.decompress(packed))
-        size += len(held[-1])
-        if size >= BLOCK_BYTES or i == len(data):
-            counts = np.array([len(x) for x in held], np.int64)
-            log = logs.of(grams(np.frombuffer(b"".join(held), np.uint8), counts))
-            found.append(np.add.reduceat(log, np.cumsum(counts) - counts))
-            held, size = [], 0
-    return np.concatenate(found)
+def in_blocks(data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The grams of documents' symbols and each document's number of them, about BLOCK_BYTES at a time."""
+    sizes = np.array([len(x) for x in data], np.int64)
+    for start, end in spans_of(np.cumsum(sizes) // BLOCK_BYTES):
+        yield grams(np.frombuffer(b"".join(data[start:end]), np.uint8), sizes[start:end]), sizes[start:end]
+
+
+def bundle_logs(data: list[bytes], parts: int, answers: pd.DataFrame) -> Answers:
+    """The log-probabilities of a bundle's grams from its parts' answers, which are in the order that the bundle asked in."""
+    keys = np.empty(0, np.uint64)
+    held = []
+    for own, _ in in_blocks(data):
+        held.append(counted(own)[0])
+        if sum(map(len, held)) > FLUSH:
+            keys, held = counted(np.concatenate([keys, *held]))[0], []
+    keys = counted(np.concatenate([keys, *held]))[0]
+    values = np.empty(len(keys))
+    known = {row.part: unpacked(row.values, row.logs) for row in answers[["part", "values", "logs"]].itertuples(index=False, name="Answer")}
+    for part, own in gram_parts(keys, parts):
+        values[own] = known[part]
+    return Answers(keys, values)
+
+
+def scores_of(data: list[bytes], logs: Answers) -> np.ndarray:
+    """For each document's symbols the sum of their log-probabilities."""
+    return np.concatenate([np.add.reduceat(logs.of(keys), np.cumsum(counts) - counts) for keys, counts in in_blocks(data)])
 
 
 def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
@@ -433,19 +529,21 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
     docs = python_docs(docs)
     docs = docs.withColumn("trains", ~F.when(F.col("doc_id") == F.lit(NO_ID), F.lit(False)).otherwise(held))
     spark = docs.sparkSession
-    parts = text_bytes(docs) // (4 * BUNDLE_BYTES) + 1
+    parts = text_bytes(docs) // (2 * BUNDLE_BYTES) + 1
     folder = settings.new_run_dir(spark, "words")
     rows = in_tasks(docs, parts, f"{folder}/rows")
     dealt = lambda frame: frame.repartition(partitions_for(spark, parts), "part")
     asked = rows.where("doc_id is null").select("grams", "bundle", "part", "codes", "times")
-    kinds_of = "bundle long, part int, codes binary, logs binary"
-    whole_grams = dealt(asked.where("grams")).groupBy("part").applyInPandas(grams_of, "key long, n long")
-    logs = dealt(in_parts(finished(leveled(whole_grams)), parts)).groupBy("part")
-    dealt(asked.where("grams")).groupBy("part").cogroup(logs).applyInPandas(answers_of, kinds_of).write.parquet(f"{folder}/logs")
+    kinds_of = "bundle long, part int, values binary, logs binary"
+    dealt(asked.where("grams")).groupBy("part").applyInPandas(shared_of, "key long, n long, longer boolean").write.parquet(f"{folder}/shared")
+    shorter = spark.read.parquet(f"{folder}/shared")
+    longer = shorter.where("longer").select(context().alias("context")).distinct()
+    known = dealt(in_parts(finished(leveled(shorter.select("key", "n"), SHARED), longer), parts)).groupBy("part")
+    logs = dealt(asked.where("grams")).groupBy("part").cogroup(known).applyInPandas(answers_of, kinds_of)
     asked = dealt(asked.where("not grams").drop("grams"))
     asked.groupBy("part").applyInPandas(totals_of, TOTALS).write.parquet(f"{folder}/totals")
     totals = spark.read.parquet(f"{folder}/totals")
-    answers = totals.select("bundle", "part", "totals").unionByName(spark.read.parquet(f"{folder}/logs"), allowMissingColumns=True)
+    answers = totals.select("bundle", "part", "totals").unionByName(logs, allowMissingColumns=True)
     whole = totals.agg(F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     ends = rows.where("trains").count()
     n, kinds = whole.tokens + ends, whole.kinds + (ends > 0)
@@ -453,16 +551,14 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
 
     def combine(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         known = known.sort_values("part")
-        grammar, blobs = known[known["logs"].notna()], known["totals"].dropna()
-        keys = np.concatenate([unsqueezed(x) for x in grammar["codes"]])
-        values = np.concatenate([np.frombuffer(zlib.decompress(x), np.float64) for x in grammar["logs"]])
-        order = np.argsort(keys)
-        logs = Answers(keys[order], values[order])
-        counts = np.frombuffer(b"".join(zlib.decompress(x) for x in blobs), "<i8")
+        data = [zlib.decompress(x) for x in own["bytes"]]
+        logs = bundle_logs(data, parts, known[known["logs"].notna()])
+        counts = np.frombuffer(b"".join(zlib.decompress(x) for x in known["totals"].dropna()), "<i8")
+        words, sizes = word_hashes([x.decode() for x in data])
+        codes = np.unique(words, return_inverse=True)[1]
         base, found = [], []
-        for codes, times in zip(own["codes"], own["times"], strict=True):
-            place = np.cumsum(np.frombuffer(zlib.decompress(codes), "<u4").astype(np.int64))
-            times = np.frombuffer(zlib.decompress(times), "<u4")
+        for words in np.split(codes, np.cumsum(sizes)[:-1]):
+            place, times = np.unique(words, return_counts=True)
             c = counts[place]
             base.append(float((times * log(c)).sum() + log(ends)))
             found.append(int(times[c > 0].sum()) + (ends > 0))
@@ -474,10 +570,10 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
                 "n_known": found,
                 "train_tokens": n,
                 "base_score": base,
-                "score": scores_of(own["bytes"], logs),
+                "score": scores_of(data, logs),
             }
         )
 
     kinds_of = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    left = rows.where("doc_id is not null").groupBy("bundle")
+    left = rows.where("doc_id is not null").select("bundle", "doc_id", "words", "bytes", "trains").groupBy("bundle")
     return ids_back(left.cogroup(answers.groupBy("bundle")).applyInPandas(combine, kinds_of))

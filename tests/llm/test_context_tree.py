@@ -119,3 +119,37 @@ def test_scores_use_the_whole_tree_whatever_its_size(spark, monkeypatch):
     monkeypatch.setattr(ct, "FLUSH", 20)
     monkeypatch.setattr(ct, "BUNDLE_BYTES", 200)
     compare(ct.scored(docs).collect(), expected(rows, {i for i, _ in rows}))
+
+
+@pytest.mark.parametrize("texts", [["a b a c " * 30, "word worm work wort " * 9, "x\x00y é", ""], []])
+def test_parts_give_the_probabilities_of_the_whole_tree(texts):
+    """Levels beyond SHARED bytes of context need no other part."""
+    texts = texts + [" ".join(f"w{i * i % 37} of {i % 5}" for i in range(400))]
+    keys, n = ct.counted(ct.grams(*ct.symbols(texts)))
+    model = Brute(texts)
+    for _, own in ct.gram_parts(keys, 5):
+        levels, _, kept = ct.long_levels(keys[own], n[own])
+        as_bytes = lambda context, depth: int(context).to_bytes(8, "big")[8 - depth :]
+        for depth, level, retained in zip(range(ct.SHARED, ct.DEPTH + 1), levels, kept, strict=True):
+            for place, context in enumerate(level.contexts.tolist()):
+                seen = model.counts[as_bytes(context, depth)]
+                assert level.c[place] == sum(seen.values()) and level.kinds[place] == len(seen)
+                if depth > ct.SHARED:
+                    assert retained[place] == (as_bytes(context, depth) in model.kept)
+
+
+def test_grams_are_not_sent_for_each_depth(spark, monkeypatch):
+    """The tables of the grams beyond SHARED bytes of context took most of the disk."""
+    seen = []
+    monkeypatch.setattr(ct, "leveled", lambda grams, top=ct.DEPTH, real=ct.leveled: seen.append(grams) or real(grams, top))
+    rows = [(i, " ".join(f"w{i * j % 997}" for j in range(60))) for i in range(60)]
+    ct.scored(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert len(seen) == 1 and seen[0].agg({"key": "max"}).first()[0] <= ct.mask(ct.SHARED)
+
+
+def test_values_are_sent_once():
+    """Log-probabilities come back as they were, and repeated ones take no room."""
+    values = np.random.default_rng(2).random(500)[np.random.default_rng(3).integers(0, 500, 100_000)]
+    distinct, places = ct.packed(values)
+    assert (ct.unpacked(distinct, places) == values).all() and len(distinct) + len(places) < 300_000
+    assert len(ct.unpacked(*ct.packed(np.empty(0)))) == 0
