@@ -20,8 +20,8 @@ def _small(links: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are tied to the smallest of those."""
     down = links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other"))
     least = down.groupBy("node").agg(F.min("other").alias("root"))
-    tied = down.join(least, "node").select(F.col("other").alias("a"), F.col("root").alias("b"))
-    return tied.union(least.select("node", "root")).where("a <> b")
+    tied = down.join(least, "node").select(F.explode(F.array("node", "other")).alias("a"), F.col("root").alias("b"))
+    return tied.where("a <> b")
 
 
 def _stars(links: DataFrame) -> bool:
@@ -44,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     first = links.where("a <> b").select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     links, folder = written(first.distinct(), "links")
     while not _stars(links):
-        links, after = written(_small(_large(links).distinct()).distinct(), "links")
+        links, after = written(_small(_large(links)).distinct(), "links")  # a link gives one of the large star at most
         files.remove(spark, folder)
         folder = after
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
