@@ -15,9 +15,10 @@ document's symbols. Both are summed by parts of a hash range. Grams are dealt by
 last SHARED bytes of their contexts, so all that a longer context is tested and smoothed with lies
 in its part, and no table of the grams is sent for each depth. From the grams of that depth, which
 the parts give, Spark derives the shorter ones, tests their contexts, and joins depth by depth until
-each has its probability; the parts go on from there. Probabilities and word totals return to their
-bundle, whose documents are scored there; what a bundle asked for is found again from its symbols
-and not sent back. Words are told apart by 64-bit hashes.
+each has its probability; the parts go on from there. Grams with their probabilities and word totals
+return to their bundle, whose documents are scored there, a block of texts at a time. A bundle ends at
+BUNDLE_BYTES of symbols or FLUSH distinct grams, which bounds what a task holds. Words are told apart
+by 64-bit hashes.
 
 ``trained`` is an excerpt of the tree for a look at it in one process; scoring doesn't use it.
 
@@ -53,6 +54,8 @@ ENTRIES, LEAST = 1 << 22, 2
 FLUSH = 4_000_000
 #: Symbols of one bundle of documents; larger ones repeat fewer grams of each other.
 BUNDLE_BYTES = 32_000_000
+#: Text bytes for each part of the grams and words.
+PART_BYTES = 16_000_000
 END = 0x0A
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,17 +73,13 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def grams(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """For each symbol the key of it and the DEPTH bytes before it; a text is preceded by an end and zeros."""
-    pad = DEPTH
+    wide = np.zeros(len(flat) + 7, np.uint8)
+    wide[6], wide[7:] = END, flat
+    key = np.ndarray(len(flat), ">u8", wide, strides=(1,)).astype(np.uint64) & np.uint64(mask(DEPTH))
     starts = np.cumsum(counts) - counts
-    wide = np.zeros(len(flat) + pad * len(counts), np.uint64)
-    place = np.arange(len(flat)) + np.repeat(pad * np.arange(1, len(counts) + 1), counts)
-    wide[place] = flat
-    wide[starts + pad * np.arange(1, len(counts) + 1) - 1] = END
-    key = np.zeros(len(wide), np.uint64)
-    for back in range(pad, -1, -1):
-        key <<= np.uint64(8)
-        key[back:] |= wide[: len(wide) - back]
-    return key[place]
+    for own in range(DEPTH - 1):  # the text before ends with an end too
+        key[starts[counts > own] + own] &= np.uint64(mask(own + 1))
+    return key
 
 
 def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +88,7 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
         keys = np.sort(keys)
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
         return keys[first], np.diff(np.append(first, len(keys)))
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, weights = keys[order], weights[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
     return keys[first], np.add.reduceat(weights, first) if len(first) else weights
@@ -266,21 +265,19 @@ def add_level(tree: Tree, keys: np.ndarray, n: np.ndarray, c: np.ndarray) -> Non
     tree.lefts.append(np.clip(1 - np.bincount(where, share, len(contexts)), 1e-12, 1.0))
 
 
+@dataclass
 class Answers:
-    """Values of distinct keys (in order), found through a hash table."""
+    """Values of distinct keys (in order)."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values
-        self.bits = np.uint64(64 - max(int(len(keys) * 4).bit_length(), 4))
-        self.slots = np.zeros(1 << int(64 - int(self.bits)), np.int32)
-        # Of keys in one slot the last stays; the others are searched for.
-        self.slots[(keys * _SPREAD) >> self.bits] = np.arange(len(keys), dtype=np.int32)
+    keys: np.ndarray
+    values: np.ndarray
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        at = self.slots[(keys * _SPREAD) >> self.bits]
-        rest = np.flatnonzero(self.keys[at] != keys)
-        at[rest] = np.searchsorted(self.keys, keys[rest])
-        return self.values[at]
+        order = np.argsort(keys)
+        distinct, times = counted(keys[order])
+        found = np.empty(len(keys))
+        found[order] = np.repeat(self.values[np.searchsorted(self.keys, distinct)], times)
+        return found
 
 
 ROWS = "doc_id long, bundle long, part int, grams boolean, words long, bytes binary, codes binary, times binary, trains boolean"
@@ -294,25 +291,25 @@ def in_tasks(docs: DataFrame, parts: int, folder: str) -> DataFrame:
     """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bundle, held, seen, size = TaskContext.get().partitionId() << 24, [], [], 0
+        bundle, held, seen, said, size = TaskContext.get().partitionId() << 24, [], [], [], 0
         for frame in blocks(frames):
             texts, trains = frame["text"].tolist(), frame["trains"].to_numpy(bool)
             flat, counts = symbols(texts)
             ends = np.cumsum(counts)
-            keys, taught = grams(flat, counts), np.repeat(trains, counts)
-            rest = counted(keys[~taught])[0]
-            seen += [counted(keys[taught]), (rest, np.zeros(len(rest), np.int64))]
-            if sum(len(k) for k, _ in seen) > FLUSH:
-                seen = [summed(seen)]
             words, sizes = word_hashes(texts)
+            for own, keys, taught in ((seen, grams(flat, counts), np.repeat(trains, counts)), (said, words, np.repeat(trains, sizes))):
+                rest = counted(keys[~taught])[0]
+                own += [counted(keys[taught]), (rest, np.zeros(len(rest), np.int64))]
+                if sum(len(k) for k, _ in own) > FLUSH:
+                    own[:] = [summed(own)]
             data = [zlib.compress(flat[end - count : end], 1) for end, count in zip(ends.tolist(), counts.tolist(), strict=True)]
-            held.append((frame["doc_id"].to_numpy(), trains, np.array(data, object), words, sizes))
+            held.append((frame["doc_id"].to_numpy(), trains, np.array(data, object), sizes))
             size += len(flat)
-            if size >= BUNDLE_BYTES:
-                yield bundle_rows(bundle, held, summed(seen), parts)
-                bundle, held, seen, size = bundle + 1, [], [], 0
+            if size >= BUNDLE_BYTES or len(seen[0][0]) >= FLUSH:
+                yield bundle_rows(bundle, held, summed(said), summed(seen), parts)
+                bundle, held, seen, said, size = bundle + 1, [], [], [], 0
         if held:
-            yield bundle_rows(bundle, held, summed(seen), parts)
+            yield bundle_rows(bundle, held, summed(said), summed(seen), parts)
 
     docs.mapInPandas(read, ROWS).write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
@@ -322,11 +319,9 @@ def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return counted(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
 
 
-def bundle_rows(bundle: int, held: list[tuple], seen: tuple[np.ndarray, np.ndarray], parts: int) -> pd.DataFrame:
-    ids, trains, data, words, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
-    hashes, codes = np.unique(words, return_inverse=True)
-    owner = np.repeat(np.arange(len(ids)), sizes)
-    taught = np.bincount(codes, trains[owner], len(hashes)).astype("<u4") if len(codes) else np.empty(0, "<u4")
+def bundle_rows(bundle: int, held: list[tuple], said: tuple[np.ndarray, np.ndarray], seen: tuple[np.ndarray, np.ndarray], parts: int) -> pd.DataFrame:
+    ids, trains, data, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+    hashes, taught = said[0], said[1].astype("<u4")
     rows = [
         (None, bundle, int(part), False, end - start, None, hashes[start:end].tobytes(), zlib.compress(taught[start:end].tobytes(), 1), None)
         for part, (start, end) in parts_of(hashes, parts)
@@ -471,7 +466,7 @@ def answers_of(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     keys, n = grams_of(asked)
     values = long_logs(keys, n, shorter[order], p[order])
     found = [packed(values[np.searchsorted(keys, unsqueezed(x))]) for x in asked["codes"]]
-    return pd.DataFrame({"bundle": asked["bundle"], "part": asked["part"], "values": [x for x, _ in found], "logs": [x for _, x in found]})
+    return pd.DataFrame({"bundle": asked["bundle"], "part": asked["part"], "codes": asked["codes"], "values": [x for x, _ in found], "logs": [x for _, x in found]})
 
 
 def parts_of(hashes: np.ndarray, parts: int) -> list[tuple[int, tuple[int, int]]]:
@@ -495,27 +490,32 @@ def totals_of(frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def block_bounds(data: list[bytes]) -> list[tuple[int, int]]:
+    """Bounds of documents of about BLOCK_BYTES together."""
+    return spans_of(np.cumsum([len(x) for x in data]) // BLOCK_BYTES)
+
+
 def in_blocks(data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The grams of documents' symbols and each document's number of them, about BLOCK_BYTES at a time."""
     sizes = np.array([len(x) for x in data], np.int64)
-    for start, end in spans_of(np.cumsum(sizes) // BLOCK_BYTES):
+    for start, end in block_bounds(data):
         yield grams(np.frombuffer(b"".join(data[start:end]), np.uint8), sizes[start:end]), sizes[start:end]
 
 
-def bundle_logs(data: list[bytes], parts: int, answers: pd.DataFrame) -> Answers:
-    """The log-probabilities of a bundle's grams from its parts' answers, which are in the order that the bundle asked in."""
-    keys = np.empty(0, np.uint64)
-    held = []
-    for own, _ in in_blocks(data):
-        held.append(counted(own)[0])
-        if sum(map(len, held)) > FLUSH:
-            keys, held = counted(np.concatenate([keys, *held]))[0], []
-    keys = counted(np.concatenate([keys, *held]))[0]
-    values = np.empty(len(keys))
-    known = {row.part: unpacked(row.values, row.logs) for row in answers[["part", "values", "logs"]].itertuples(index=False, name="Answer")}
-    for part, own in gram_parts(keys, parts):
-        values[own] = known[part]
-    return Answers(keys, values)
+def bundle_logs(answers: pd.DataFrame) -> Answers:
+    """The log-probabilities of a bundle's grams from its parts' answers."""
+    keys = np.concatenate([unsqueezed(x) for x in answers["codes"]])
+    values = np.concatenate([unpacked(*x) for x in zip(answers["values"], answers["logs"], strict=True)])
+    order = np.argsort(keys)
+    return Answers(keys[order], values[order])
+
+
+def document_words(data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each document's distinct word hashes in order and how often it has them; hashed about BLOCK_BYTES at a time."""
+    for low, high in block_bounds(data):
+        words, sizes = word_hashes([x.decode() for x in data[low:high]])
+        for own in np.split(words, np.cumsum(sizes)[:-1]):
+            yield counted(own)
 
 
 def scores_of(data: list[bytes], logs: Answers) -> np.ndarray:
@@ -529,12 +529,12 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
     docs = python_docs(docs)
     docs = docs.withColumn("trains", ~F.when(F.col("doc_id") == F.lit(NO_ID), F.lit(False)).otherwise(held))
     spark = docs.sparkSession
-    parts = text_bytes(docs) // (2 * BUNDLE_BYTES) + 1
+    parts = text_bytes(docs) // PART_BYTES + 1
     folder = settings.new_run_dir(spark, "words")
     rows = in_tasks(docs, parts, f"{folder}/rows")
     dealt = lambda frame: frame.repartition(partitions_for(spark, parts), "part")
     asked = rows.where("doc_id is null").select("grams", "bundle", "part", "codes", "times")
-    kinds_of = "bundle long, part int, values binary, logs binary"
+    kinds_of = "bundle long, part int, codes binary, values binary, logs binary"
     dealt(asked.where("grams")).groupBy("part").applyInPandas(shared_of, "key long, n long, longer boolean").write.parquet(f"{folder}/shared")
     shorter = spark.read.parquet(f"{folder}/shared")
     longer = shorter.where("longer").select(context().alias("context")).distinct()
@@ -552,14 +552,13 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
     def combine(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         known = known.sort_values("part")
         data = [zlib.decompress(x) for x in own["bytes"]]
-        logs = bundle_logs(data, parts, known[known["logs"].notna()])
+        logs = bundle_logs(known[known["logs"].notna()])
         counts = np.frombuffer(b"".join(zlib.decompress(x) for x in known["totals"].dropna()), "<i8")
-        words, sizes = word_hashes([x.decode() for x in data])
-        codes = np.unique(words, return_inverse=True)[1]
+        said = list(document_words(data))
+        hashes = counted(np.concatenate([words for words, _ in said]))[0]
         base, found = [], []
-        for words in np.split(codes, np.cumsum(sizes)[:-1]):
-            place, times = np.unique(words, return_counts=True)
-            c = counts[place]
+        for words, times in said:
+            c = counts[np.searchsorted(hashes, words)]
             base.append(float((times * log(c)).sum() + log(ends)))
             found.append(int(times[c > 0].sum()) + (ends > 0))
         return pd.DataFrame(

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from daytally.llm import context_tree as ct
@@ -153,3 +154,26 @@ def test_values_are_sent_once():
     distinct, places = ct.packed(values)
     assert (ct.unpacked(distinct, places) == values).all() and len(distinct) + len(places) < 300_000
     assert len(ct.unpacked(*ct.packed(np.empty(0)))) == 0
+
+
+def test_a_bundle_is_scored_a_block_at_a_time(monkeypatch):
+    """Hashing the words of a whole bundle at once took over a gigabyte of a task's memory."""
+    texts = ["a b a", "", "word " * 30, "x\x00y é", "b a"] * 40
+    data = [stream(text) for text in texts]
+    seen = []
+    monkeypatch.setattr(ct, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(ct, "word_hashes", lambda own, real=ct.word_hashes: seen.append(sum(map(len, own))) or real(own))
+    found = list(ct.document_words(data))
+    assert len(seen) > 5 and max(seen) <= 500 + max(map(len, data))
+    assert [sorted(times.tolist()) for _, times in found] == [sorted(Counter(text.split(" ")).values()) if (text := x.decode().strip()) else [] for x in data]
+    assert len(np.unique(np.concatenate([words for words, _ in found]))) == len({w for x in data for w in x.split()})
+
+
+def test_answers_are_found_from_what_the_parts_send_back():
+    """In whatever order the parts hold them, and for repeated keys."""
+    keys = np.unique(ct.grams(*ct.symbols(["some words of a text " * 9, "other words"])))
+    values = np.random.default_rng(4).random(len(keys))
+    rows = [(ct.squeezed(keys[own]), *ct.packed(values[own])) for _, own in ct.gram_parts(keys, 3)]
+    logs = ct.bundle_logs(pd.DataFrame(rows, columns=["codes", "values", "logs"]))
+    asked = np.random.default_rng(5).integers(0, len(keys), 500)
+    assert (logs.of(keys[asked]) == values[asked]).all()
