@@ -13,8 +13,9 @@ next: linked sets share one, without exception.
 2. A set's head is the smallest set of any of its signatures. Sets of one head are dealt into blocks of
    about ROOM shingles, and all sets of a block, and its head, are compared. That joins nearly all of a
    group at a cost in proportion to it.
-3. The sets of a signature that several blocks and components share are looked at together; those that may be
-   linked across go to their pair of blocks, each pair once whatever number of signatures they share. A signature
+3. The sets of a signature that several blocks and components share are looked at together; what may be linked
+   across is tied into clusters, a row for each set and signature at most. In a cluster the pairs of its blocks are
+   compared, or of MANY groups of its blocks if it has more, so that a set is sent MANY times at most. A signature
    of many blocks is refined first by a second, independent partitioning: linked sets also share a signature of that.
 
 Blocks are compared in two steps. The first sees only summaries: the content hash of some cells of every
@@ -48,7 +49,7 @@ from daytally.llm.sketch_dedup import shingle_hashes
 CELLS = 3
 #: Shingles of the sets of one block.
 ROOM = 60_000
-#: A signature that meets in more blocks than this is refined.
+#: A signature that meets in more blocks than this is refined; the blocks of a cluster are compared as so many groups at most.
 MANY = 32
 #: Entries of an incidence matrix.
 ENTRIES = 2_000_000
@@ -157,10 +158,13 @@ def possible(first: pd.DataFrame, second: pd.DataFrame, percent: int, any_root:
 
 def possible_pairs(frame: pd.DataFrame, percent: int, any_root: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of pairs of one signature (neighbours in the frame; all rows without that column), from different
-    blocks, and components unless ``any_root``, whose sets may be linked, some at a time."""
+    blocks, and components unless ``any_root``, whose sets may be linked, some at a time; with a column side also
+    from different sides, unless ka = kb."""
     cells = [np.frombuffer(x, np.uint16) for x in frame["summary"]]
     levels = np.array([len(x).bit_length() - 1 for x in cells], np.int64)
     n, root, block = (frame[name].to_numpy() for name in ("n", "root", "block"))
+    if "side" in frame:
+        side, alone = frame["side"].to_numpy(), frame["ka"].to_numpy() == frame["kb"].to_numpy()
     starts, sizes, group = runs_of(frame["sig"].to_numpy() if "sig" in frame else np.zeros(len(frame), np.int64))
     rows = np.arange(len(frame))
     if not any_root:
@@ -178,6 +182,8 @@ def possible_pairs(frame: pd.DataFrame, percent: int, any_root: bool) -> Iterato
         may = block[one] != block[two]
         if not any_root:
             may &= root[one] != root[two]
+        if "side" in frame:
+            may &= alone[one] | (side[one] != side[two])
         one, two = one[may], two[may]
         near = 100 * np.minimum(n[one], n[two]) >= percent * np.maximum(n[one], n[two])
         one, two = one[near], two[near]
@@ -330,55 +336,79 @@ def connected(links: np.ndarray) -> np.ndarray:
         rows, columns = new_rows, new_columns
 
 
+def tied(least: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """For each position the least that it is connected with, given those so far and more links."""
+    while True:
+        low = np.minimum(least[one], least[two])
+        new = least.copy()
+        np.minimum.at(new, least[one], low)
+        np.minimum.at(new, least[two], low)
+        new = new[new]
+        if (new == least).all():
+            return least
+        least = new
+
+
 def possible_rows(needed: DataFrame, nodes: DataFrame, percent: int, any_root: bool) -> DataFrame:
-    """The rows of ``needed``, in which ka = kb, whose set may be linked with another of its block."""
+    """The rows of ``needed`` whose set may be linked with another of its (ka, kb), as ``compared`` takes them."""
 
     def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in summary_runs(frames, "ka"):
+        for frame in summary_runs(frames, "sig"):
             hit = np.zeros(len(frame), bool)
-            for one, two in possible_pairs(frame.assign(sig=frame["ka"], block=frame["node"]), percent, any_root):
+            for one, two in possible_pairs(frame, percent, any_root):
                 hit[one] = hit[two] = True
-            yield frame.loc[hit, ["ka", "kb", "side", "node", "root"]]
-
-    rows = needed.join(nodes.select("node", "n", "summary"), "node")
-    dealt = rows.repartition(partitions_for(rows.sparkSession, 1), "ka").sortWithinPartitions("ka")
-    return dealt.mapInPandas(keep, "ka long, kb long, side int, node long, root long").distinct()
+            yield frame.loc[hit, ["ka", "kb", "side", "node", "root", "block"]]
+
+    rows = needed.join(nodes.select("node", "n", "summary"), "node").withColumn("sig", F.xxhash64("ka", "kb"))
+    dealt = rows.repartition(partitions_for(rows.sparkSession, 1), "sig").sortWithinPartitions("sig")
+    return dealt.mapInPandas(keep, "ka long, kb long, side int, node long, root long, block long").distinct()
+
+
+def links_in(frame: pd.DataFrame, percent: int, count_links: bool) -> np.ndarray:
+    """a, b and number of links of all (ka, kb) of a frame, ENTRIES of a matrix at a time."""
+    frame = frame.drop_duplicates(["ka", "kb", "side", "node", "fp2", "rep"])
+    ka, kb, side, n, rep, root, block, copies = (frame[name].to_numpy() for name in ("ka", "kb", "side", "n", "rep", "root", "block", "copies"))
+    sets = [np.asarray(x) for x in frame["shingles"]]
+    found = [np.empty((0, 3), np.int64)]
+    starts, sizes, _ = runs_of(ka, kb)
+    for low, high in zip(starts.tolist(), (starts + sizes).tolist(), strict=True):
+        alone = ka[low] == kb[low]
+        own = np.arange(low, high)
+        first, second = (own, own) if alone else (own[side[low:high] == 0], own[side[low:high] == 1])
+        if not len(first) or not len(second):
+            continue
+        nodes = rep[np.concatenate([first, second])]
+        least = np.arange(len(nodes))
+        other, there = [sets[i] for i in second.tolist()], len(first) + np.arange(len(second))
+        step = max(1, ENTRIES // len(second))
+        for begin in range(0, len(first), step):
+            own = first[begin : begin + step]
+            same = intersections([sets[i] for i in own.tolist()], other)
+            links = 100 * same >= percent * (n[own][:, None] + n[second][None, :] - same)
+            links &= (rep[own][:, None] != rep[second][None, :]) & (block[own][:, None] != block[second][None, :])
+            if not count_links:
+                links &= root[own][:, None] != root[second][None, :]
+            here = np.concatenate([begin + np.arange(len(own)), there])
+            least = tied(least, here, here[connected(links)])
+            if count_links:
+                found.append(np.stack([rep[own], rep[own], links @ copies[second]], axis=1))
+                if not alone:
+                    found.append(np.stack([rep[second], rep[second], copies[own] @ links], axis=1))
+        pairs = np.stack([nodes, nodes[least], np.zeros_like(nodes)], axis=1)
+        found.append(pairs[nodes != nodes[least]])
+    return np.concatenate(found)
 
 
 def compared(needed: DataFrame, sets: DataFrame, percent: int, count_links: bool = False) -> DataFrame:
     """Links found in comparing the sets of side 0 of each (ka, kb) with those of side 1, or with each other if ka = kb.
 
-    ``needed`` has ka, kb, side, node and root; pairs of one root are skipped unless links are counted.
+    ``needed`` has ka, kb, side, node, root and block; pairs of one block are skipped, and of one root unless links are counted.
     Gives a, b (reps that are connected) and, with a = b, the number of documents linked to it here.
     """
 
     def links_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_runs(frames, "ka", "kb"):
-            frame = frame.drop_duplicates(["ka", "kb", "side", "node", "fp2", "rep"])
-            ka, kb, side, n, rep, root, copies = (frame[name].to_numpy() for name in ("ka", "kb", "side", "n", "rep", "root", "copies"))
-            sets = [np.asarray(x) for x in frame["shingles"]]
-            found = [np.empty((0, 3), np.int64)]
-            starts, sizes, _ = runs_of(ka, kb)
-            for low, high in zip(starts.tolist(), (starts + sizes).tolist(), strict=True):
-                alone = ka[low] == kb[low]
-                own = np.arange(low, high)
-                first, second = (own, own) if alone else (own[side[low:high] == 0], own[side[low:high] == 1])
-                if not len(first) or not len(second):
-                    continue
-                same = intersections(*[[sets[i] for i in at.tolist()] for at in (first, second)])
-                links = 100 * same >= percent * (n[first][:, None] + n[second][None, :] - same)
-                links &= rep[first][:, None] != rep[second][None, :]
-                if not count_links:
-                    links &= root[first][:, None] != root[second][None, :]
-                nodes = rep[np.concatenate([first, second])]
-                least = nodes[connected(links)]
-                pairs = np.stack([nodes, least, np.zeros_like(nodes)], axis=1)[nodes != least]
-                found.append(pairs)
-                if count_links:
-                    found.append(np.stack([rep[first], rep[first], links @ copies[second]], axis=1))
-                    if not alone:
-                        found.append(np.stack([rep[second], rep[second], copies[first] @ links], axis=1))
-            yield pd.DataFrame(np.concatenate(found), columns=["a", "b", "n_links"])
+            yield pd.DataFrame(links_in(frame, percent, count_links), columns=["a", "b", "n_links"])
 
     dealt = needed.join(sets, "node").repartition(partitions_for(needed.sparkSession, 1), "ka", "kb").sortWithinPartitions("ka", "kb")
     return dealt.mapInPandas(links_of, "a long, b long, n_links long")
@@ -429,10 +459,11 @@ def refined(members: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
 
 
 def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, summed: DataFrame, width: int, bands: Bands, percent: int, count_links: bool) -> DataFrame:
-    """ka < kb, side, node, root: sets of two blocks that share a signature and may be linked; unless links are counted, of two components.
+    """ka <= kb, side, node, root, block: sets of clusters by pairs of blocks, or of groups of blocks, that have a possible
+    partner there; unless links are counted, of another component.
 
-    The sets of a signature are looked at together, by their summaries, so nothing is listed per block or pair
-    that has no possible partner there.
+    The sets of a signature are looked at together, by their summaries. All that leaves such a task is one tie for a set
+    at most, whatever number of signatures and partners it has.
     """
 
     def mixed(found: DataFrame) -> DataFrame:
@@ -441,26 +472,41 @@ def meeting(docs: DataFrame, members: DataFrame, nodes: DataFrame, summed: DataF
         per = per.where("blocks > 1" if count_links else "blocks > 1 and least < most")
         return placed.join(per.select("sig", "blocks"), "sig")
 
-    def ends(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ties(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in summary_runs(frames, "sig"):
-            node, root, block = (frame[name].to_numpy() for name in ("node", "root", "block"))
+            node, place = np.unique(frame["node"].to_numpy(), return_inverse=True)
+            least = np.arange(len(node))
             for one, two in possible_pairs(frame, percent, count_links):
-                a, b = np.concatenate([one, two]), np.concatenate([two, one])
-                keys = {"ka": np.minimum(block[a], block[b]), "kb": np.maximum(block[a], block[b])}
-                yield pd.DataFrame({**keys, "side": (block[a] > block[b]).astype(np.int32), "node": node[a], "root": root[a]}).drop_duplicates()
+                least = tied(least, place[one], place[two])
+            far = node[least] != node
+            yield pd.DataFrame({"a": node[far], "b": node[least][far]})
 
     def across(placed: DataFrame) -> DataFrame:
         rows = placed.select("sig", "node", "block", "root").join(summed.select("node", "n", "summary"), "node")
         dealt = rows.repartition(partitions_for(docs.sparkSession, 1), "sig").sortWithinPartitions("sig")
-        return dealt.mapInPandas(ends, "ka long, kb long, side int, node long, root long").distinct()
+        return dealt.mapInPandas(ties, "a long, b long")
 
     placed = tabled(mixed(members), "join-mixed")
     found = across(placed.where(F.col("blocks") <= MANY))
     many = placed.where(F.col("blocks") > MANY).select("sig", "node")
-    if many.isEmpty():
-        return found
-    sets = tabled(candidate_sets(docs, nodes, many, width), "join-sets")
-    return found.union(across(mixed(refined(many, sets, bands)))).distinct()
+    if not many.isEmpty():
+        sets = tabled(candidate_sets(docs, nodes, many, width), "join-sets")
+        found = found.union(across(mixed(refined(many, sets, bands))))
+    clusters = components(found).withColumnRenamed("root", "cluster")
+    return possible_rows(by_cluster(clusters.join(nodes.select("node", "block", "root"), "node")), summed, percent, count_links)
+
+
+def by_cluster(members: DataFrame) -> DataFrame:
+    """ka <= kb, side, node, root, block: every set of a cluster with each of its blocks but the own, or each group of them."""
+    members = tabled(members, "join-clusters")
+    per = members.groupBy("cluster").agg(F.count_distinct("block").alias("blocks"))
+    group = F.xxhash64("cluster", F.pmod(F.xxhash64("block"), F.lit(MANY)))
+    placed = members.join(per, "cluster").withColumn("grouped", F.col("blocks") > MANY).withColumn("part", F.when(F.col("grouped"), group).otherwise(F.col("block")))
+    others = placed.select("cluster", F.col("part").alias("other")).distinct()
+    paired = placed.join(others, "cluster").where("grouped or part <> other")
+    return paired.select(
+        F.least("part", "other").alias("ka"), F.greatest("part", "other").alias("kb"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", "root", "block"
+    )
 
 
 def joined(docs: DataFrame, width: int = 5, threshold: float = 0.8, count_links: bool = False) -> DataFrame:
@@ -486,15 +532,15 @@ def joined(docs: DataFrame, width: int = 5, threshold: float = 0.8, count_links:
     inside = nodes.select(F.col("block").alias("ka"), "node")
     if not count_links:
         inside = inside.union(nodes.select("block", "head")).distinct()
-    inside = inside.select("ka", F.col("ka").alias("kb"), F.lit(0).alias("side"), "node", F.col("node").alias("root"))
+    inside = inside.select("ka", F.col("ka").alias("kb"), F.lit(0).alias("side"), "node", F.col("node").alias("root"), F.col("node").alias("block"))
     found = links_between(possible_rows(inside, nodes, percent, count_links))
 
     # Rows that share a doc_id but not the set tie their classes.
     named = rows.drop("summary").join(classes.drop("summary"), key, "left")
     repeated = named.where(F.col("rep").isNotNull()).groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
-    tied = named.join(repeated, "doc_id").select(F.col("rep").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+    same = named.join(repeated, "doc_id").select(F.col("rep").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
 
-    roots = tabled(components(found.where("a <> b").select("a", "b").union(tied)), "join-roots")
+    roots = tabled(components(found.where("a <> b").select("a", "b").union(same)), "join-roots")
     rooted = nodes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     rooted = tabled(rooted.select("rep", "node", "fp2", "n", "copies", "block", F.coalesce("root", "rep").alias("root")), "join-rooted")
     across = links_between(meeting(docs, members, rooted, nodes, width, bands, percent, count_links))

@@ -173,3 +173,52 @@ def test_signatures_are_not_looked_at_group_by_group(spark):
     found = pj.meeting(spark.createDataFrame([], "doc_id long, text string"), members, nodes, nodes, 4, pj.Bands(85), 85, False)
     assert {(row.ka, row.kb) for row in found.collect()} >= {(100, 101), (101, 102), (102, 103)}
     assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().toString()
+
+
+def meeting_of(spark, sets, sigs, roots=None):
+    """Rows that meet, of sets of a block each that all share the signatures; and the rows that leave the tasks on signatures."""
+    rows = [(i, 0, len(x), i, 1, 100 + i, i if roots is None else roots[i], summary) for i, (x, summary) in enumerate(zip(sets, pj.summaries(sets)))]
+    nodes = spark.createDataFrame(rows, "node long, fp2 long, n long, rep long, copies long, block long, root long, summary binary")
+    members = spark.createDataFrame([(sig, i) for sig in range(sigs) for i in range(len(sets))], "sig long, node long")
+    return pj.meeting(spark.createDataFrame([], "doc_id long, text string"), members, nodes, nodes, 4, pj.Bands(85), 85, False)
+
+
+def test_a_set_is_not_listed_for_each_signature_and_partner(spark, monkeypatch):
+    """20 near sets that share 40 signatures gave a row for each set, other block and signature."""
+    left = []
+    monkeypatch.setattr(pj, "components", lambda links, real=pj.components: left.append(links.count()) or real(links))
+    sets = [np.arange(i, i + 80, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for i in range(20)]
+    found = meeting_of(spark, sets, 40).collect()
+    pairs = {tuple(sorted((a.node, b.node))) for a in found for b in found if (a.ka, a.kb) == (b.ka, b.kb) and a.side != b.side}
+    assert pairs >= {(i, j) for j in range(20) for i in range(max(0, j - 5), j)}
+    assert 19 <= left[0] <= 40 * 19
+
+
+def test_a_cluster_of_many_blocks_sends_a_set_a_bounded_number_of_times(spark, monkeypatch):
+    """A group of blocks meets the others and itself; no pair of blocks is lost."""
+    monkeypatch.setattr(pj, "MANY", 5)
+    rows = [(i, 7, 100 + i // 2, i) for i in range(60)] + [(100 + i, 8, 200 + i, i) for i in range(4)]
+    found = pj.by_cluster(spark.createDataFrame(rows, "node long, cluster long, block long, root long")).collect()
+    times = pd.Series([row.node for row in found]).value_counts()
+    assert times[times.index < 100].max() <= 5 and set(times[times.index >= 100]) == {3}
+    met = {(a.node, b.node) for a in found for b in found if (a.ka, a.kb) == (b.ka, b.kb) and a.block != b.block and (a.ka == a.kb or a.side != b.side)}
+    assert met == {(a, b) for a, c, d, _ in rows for b, e, f, _ in rows if c == e and d != f}
+
+
+@pytest.mark.parametrize("sides", [1, 2])
+def test_large_blocks_are_compared_in_parts(monkeypatch, sides):
+    """Ties and counts are the same however many entries of a matrix are held."""
+    assert pj.tied(np.arange(6), np.array([5, 4, 1]), np.array([4, 1, 3])).tolist() == [0, 1, 2, 1, 1, 1]
+    sets = pj.shingle_hashes([text for _, text in fixture()] + list(chains()), 4)
+    sets = [x for x in {pj.prints(x): x for x in sets}.values() if len(x)]
+    place = np.arange(len(sets))
+    frame = pd.DataFrame({"ka": 1, "kb": sides, "side": place % sides, "node": place, "fp2": 0, "n": list(map(len, sets)), "rep": place, "root": place, "block": place, "copies": 1, "shingles": sets})
+    sizes, found = [], []
+    monkeypatch.setattr(pj, "intersections", lambda a, b, real=pj.intersections: sizes.append(len(a) * len(b)) or real(a, b))
+    for entries in (2_000_000, 3_000):
+        monkeypatch.setattr(pj, "ENTRIES", entries)
+        sizes.clear()
+        links = pd.DataFrame(pj.links_in(frame, 85, True), columns=["a", "b", "n"])
+        assert max(sizes) <= entries and (len(sizes) > 1) == (entries == 3_000)
+        found.append((links[links.a != links.b].drop_duplicates().sort_values("a").values.tolist(), links[links.a == links.b].groupby("a").n.sum().tolist()))
+    assert found[0] == found[1] and sum(found[0][1]) > 100
