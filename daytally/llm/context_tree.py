@@ -17,7 +17,7 @@ in its part, and no table of the grams is sent for each depth. From the grams of
 the parts give, Spark derives the shorter ones, tests their contexts, and joins depth by depth until
 each has its probability; the parts go on from there. Grams with their probabilities and word totals
 return to their bundle, whose documents are scored there, a block of texts at a time. A bundle ends at
-BUNDLE_BYTES of symbols or FLUSH distinct grams, which bounds what a task holds. Words are told apart
+BUNDLE_BYTES of symbols or twice FLUSH distinct grams, which bounds what a task holds. Words are told apart
 by 64-bit hashes.
 
 ``trained`` is an excerpt of the tree for a look at it in one process; scoring doesn't use it.
@@ -30,19 +30,19 @@ probability 1/256; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally import settings
 from daytally.llm import labelled
-from daytally.llm.common import BLOCK_BYTES, NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, stored, text_bytes
+from daytally.llm.common import NO_ID, blocks, ids_back, mix, partitions_for, python_docs, spans_of, stored, text_bytes
 from daytally.llm.sketch_dedup import word_hashes
 
 DEPTH, DISCOUNT, DIVERGENCE = 6, 0.75, 2.0
@@ -51,13 +51,16 @@ SHARED = 3
 #: Entries of an excerpt of the tree at most, 24 bytes each; and how often a context must occur.
 ENTRIES, LEAST = 1 << 22, 2
 #: Distinct grams that are held at a time before they are added up or sent on.
-FLUSH = 4_000_000
-#: Symbols of one bundle of documents; larger ones repeat fewer grams of each other.
+FLUSH = 2_000_000
+#: Symbols of one bundle of documents; larger ones repeat fewer grams of each other but take more memory.
 BUNDLE_BYTES = 32_000_000
+#: Symbols that are scored in one numpy step.
+STEP_BYTES = 500_000
 #: Text bytes for each part of the grams and words.
 PART_BYTES = 16_000_000
 END = 0x0A
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def mask(depth: int) -> int:
@@ -65,6 +68,15 @@ def mask(depth: int) -> int:
     return (1 << (8 * (depth + 1))) - 1
 
 
+def compressed(data: bytes) -> bytes:
+    """The data's size and the data in less room."""
+    return len(data).to_bytes(8, "little") + _CODEC.compress(data, asbytes=True)
+
+
+def expanded(data: bytes) -> bytes:
+    return _CODEC.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
 def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The symbol bytes of all texts, and each text's number of them."""
     data = [b" ".join(words) + b" \n" if (words := text.encode().lower().split()) else b"\n" for text in texts]
@@ -302,10 +314,10 @@ def in_tasks(docs: DataFrame, parts: int, folder: str) -> DataFrame:
                 own += [counted(keys[taught]), (rest, np.zeros(len(rest), np.int64))]
                 if sum(len(k) for k, _ in own) > FLUSH:
                     own[:] = [summed(own)]
-            data = [zlib.compress(flat[end - count : end], 1) for end, count in zip(ends.tolist(), counts.tolist(), strict=True)]
+            data = [compressed(flat[end - count : end].tobytes()) for end, count in zip(ends.tolist(), counts.tolist(), strict=True)]
             held.append((frame["doc_id"].to_numpy(), trains, np.array(data, object), sizes))
             size += len(flat)
-            if size >= BUNDLE_BYTES or len(seen[0][0]) >= FLUSH:
+            if size >= BUNDLE_BYTES or len(seen[0][0]) >= 2 * FLUSH:
                 yield bundle_rows(bundle, held, summed(said), summed(seen), parts)
                 bundle, held, seen, said, size = bundle + 1, [], [], [], 0
         if held:
@@ -323,11 +335,11 @@ def bundle_rows(bundle: int, held: list[tuple], said: tuple[np.ndarray, np.ndarr
     ids, trains, data, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
     hashes, taught = said[0], said[1].astype("<u4")
     rows = [
-        (None, bundle, int(part), False, end - start, None, hashes[start:end].tobytes(), zlib.compress(taught[start:end].tobytes(), 1), None)
+        (None, bundle, int(part), False, end - start, None, hashes[start:end].tobytes(), compressed(taught[start:end].tobytes()), None)
         for part, (start, end) in parts_of(hashes, parts)
     ]
     for part, own in gram_parts(seen[0], parts):
-        rows.append((None, bundle, part, True, len(own), None, squeezed(seen[0][own]), zlib.compress(seen[1][own].astype("<i8").tobytes(), 1), None))
+        rows.append((None, bundle, part, True, len(own), None, squeezed(seen[0][own]), compressed(seen[1][own].astype("<i8").tobytes()), None))
     for i in range(len(ids)):
         rows.append((int(ids[i]), bundle, None, None, int(sizes[i]), data[i], None, None, bool(trains[i])))
     return pd.DataFrame(rows, columns=[c.split()[0] for c in ROWS.split(", ")]).astype({"part": "Int32", "doc_id": "Int64", "grams": "boolean"})
@@ -342,18 +354,18 @@ def gram_parts(keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
 
 def squeezed(keys: np.ndarray) -> bytes:
     """Keys in order as compressed differences."""
-    return zlib.compress(np.diff(keys, prepend=np.uint64(0)).astype("<u8").tobytes(), 1)
+    return compressed(np.diff(keys, prepend=np.uint64(0)).astype("<u8").tobytes())
 
 
 def unsqueezed(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(data), "<u8"), dtype=np.uint64)
+    return np.cumsum(np.frombuffer(expanded(data), "<u8"), dtype=np.uint64)
 
 
 def grams_of(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of one part of the hash range, over all bundles."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     for codes, times in zip(frame["codes"], frame["times"], strict=True):
-        held.append((unsqueezed(codes), np.frombuffer(zlib.decompress(times), "<i8")))
+        held.append((unsqueezed(codes), np.frombuffer(expanded(times), "<i8")))
         if sum(len(k) for k, _ in held[1:]) > FLUSH:
             held = [summed(held)]
     return summed(held)
@@ -428,11 +440,11 @@ def packed(values: np.ndarray) -> tuple[bytes, bytes]:
     """The distinct values, and each one's place among them; most grams have the probability of a shorter one."""
     distinct, place = np.unique(values, return_inverse=True)
     planes = place.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return distinct.tobytes(), zlib.compress(planes.tobytes(), 1)
+    return distinct.tobytes(), compressed(planes.tobytes())
 
 
 def unpacked(distinct: bytes, places: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(places), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(expanded(places), np.uint8).reshape(4, -1)
     return np.frombuffer(distinct, np.float64)[np.ascontiguousarray(planes.T).view("<u4").ravel()]
 
 
@@ -481,9 +493,9 @@ TOTALS = "bundle long, part int, totals binary, kinds long, tokens long"
 def totals_of(frame: pd.DataFrame) -> pd.DataFrame:
     """For each bundle of a part, the training counts of its hashes over all bundles."""
     hashes = [np.frombuffer(x, np.uint64) for x in frame["codes"]]
-    taught = [np.frombuffer(zlib.decompress(x), "<u4") for x in frame["times"]]
+    taught = [np.frombuffer(expanded(x), "<u4") for x in frame["times"]]
     distinct, n = counted(np.concatenate(hashes), np.concatenate(taught).astype(np.int64))
-    rows = [zlib.compress(n[np.searchsorted(distinct, x)].astype("<i8").tobytes(), 1) for x in hashes]
+    rows = [compressed(n[np.searchsorted(distinct, x)].astype("<i8").tobytes()) for x in hashes]
     first = np.arange(len(frame)) == 0
     return pd.DataFrame(
         {"bundle": frame["bundle"].to_numpy(), "part": frame["part"].to_numpy(), "totals": rows, "kinds": first * int((n > 0).sum()), "tokens": first * int(n.sum())}
@@ -491,12 +503,12 @@ def totals_of(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def block_bounds(data: list[bytes]) -> list[tuple[int, int]]:
-    """Bounds of documents of about BLOCK_BYTES together."""
-    return spans_of(np.cumsum([len(x) for x in data]) // BLOCK_BYTES)
+    """Bounds of documents of about STEP_BYTES together."""
+    return spans_of(np.cumsum([len(x) for x in data]) // STEP_BYTES)
 
 
 def in_blocks(data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The grams of documents' symbols and each document's number of them, about BLOCK_BYTES at a time."""
+    """The grams of documents' symbols and each document's number of them, about STEP_BYTES at a time."""
     sizes = np.array([len(x) for x in data], np.int64)
     for start, end in block_bounds(data):
         yield grams(np.frombuffer(b"".join(data[start:end]), np.uint8), sizes[start:end]), sizes[start:end]
@@ -511,7 +523,7 @@ def bundle_logs(answers: pd.DataFrame) -> Answers:
 
 
 def document_words(data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Each document's distinct word hashes in order and how often it has them; hashed about BLOCK_BYTES at a time."""
+    """Each document's distinct word hashes in order and how often it has them; hashed about STEP_BYTES at a time."""
     for low, high in block_bounds(data):
         words, sizes = word_hashes([x.decode() for x in data[low:high]])
         for own in np.split(words, np.cumsum(sizes)[:-1]):
@@ -551,9 +563,9 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
 
     def combine(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         known = known.sort_values("part")
-        data = [zlib.decompress(x) for x in own["bytes"]]
+        data = [expanded(x) for x in own["bytes"]]
         logs = bundle_logs(known[known["logs"].notna()])
-        counts = np.frombuffer(b"".join(zlib.decompress(x) for x in known["totals"].dropna()), "<i8")
+        counts = np.frombuffer(b"".join(expanded(x) for x in known["totals"].dropna()), "<i8")
         said = list(document_words(data))
         hashes = counted(np.concatenate([words for words, _ in said]))[0]
         base, found = [], []

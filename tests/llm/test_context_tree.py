@@ -161,7 +161,7 @@ def test_a_bundle_is_scored_a_block_at_a_time(monkeypatch):
     texts = ["a b a", "", "word " * 30, "x\x00y é", "b a"] * 40
     data = [stream(text) for text in texts]
     seen = []
-    monkeypatch.setattr(ct, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(ct, "STEP_BYTES", 500)
     monkeypatch.setattr(ct, "word_hashes", lambda own, real=ct.word_hashes: seen.append(sum(map(len, own))) or real(own))
     found = list(ct.document_words(data))
     assert len(seen) > 5 and max(seen) <= 500 + max(map(len, data))
@@ -177,3 +177,9 @@ def test_answers_are_found_from_what_the_parts_send_back():
     logs = ct.bundle_logs(pd.DataFrame(rows, columns=["codes", "values", "logs"]))
     asked = np.random.default_rng(5).integers(0, len(keys), 500)
     assert (logs.of(keys[asked]) == values[asked]).all()
+
+
+def test_what_is_written_comes_back():
+    for data in (b"", b"a", b"some words " * 5000, bytes(range(256))):
+        assert ct.expanded(ct.compressed(data)) == data
+    assert len(ct.compressed(np.ones(10_000, "<i8").tobytes())) < 8_000
