@@ -36,6 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,8 +55,10 @@ ENTRIES, LEAST = 1 << 22, 2
 FLUSH = 2_000_000
 #: Symbols of one bundle of documents; larger ones repeat fewer grams of each other but take more memory.
 BUNDLE_BYTES = 32_000_000
-#: Symbols that are scored in one numpy step.
+#: Symbols that are counted or scored in one numpy step.
 STEP_BYTES = 500_000
+#: Keys of a run that are added up or dealt in one numpy step, and bytes that leave a task together.
+RANGE, SENT_BYTES = 1 << 18, 4_000_000
 #: Text bytes for each part of the grams and words.
 PART_BYTES = 16_000_000
 END = 0x0A
@@ -293,6 +296,8 @@ class Answers:
 
 
 ROWS = "doc_id long, bundle long, part int, grams boolean, words long, bytes binary, codes binary, times binary, trains boolean"
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+_ROWS = pa.schema([(name, _TYPES[kind]) for name, kind in map(str.split, ROWS.split(", "))])
 
 
 def in_tasks(docs: DataFrame, parts: int, folder: str) -> DataFrame:
@@ -302,52 +307,99 @@ def in_tasks(docs: DataFrame, parts: int, folder: str) -> DataFrame:
     kinds of rows (doc_id null); the last has the document's symbols as bytes.
     """
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bundle, held, seen, said, size = TaskContext.get().partitionId() << 24, [], [], [], 0
-        for frame in blocks(frames):
-            texts, trains = frame["text"].tolist(), frame["trains"].to_numpy(bool)
-            flat, counts = symbols(texts)
-            ends = np.cumsum(counts)
-            words, sizes = word_hashes(texts)
-            for own, keys, taught in ((seen, grams(flat, counts), np.repeat(trains, counts)), (said, words, np.repeat(trains, sizes))):
-                rest = counted(keys[~taught])[0]
-                own += [counted(keys[taught]), (rest, np.zeros(len(rest), np.int64))]
-                if sum(len(k) for k, _ in own) > FLUSH:
-                    own[:] = [summed(own)]
-            data = [compressed(flat[end - count : end].tobytes()) for end, count in zip(ends.tolist(), counts.tolist(), strict=True)]
-            held.append((frame["doc_id"].to_numpy(), trains, np.array(data, object), sizes))
-            size += len(flat)
-            if size >= BUNDLE_BYTES or len(seen[0][0]) >= 2 * FLUSH:
-                yield bundle_rows(bundle, held, summed(said), summed(seen), parts)
-                bundle, held, seen, said, size = bundle + 1, [], [], [], 0
-        if held:
-            yield bundle_rows(bundle, held, summed(said), summed(seen), parts)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from sent(bundled(batches, parts, TaskContext.get().partitionId() << 24))
 
-    docs.mapInPandas(read, ROWS).write.parquet(folder)
+    docs.select("doc_id", "text", "trains").mapInArrow(read, ROWS).write.parquet(folder)
     return docs.sparkSession.read.parquet(folder)
 
 
-def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    return counted(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
+def text_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """The batches in pieces of about STEP_BYTES of text; one very long text is a piece of its own."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        for start, end in spans_of(np.cumsum(sizes, dtype=np.int64) // STEP_BYTES):
+            yield batch.slice(start, end - start).to_pandas()
+
+
+def bundled(batches: Iterator[pa.RecordBatch], parts: int, bundle: int) -> Iterator[tuple]:
+    """The rows of all bundles of a task, the first one's number being ``bundle``."""
+    held, seen, said, size = [], [], [], 0
+    for frame in text_steps(batches):
+        texts, trains = frame["text"].tolist(), frame["trains"].to_numpy(bool)
+        flat, counts = symbols(texts)
+        ends = np.cumsum(counts)
+        words, sizes = word_hashes(texts)
+        for own, keys, taught in ((seen, grams(flat, counts), np.repeat(trains, counts)), (said, words, np.repeat(trains, sizes))):
+            rest, (known, n) = counted(keys[~taught])[0], counted(keys[taught])
+            own += [(known, n.astype(np.uint32)), (rest, np.zeros(len(rest), np.uint32))]
+            if sum(len(k) for k, _ in own[1:]) > FLUSH / 2:
+                own[:] = [summed(own)]
+        data = [compressed(flat[end - count : end].tobytes()) for end, count in zip(ends.tolist(), counts.tolist(), strict=True)]
+        held.append((frame["doc_id"].to_numpy(), trains, np.array(data, object), sizes))
+        size += len(flat)
+        if size >= BUNDLE_BYTES or len(seen[0][0]) >= 2 * FLUSH:
+            yield from bundle_rows(bundle, held, said, seen, parts)
+            bundle, size = bundle + 1, 0
+    if held:
+        yield from bundle_rows(bundle, held, said, seen, parts)
 
 
-def bundle_rows(bundle: int, held: list[tuple], said: tuple[np.ndarray, np.ndarray], seen: tuple[np.ndarray, np.ndarray], parts: int) -> pd.DataFrame:
-    ids, trains, data, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
-    hashes, taught = said[0], said[1].astype("<u4")
-    rows = [
-        (None, bundle, int(part), False, end - start, None, hashes[start:end].tobytes(), compressed(taught[start:end].tobytes()), None)
-        for part, (start, end) in parts_of(hashes, parts)
-    ]
-    for part, own in gram_parts(seen[0], parts):
-        rows.append((None, bundle, part, True, len(own), None, squeezed(seen[0][own]), compressed(seen[1][own].astype("<i8").tobytes()), None))
-    for i in range(len(ids)):
-        rows.append((int(ids[i]), bundle, None, None, int(sizes[i]), data[i], None, None, bool(trains[i])))
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in ROWS.split(", ")]).astype({"part": "Int32", "doc_id": "Int64", "grams": "boolean"})
+def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sum of their weights, from runs of keys in order; a range of the keys at a time."""
+    cuts = max((keys for keys, _ in held), key=len)[RANGE::RANGE]
+    bounds = [np.concatenate([[0], np.searchsorted(keys, cuts), [len(keys)]]) for keys, _ in held]
+    total, end = sum(len(keys) for keys, _ in held), 0
+    keys, weights = np.empty(total, np.uint64), np.empty(total, held[0][1].dtype)  # what stays empty takes no memory
+    for place in range(len(cuts) + 1):
+        own = [(k[at[place] : at[place + 1]], n[at[place] : at[place + 1]]) for (k, n), at in zip(held, bounds, strict=True)]
+        some, n = counted(*(np.concatenate(x) for x in zip(*own, strict=True)))
+        keys[end : end + len(some)], weights[end : end + len(some)] = some, n
+        end += len(some)
+    return keys[:end], weights[:end]
+
+
+def bundle_rows(bundle: int, held: list[tuple], said: list[tuple[np.ndarray, np.ndarray]], seen: list[tuple[np.ndarray, np.ndarray]], parts: int) -> Iterator[tuple]:
+    """The rows of one bundle; what is given is emptied on the way."""
+    hashes, taught = summed(said)
+    said.clear()
+    for part, (start, end) in parts_of(hashes, parts):
+        yield None, bundle, part, False, end - start, None, hashes[start:end].tobytes(), compressed(taught[start:end].astype("<u4").tobytes()), None
+    del hashes, taught
+    keys, n = summed(seen)
+    seen.clear()
+    for part, own in gram_parts(keys, parts):
+        yield None, bundle, part, True, len(own), None, squeezed(keys[own]), compressed(n[own].astype("<i8").tobytes()), None
+    del keys, n
+    for step in held:
+        for doc_id, trains, data, words in zip(*step, strict=True):
+            yield int(doc_id), bundle, None, None, int(words), data, None, None, bool(trains)
+    held.clear()
+
+
+def sent(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about SENT_BYTES."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= SENT_BYTES:
+            yield row_batch(held)
+            held, size = [], 0
+    if held:
+        yield row_batch(held)
+
+
+def row_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), _ROWS.types, strict=True)], schema=_ROWS)
 
 
 def gram_parts(keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
     """Each part of the hash range with the places of its keys, in their order; keys of at least SHARED bytes of context."""
-    part = ((mix((keys >> np.uint64(8)) & np.uint64(mask(SHARED - 1))) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    part = np.empty(len(keys), np.min_scalar_type(parts))
+    for start in range(0, len(keys), RANGE):
+        own = mix((keys[start : start + RANGE] >> np.uint64(8)) & np.uint64(mask(SHARED - 1)))
+        part[start : start + RANGE] = ((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     order = np.argsort(part, kind="stable")
     return [(int(part[order[start]]), order[start:end]) for start, end in spans_of(part[order])]
 
@@ -514,12 +566,22 @@ def in_blocks(data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield grams(np.frombuffer(b"".join(data[start:end]), np.uint8), sizes[start:end]), sizes[start:end]
 
 
+def in_steps(data: list[bytes]) -> Iterator[list[bytes]]:
+    """The symbols of documents from their compressed form, about STEP_BYTES at a time."""
+    for start, end in spans_of(np.cumsum([int.from_bytes(x[:8], "little") for x in data]) // STEP_BYTES):
+        yield [expanded(x) for x in data[start:end]]
+
+
 def bundle_logs(answers: pd.DataFrame) -> Answers:
     """The log-probabilities of a bundle's grams from its parts' answers."""
-    keys = np.concatenate([unsqueezed(x) for x in answers["codes"]])
-    values = np.concatenate([unpacked(*x) for x in zip(answers["values"], answers["logs"], strict=True)])
+    sizes = [int.from_bytes(x[:8], "little") // 8 for x in answers["codes"]]
+    keys, values, end = np.empty(sum(sizes), np.uint64), np.empty(sum(sizes)), 0
+    for size, codes, distinct, places in zip(sizes, answers["codes"], answers["values"], answers["logs"], strict=True):
+        keys[end : end + size], values[end : end + size] = unsqueezed(codes), unpacked(distinct, places)
+        end += size
     order = np.argsort(keys)
-    return Answers(keys[order], values[order])
+    keys = keys[order]
+    return Answers(keys, values[order])
 
 
 def document_words(data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -563,10 +625,12 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
 
     def combine(own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         known = known.sort_values("part")
-        data = [expanded(x) for x in own["bytes"]]
+        data = own["bytes"].tolist()
         logs = bundle_logs(known[known["logs"].notna()])
+        scores = np.concatenate([scores_of(step, logs) for step in in_steps(data)])
+        del logs  # the words need its room
         counts = np.frombuffer(b"".join(expanded(x) for x in known["totals"].dropna()), "<i8")
-        said = list(document_words(data))
+        said = [x for step in in_steps(data) for x in document_words(step)]
         hashes = counted(np.concatenate([words for words, _ in said]))[0]
         base, found = [], []
         for words, times in said:
@@ -581,7 +645,7 @@ def scored(docs: DataFrame, held_out: int = 1) -> DataFrame:
                 "n_known": found,
                 "train_tokens": n,
                 "base_score": base,
-                "score": scores_of(data, logs),
+                "score": scores,
             }
         )
 

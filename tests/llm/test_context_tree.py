@@ -1,9 +1,11 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from daytally.llm import context_tree as ct
@@ -183,3 +185,45 @@ def test_what_is_written_comes_back():
     for data in (b"", b"a", b"some words " * 5000, bytes(range(256))):
         assert ct.expanded(ct.compressed(data)) == data
     assert len(ct.compressed(np.ones(10_000, "<i8").tobytes())) < 8_000
+
+
+def peak_of(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_runs_are_added_up_and_dealt_in_little_memory():
+    """Copies of all keys of a bundle for each step of this took an executor beyond its memory."""
+    held = [ct.counted(np.random.default_rng(i).integers(0, 1 << 56, size, dtype=np.uint64) >> np.uint64(i)) for i, size in enumerate((1_500_000, 300_000, 5, 200_000))]
+    held += [(held[1][0][::3], held[1][1][::3]), (np.empty(0, np.uint64), np.empty(0, np.int64))]
+    keys, n = ct.counted(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
+    got, peak = peak_of(lambda: ct.summed(held))
+    assert (got[0] == keys).all() and (got[1] == n).all()
+    assert peak < 16 * sum(len(k) for k, _ in held) + 30_000_000
+    dealt, peak = peak_of(lambda: ct.gram_parts(keys, 70))
+    assert sorted(part for part, _ in dealt) == list(range(70)) and sum(len(own) for _, own in dealt) == len(keys)
+    assert all((np.diff(own) > 0).all() for _, own in dealt) and peak < 16 * len(keys) + 30_000_000
+
+
+def test_empty_runs_are_added_up():
+    none = (np.empty(0, np.uint64), np.empty(0, np.uint32))
+    assert [len(x) for x in ct.summed([none, none])] == [0, 0]
+
+
+def test_a_bundle_leaves_its_task_in_small_batches(monkeypatch):
+    texts = [" ".join(f"w{i * j % 91}" for j in range(60)) for i in range(80)]
+    frame = {"doc_id": pa.array(range(80)), "text": pa.array(texts), "trains": pa.array([i % 3 > 0 for i in range(80)])}
+    for name, value in (("STEP_BYTES", 700), ("SENT_BYTES", 2000), ("RANGE", 100), ("FLUSH", 600), ("BUNDLE_BYTES", 6000)):
+        monkeypatch.setattr(ct, name, value)
+    batches = list(ct.sent(ct.bundled(iter(pa.table(frame).to_batches(max_chunksize=30)), 3, 7)))
+    rows = pa.Table.from_batches(batches).to_pandas()
+    assert max(batch.nbytes for batch in batches) < 8000 and set(rows["bundle"]) == set(range(7, 7 + rows["bundle"].nunique()))
+    documents = rows[rows["doc_id"].notna()]
+    assert documents["doc_id"].tolist() == list(range(80)) and [ct.expanded(x) for x in documents["bytes"]] == [stream(text) for text in texts]
+    keys, n = ct.grams_of(rows[rows["grams"] == True])  # noqa: E712
+    wanted, times = ct.counted(ct.grams(*ct.symbols([text for i, text in enumerate(texts) if i % 3])))
+    assert (keys[n > 0] == wanted).all() and (n[n > 0] == times).all()
+    assert set(keys[n == 0].tolist()) == set(ct.grams(*ct.symbols(texts)).tolist()) - set(wanted.tolist())
